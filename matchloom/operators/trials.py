@@ -1,0 +1,92 @@
+"""Seeded trials of a tournament as table jobs.
+
+Every draw is a hash of (seed, trial, place in the tournament), so results depend neither on row order
+nor on partitioning. Trial ids are partitioned once; fixtures, standings and all rounds keep that
+partitioning, so the fan-out itself is never shuffled. What is joined in is the tournament: groups,
+fixtures and ratings, whose size does not depend on the number of trials.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from matchloom.functions.draws import uniform
+from matchloom.functions.scores import outcome_probabilities
+
+TIE_SHARE = 0.52  # Fixed value: chance of the first side when a knockout game is drawn.
+
+
+def group_fixtures(entries: DataFrame, groups: list[str]) -> DataFrame:
+    """The games of a round robin: each pair of a group's actors once, better seed at home."""
+    a = entries.select(*groups, F.col("actor").alias("home"), F.col("seed").alias("home_seed"))
+    b = entries.select(*groups, F.col("actor").alias("away"), F.col("seed").alias("away_seed"))
+    return a.join(b, groups).filter(F.col("home_seed") < F.col("away_seed"))
+
+
+def number_fixtures(fixtures: DataFrame) -> DataFrame:
+    """Add ``fixture``, the 1-based number of each game of the one tournament that all trials play."""
+    order = Window.partitionBy(F.lit(0)).orderBy("grp", "home_seed", "away_seed")
+    return fixtures.withColumn("fixture", F.row_number().over(order))
+
+
+def fan_out(trials: DataFrame, fixtures: DataFrame, seed: int) -> DataFrame:
+    """One row per trial and fixture with a uniform draw ``u``."""
+    games = fixtures.agg(F.count(F.lit(1)).cast("int")).scalar()
+    slots = trials.repartition("trial").select("trial", F.explode(F.sequence(F.lit(1), games)).alias("fixture"))
+    return slots.join(fixtures, "fixture").withColumn("u", uniform(seed, F.col("trial"), F.lit("group"), F.col("fixture")))
+
+
+def outcomes(draws: DataFrame) -> DataFrame:
+    """Add the points of both sides and the home difference (+1, 0, -1) from the draw."""
+    home = F.col("u") < F.col("p_home")
+    draw = F.col("u") < F.col("p_home") + F.col("p_draw")
+    return draws.withColumns(
+        {
+            "home_points": F.when(home, 3).when(draw, 1).otherwise(0),
+            "away_points": F.when(home, 0).when(draw, 1).otherwise(3),
+            "home_diff": F.when(home, 1).when(draw, 0).otherwise(-1),
+        }
+    )
+
+
+def standings(played: DataFrame, seed: int) -> DataFrame:
+    """Position of each actor in its trial's group: points, difference, then a draw."""
+    side = lambda s, sign: F.struct(F.col(s).alias("actor"), F.col(f"{s}_points").alias("points"), (F.col("home_diff") * sign).alias("diff"))
+    rows = played.select("trial", "grp", F.explode(F.array(side("home", 1), side("away", -1))).alias("s")).select("trial", "grp", "s.*")
+    table = rows.groupBy("trial", "grp", "actor").agg(F.sum("points").alias("points"), F.sum("diff").alias("diff"))
+    order = [F.col("points").desc(), F.col("diff").desc(), uniform(seed, F.col("trial"), F.lit("tie"), F.col("actor")).desc(), F.col("actor")]
+    return table.withColumn("position", F.row_number().over(Window.partitionBy("trial", "grp").orderBy(*order)))
+
+
+def qualifiers(table: DataFrame, seed: int, direct: int, extra: int, extra_by_draw: bool = True) -> DataFrame:
+    """The first ``direct`` of each group plus ``extra`` of the next ones, drawn by lot or by standing, in bracket slots."""
+    lot = uniform(seed, F.col("trial"), F.lit("extra"), F.col("actor"))
+    order = [lot] if extra_by_draw else [F.col("points").desc(), F.col("diff").desc(), lot]
+    in_reach = table.filter(F.col("position") <= direct + 1)
+    is_next = F.col("position") == direct + 1
+    ranked = in_reach.withColumn("__k", F.row_number().over(Window.partitionBy("trial", is_next).orderBy(*order, "actor")))
+    kept = ranked.filter(~is_next | (F.col("__k") <= extra))
+    slot = F.row_number().over(Window.partitionBy("trial").orderBy(uniform(seed, F.col("trial"), F.lit("slot"), F.col("actor")), "actor")) - 1
+    return kept.select("trial", "actor", "position", slot.alias("slot"))
+
+
+def knockout_round(bracket: DataFrame, number: int, seed: int, hosts: Column) -> DataFrame:
+    """Slots 2i and 2i+1 meet; the winner takes slot i. An odd last slot advances. Rows are (trial, slot, actor, elo)."""
+    entry = F.struct("actor", "elo", hosts.alias("host"))
+    pairs = bracket.groupBy("trial", F.floor(F.col("slot") / 2).cast("int").alias("slot")).agg(
+        F.max(F.when(F.col("slot") % 2 == 0, entry)).alias("a"), F.max(F.when(F.col("slot") % 2 == 1, entry)).alias("b")
+    )
+    p = outcome_probabilities(F.col("a.elo"), F.col("b.elo"), F.col("a.host"), F.col("b.host"))
+    u = uniform(seed, F.col("trial"), F.lit(f"round {number}"), F.col("slot"))
+    second = uniform(seed, F.col("trial"), F.lit(f"tie {number}"), F.col("slot"))
+    first_wins = (u < p["p_home"]) | ((u < p["p_home"] + p["p_draw"]) & (second < F.lit(TIE_SHARE)))
+    won = F.when(F.col("b").isNull() | first_wins, F.col("a")).otherwise(F.col("b"))
+    return pairs.select("trial", "slot", won.alias("w")).select("trial", "slot", "w.actor", "w.elo")
+
+
+def knockout(bracket: DataFrame, size: int, seed: int, hosts: Column) -> DataFrame:
+    """Winner per trial of a bracket of ``size`` slots, after ceil(log2(size)) rounds."""
+    for number in range(1, (size - 1).bit_length() + 1):
+        bracket = knockout_round(bracket, number, seed, hosts)
+    return bracket.select("trial", "actor")

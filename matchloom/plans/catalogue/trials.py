@@ -1,0 +1,130 @@
+"""Tournament trials: one per customer, over the rated actors grouped by region."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from matchloom.functions.rounding import round_half_up
+from matchloom.functions.scores import outcome_probabilities
+from matchloom.operators import trials as X
+from matchloom.operators.aggregates import frequency_table
+from matchloom.plans import views as V
+from matchloom.plans.catalogue.scalars import HOSTS
+from matchloom.plans.oracle_views import VIEWS, rnd
+from matchloom.plans.registry import query
+
+SEED = 42
+DIRECT, EXTRA, GROUPS = 2, 2, 5
+SIZE = GROUPS * DIRECT + EXTRA
+
+_HOSTS = ", ".join(f"'{h}'" for h in HOSTS)
+
+
+def _u(stage: str, *key: str) -> str:
+    text = " || '|' || ".join(["'42'", "trial", f"'{stage}'", *key])
+    return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+def _probs(h: str, a: str, hn: str, an: str) -> str:
+    base, dr = f"(1 / (1 + pow(10, ({a} - {h}) / 400.0::DOUBLE)))", f"greatest(0.15::DOUBLE, 0.28::DOUBLE - abs({h} - {a}) / 2000.0::DOUBLE)"
+    win, loss = f"((1 - {dr}) * {base})", f"((1 - {dr}) * (1 - {base}))"
+    return f"""CASE WHEN {hn} IN ({_HOSTS}) THEN least({win} + 0.04::DOUBLE, 0.90::DOUBLE) ELSE {win} END AS w, {dr} AS dr,
+      CASE WHEN {an} IN ({_HOSTS}) THEN least({loss} + 0.04::DOUBLE, 0.90::DOUBLE) ELSE {loss} END AS l"""
+
+
+VIEWS["entries"] = """
+SELECT r_name AS grp, actor, elo_rating AS elo, row_number() OVER (PARTITION BY r_name ORDER BY elo_rating DESC, actor) AS seed
+FROM elo_ratings JOIN nation ON actor = n_name JOIN region ON n_regionkey = r_regionkey
+"""
+VIEWS["fixtures"] = f"""
+SELECT grp, home, away, row_number() OVER (ORDER BY grp, home_seed, away_seed) AS fixture, w / (w + dr + l) AS p_home, dr / (w + dr + l) AS p_draw
+FROM (SELECT a.grp, a.actor AS home, b.actor AS away, a.seed AS home_seed, b.seed AS away_seed, {_probs('a.elo', 'b.elo', 'a.actor', 'b.actor')}
+  FROM entries a JOIN entries b ON a.grp = b.grp AND a.seed < b.seed)
+"""
+VIEWS["draws"] = f"SELECT trial, f.*, {_u('group', 'fixture')} AS u FROM (SELECT c_custkey AS trial FROM customer), fixtures f"
+VIEWS["played"] = """
+SELECT *, CASE WHEN u < p_home THEN 3 WHEN u < p_home + p_draw THEN 1 ELSE 0 END AS home_points,
+  CASE WHEN u < p_home THEN 0 WHEN u < p_home + p_draw THEN 1 ELSE 3 END AS away_points,
+  CASE WHEN u < p_home THEN 1 WHEN u < p_home + p_draw THEN 0 ELSE -1 END AS home_diff FROM draws
+"""
+VIEWS["group_table"] = f"""
+SELECT *, row_number() OVER (PARTITION BY trial, grp ORDER BY points DESC, diff DESC, {_u('tie', 'actor')} DESC, actor) AS position
+FROM (SELECT trial, grp, actor, sum(points)::BIGINT AS points, sum(diff)::BIGINT AS diff
+  FROM (SELECT trial, grp, home AS actor, home_points AS points, home_diff AS diff FROM played
+    UNION ALL SELECT trial, grp, away, away_points, -home_diff FROM played) GROUP BY ALL)
+"""
+VIEWS["qualified"] = f"""
+SELECT trial, actor, position, row_number() OVER (PARTITION BY trial ORDER BY {_u('slot', 'actor')}, actor) - 1 AS slot
+FROM (SELECT *, row_number() OVER (PARTITION BY trial, position = {DIRECT + 1} ORDER BY {_u('extra', 'actor')}, actor) AS k FROM group_table WHERE position <= {DIRECT + 1})
+WHERE position <= {DIRECT} OR k <= {EXTRA}
+"""
+VIEWS["round0"] = "SELECT trial, slot, q.actor, elo FROM qualified q JOIN entries e ON q.actor = e.actor"
+ROUNDS = (SIZE - 1).bit_length()
+for _n in range(1, ROUNDS + 1):
+    VIEWS[f"round{_n}"] = f"""
+SELECT trial, slot, CASE WHEN first THEN ha ELSE aa END AS actor, CASE WHEN first THEN he ELSE ae END AS elo
+FROM (SELECT *, aa IS NULL OR {_u(f'round {_n}', 'slot')} < w / (w + dr + l)
+    OR ({_u(f'round {_n}', 'slot')} < w / (w + dr + l) + dr / (w + dr + l) AND {_u(f'tie {_n}', 'slot')} < 0.52::DOUBLE) AS first
+  FROM (SELECT h.trial, h.slot // 2 AS slot, h.actor AS ha, h.elo AS he, a.actor AS aa, a.elo AS ae, {_probs('h.elo', 'a.elo', 'h.actor', 'a.actor')}
+    FROM round{_n - 1} h LEFT JOIN round{_n - 1} a ON h.trial = a.trial AND a.slot = h.slot + 1 WHERE h.slot % 2 = 0))
+"""
+
+
+def entries(spark, sf):
+    regions = V.table(spark, sf, "nation").join(V.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = V.profile(spark, sf).join(regions, F.col("actor") == F.col("n_name")).select(F.col("r_name").alias("grp"), "actor", F.col("elo_rating").alias("elo"))
+    return joined.withColumn("seed", F.row_number().over(Window.partitionBy("grp").orderBy(F.col("elo").desc(), "actor")))
+
+
+def fixtures(spark, sf):
+    teams = entries(spark, sf)
+    pairs = X.number_fixtures(X.group_fixtures(teams, ["grp"]))
+    elo = lambda s: teams.select(F.col("actor").alias(s), F.col("elo").alias(f"elo_{s}"))
+    rated = pairs.join(elo("home"), "home").join(elo("away"), "away")
+    p = outcome_probabilities(F.col("elo_home"), F.col("elo_away"), F.col("home").isin(*HOSTS), F.col("away").isin(*HOSTS))
+    out = lambda: rated.select("grp", "home", "away", "fixture", p["p_home"].alias("p_home"), p["p_draw"].alias("p_draw"))
+    return V.stored(spark, sf, "fixtures", out)
+
+
+def draws(spark, sf):
+    trials = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial"))
+    return X.fan_out(trials, fixtures(spark, sf), SEED)
+
+
+def group_table(spark, sf):
+    return X.standings(X.outcomes(draws(spark, sf)), SEED)
+
+
+def winners(spark, sf):
+    teams = entries(spark, sf).select("actor", "elo")
+    bracket = X.qualifiers(group_table(spark, sf), SEED, DIRECT, EXTRA).join(teams, "actor").select("trial", "slot", "actor", "elo")
+    return X.knockout(bracket, SIZE, SEED, F.col("actor").isin(*HOSTS))
+
+
+@query("x1_trial_draws", f"SELECT trial, fixture, home, away, {rnd('u', 9)} AS u FROM draws")
+def trial_draws(spark, sf):
+    return draws(spark, sf).select("trial", "fixture", "home", "away", round_half_up(F.col("u"), 9).alias("u"))
+
+
+@query("x2_trial_outcomes", "SELECT trial, fixture, home_points, away_points, home_diff FROM played")
+def trial_outcomes(spark, sf):
+    return X.outcomes(draws(spark, sf)).select("trial", "fixture", "home_points", "away_points", "home_diff")
+
+
+@query("x3_qualifiers", "SELECT trial, actor, position, slot FROM qualified")
+def trial_qualifiers(spark, sf):
+    return X.qualifiers(group_table(spark, sf), SEED, DIRECT, EXTRA)
+
+
+@query("x4_knockout", f"SELECT trial, actor FROM round{ROUNDS}")
+def trial_winners(spark, sf):
+    return winners(spark, sf)
+
+
+@query(
+    "x5_win_frequency",
+    f"""SELECT actor, count(*) AS champion_count, {rnd('(count(*)::DOUBLE / (SELECT count(*) FROM customer) * 100.0::DOUBLE)', 2)} AS championship_probability FROM round{ROUNDS} GROUP BY actor""",
+)
+def win_frequency(spark, sf):
+    return frequency_table(winners(spark, sf), "actor", "champion_count", "championship_probability")
