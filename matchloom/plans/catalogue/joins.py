@@ -84,7 +84,7 @@ def semi_share(spark, sf):
     "j8_fixture_pairs",
     f"""WITH e AS (SELECT pool, r_name AS grp, actor, rating, row_number() OVER (PARTITION BY pool, r_name ORDER BY {rnd('rating', 3)} DESC, actor) AS seed
       FROM final_elo JOIN nation ON actor = n_name JOIN region ON n_regionkey = r_regionkey)
-    SELECT a.pool, a.grp, a.actor AS home, b.actor AS away, a.seed AS home_seed, b.seed AS away_seed FROM e a JOIN e b ON a.pool = b.pool AND a.grp = b.grp AND a.seed < b.seed""",
+    SELECT a.pool, a.grp, a.actor AS home, b.actor AS away, a.seed::INTEGER AS home_seed, b.seed::INTEGER AS away_seed FROM e a JOIN e b ON a.pool = b.pool AND a.grp = b.grp AND a.seed < b.seed""",
 )
 def fixture_pairs(spark, sf):
     from matchloom.operators.rating import final_ratings

@@ -105,7 +105,7 @@ def split(spark, sf):
     "w9_standings",
     """WITH t AS (SELECT pool, year(d)::INTEGER AS year, actor, sum(points)::BIGINT AS pts, sum(gf - ga)::BIGINT AS gd FROM contest_long GROUP BY 1, 2, 3),
     u AS (SELECT *, ('0x' || substr(md5('7|' || pool || '|' || year || '|' || actor), 1, 13))::BIGINT AS draw FROM t)
-    SELECT pool, year, actor, pts, gd, row_number() OVER (PARTITION BY pool, year ORDER BY pts DESC, gd DESC, draw DESC) AS position FROM u""",
+    SELECT pool, year, actor, pts, gd, CAST(row_number() OVER (PARTITION BY pool, year ORDER BY pts DESC, gd DESC, draw DESC) AS INTEGER) AS position FROM u""",
 )
 def standings(spark, sf):
     table = V.contest_long(spark, sf).groupBy("pool", F.year("d").alias("year"), "actor").agg(F.sum("points").alias("pts"), F.sum(F.col("gf") - F.col("ga")).alias("gd"))

@@ -69,7 +69,7 @@ def csv_sink(spark, sf):
 
 @query(
     "s6_nested_summary",
-    """WITH r AS (SELECT *, row_number() OVER (ORDER BY champion_count DESC, team) AS place, (SELECT sum(champion_count) FROM title_odds)::BIGINT AS n_simulations FROM title_odds)
+    """WITH r AS (SELECT *, CAST(row_number() OVER (ORDER BY champion_count DESC, team) AS INTEGER) AS place, (SELECT sum(champion_count) FROM title_odds)::BIGINT AS n_simulations FROM title_odds)
     SELECT 'all' AS part, n_simulations, place, team, champion_count, championship_probability FROM r UNION ALL SELECT 'top', n_simulations, place, team, champion_count, championship_probability FROM r WHERE place <= 10""",
 )
 def nested_summary(spark, sf):

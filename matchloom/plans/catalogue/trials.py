@@ -38,7 +38,7 @@ SELECT r_name AS grp, actor, elo_rating AS elo, row_number() OVER (PARTITION BY
 FROM elo_ratings JOIN nation ON actor = n_name JOIN region ON n_regionkey = r_regionkey
 """
 VIEWS["fixtures"] = f"""
-SELECT grp, home, away, row_number() OVER (ORDER BY grp, home_seed, away_seed) AS fixture, w / (w + dr + l) AS p_home, dr / (w + dr + l) AS p_draw
+SELECT grp, home, away, CAST(row_number() OVER (ORDER BY grp, home_seed, away_seed) AS INTEGER) AS fixture, w / (w + dr + l) AS p_home, dr / (w + dr + l) AS p_draw
 FROM (SELECT a.grp, a.actor AS home, b.actor AS away, a.seed AS home_seed, b.seed AS away_seed, {_probs('a.elo', 'b.elo', 'a.actor', 'b.actor')}
   FROM entries a JOIN entries b ON a.grp = b.grp AND a.seed < b.seed)
 """
@@ -112,7 +112,7 @@ def trial_outcomes(spark, sf):
     return X.outcomes(draws(spark, sf)).select("trial", "fixture", "home_points", "away_points", "home_diff")
 
 
-@query("x3_qualifiers", "SELECT trial, actor, position, slot FROM qualified")
+@query("x3_qualifiers", "SELECT trial, actor, position::INTEGER AS position, slot::INTEGER AS slot FROM qualified")
 def trial_qualifiers(spark, sf):
     return X.qualifiers(group_table(spark, sf), SEED, DIRECT, EXTRA)
 

@@ -36,8 +36,8 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
 def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when equal, else what differs first."""
     got_columns, got = rows_of(spark_df.columns, spark_df.collect())
+    kinds = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
     cursor = con.execute(sql)
-    kinds = {d[0]: str(d[1]) for d in cursor.description}
     want_columns, want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
@@ -53,7 +53,5 @@ def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None
 
 
 def _same_type(spark: str, duck: str) -> bool:
-    # Integer widths may differ, kinds may not.
-    names = {"bigint": "int", "int": "int", "BIGINT": "int", "INTEGER": "int", "double": "dbl", "DOUBLE": "dbl", "string": "str", "VARCHAR": "str"}
-    names |= {"boolean": "bool", "BOOLEAN": "bool", "date": "date", "DATE": "date", "timestamp": "ts", "TIMESTAMP": "ts", "timestamp_ntz": "ts"}
-    return names.get(spark, spark) == names.get(duck, duck)
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+    return names.get(spark, spark) == duck
