@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -71,6 +72,8 @@ HISTORICAL_ALIASES = {
 QUOTES = {"’": "'", "‘": "'", "“": '"', "”": '"', "´": "'", "`": "'", "–": "-", "—": "-"}
 DROPPED = ".,()"
 
+NON_ASCII = re.compile(r"[^\x00-\x7f]+")
+
 
 def literal_map(mapping: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
@@ -86,13 +89,12 @@ def canonical_name(name: Column, aliases: dict[str, str] = NAME_ALIASES) -> Colu
 def strip_marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Compatibility decomposition without combining marks: the one step Spark SQL has no function for."""
 
-    def plain(value):
-        if value is None or value.isascii():
-            return value
-        return "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+    def plain(run: re.Match) -> str:
+        return "".join(c for c in unicodedata.normalize("NFKD", run.group()) if not unicodedata.combining(c))
 
+    # ASCII neither decomposes nor combines, so only the other runs need the tables.
     for batch in batches:
-        yield batch.map(plain)
+        yield batch.map(lambda value: None if value is None else NON_ASCII.sub(plain, value))
 
 
 def normalized_id(name: Column) -> Column:

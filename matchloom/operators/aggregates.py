@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.rounding import ratio, round_half_up
+from matchloom.storage import materialize
 
 
 def count_if(condition: Column) -> Column:
@@ -29,8 +30,11 @@ def record(df: DataFrame, keys: list[Column | str], scored: str, conceded: str)
 
 
 def frequency_table(df: DataFrame, key: str, count_name: str, percent_name: str) -> DataFrame:
-    """Count per key and its percent of all rows, which is a scalar subquery over the counts."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+    """Count per key and its percent of all rows.
+
+    The counts are written out: the total is a second look at them, and must not run the input again.
+    """
+    counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name)), "frequencies")
     total = counts.select(F.sum(count_name).alias("total")).scalar()
     return counts.withColumn(percent_name, round_half_up(ratio(F.col(count_name), total) * F.lit(100.0), 2))
 
@@ -81,22 +85,20 @@ def infer_total(df: DataFrame, count: str, percent: str, order: list[Column]) ->
 
 
 def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Row count, non-null count, distinct count, minimum and maximum of each column, from one aggregate."""
+    """Row count, non-null count, distinct count, minimum and maximum of each column.
+
+    Each distinct count is a scalar subquery that reads its one column; several in one aggregate would
+    multiply every row by the number of columns.
+    """
     aggregates, structs = [], []
     for i, c in enumerate(columns):
-        text = F.col(c).cast("string")
-        aggregates += [
-            F.count(c).alias(f"n{i}"),
-            F.count_distinct(c).alias(f"u{i}"),
-            F.min(c).cast("string").alias(f"lo{i}"),
-            F.max(c).cast("string").alias(f"hi{i}"),
-        ]
+        aggregates += [F.count(c).alias(f"n{i}"), F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
         structs.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col("rows").alias("row_count"),
                 F.col(f"n{i}").alias("non_null"),
-                F.col(f"u{i}").alias("distinct_values"),
+                df.select(c).agg(F.count_distinct(c)).scalar().alias("distinct_values"),
                 F.col(f"lo{i}").alias("min_value"),
                 F.col(f"hi{i}").alias("max_value"),
             )

@@ -15,7 +15,7 @@ DEFAULT_STRENGTH = 65.0
 FORM_GAMES = 5
 
 
-def history_stats(long: DataFrame) -> DataFrame:
+def history_stats(long: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Add to (pool, actor, d, seq) rows the totals and averages over the actor's earlier contests."""
     keys, order = ["pool", "actor"], ["d", "seq"]
     bucketed = long.withColumn("__month", F.trunc("d", "MM"))
@@ -25,7 +25,7 @@ def history_stats(long: DataFrame) -> DataFrame:
         "conceded": F.col("ga"),
         "wins": (F.col("points") == 3).cast("bigint"),
     }
-    out = expanding_before(bucketed, keys, "__month", order, sums)
+    out = expanding_before(bucketed, keys, "__month", order, sums, _monthly(source))
     games = F.col("games")
     return out.withColumns(
         {
@@ -36,22 +36,27 @@ def history_stats(long: DataFrame) -> DataFrame:
     ).drop("__month")
 
 
-def rolling_form(long: DataFrame, games: int = FORM_GAMES) -> DataFrame:
+def _monthly(source: DataFrame | None) -> DataFrame | None:
+    return source and source.withColumn("__month", F.trunc("d", "MM"))
+
+
+def rolling_form(long: DataFrame, games: int = FORM_GAMES, source: DataFrame | None = None) -> DataFrame:
     """Add ``form``: points of the actor's last ``games`` earlier contests."""
     bucketed = long.withColumn("__month", F.trunc("d", "MM"))
-    return rolling_before(bucketed, ["pool", "actor"], "__month", ["d", "seq"], "points", "form", games).drop("__month")
+    return rolling_before(bucketed, ["pool", "actor"], "__month", ["d", "seq"], "points", "form", games, _monthly(source)).drop("__month")
 
 
-def rank_before(long: DataFrame, history: DataFrame, default: int = DEFAULT_RANK) -> DataFrame:
+def rank_before(long: DataFrame, history: DataFrame, default: int = DEFAULT_RANK, source: DataFrame | None = None) -> DataFrame:
     """Add ``rank``: the actor's latest rank dated before the contest."""
-    return asof_before(long, history, ["actor"], "d", "ts", {"rank": default})
+    return asof_before(long, history, ["actor"], "d", "ts", {"rank": default}, source=source)
 
 
 def match_features(rated: DataFrame, history: DataFrame, strength: DataFrame) -> DataFrame:
     """One row per rated contest with both sides' features, their differences, a neutral flag and the label."""
     keep = ["pool", "seq", "d", "tournament", "neutral", "home", "away", "home_score", "away_score"]
     long = contest_sides(rated, keep, {"elo": ("elo_home", "elo_away")})
-    long = rank_before(rolling_form(history_stats(long)), history)
+    bare = contest_sides(rated, ["pool", "seq", "d"])
+    long = rank_before(rolling_form(history_stats(long, bare), source=bare), history, source=bare)
     long = long.join(strength, "actor", "left").withColumn("strength", F.coalesce("strength", F.lit(DEFAULT_STRENGTH)))
     metrics = ("elo", "form", "scored_avg", "conceded_avg", "win_frac", "rank", "strength")
     pick = lambda side, m: F.max(F.when(F.col("side") == side, F.col(m))).alias(f"{side}_{m}")

@@ -16,14 +16,20 @@ from pyspark.sql import functions as F
 UNBOUNDED = Window.unboundedPreceding
 
 
-def expanding_before(df: DataFrame, keys: list[str], bucket: str, order: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Add, per name in ``sums``, the sum over all earlier rows of the key (0 when there are none)."""
+def expanding_before(
+    df: DataFrame, keys: list[str], bucket: str, order: list[str], sums: dict[str, Column], source: DataFrame | None = None
+) -> DataFrame:
+    """Add, per name in ``sums``, the sum over all earlier rows of the key (0 when there are none).
+
+    Here and below ``source`` holds the same rows as ``df`` with fewer steps behind them; bucket tables are
+    taken from it, so that a chain of such operators does not run its first steps again for each bucket table.
+    """
     scope = [*keys, bucket]
     inside = Window.partitionBy(*scope).orderBy(*order).rowsBetween(UNBOUNDED, -1)
     earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(UNBOUNDED, -1)
     zero = F.lit(0)
     carried = (
-        df.groupBy(*scope)
+        (source or df).groupBy(*scope)
         .agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
         .select(*scope, *[F.coalesce(F.sum(f"__t_{n}").over(earlier), zero).alias(f"__c_{n}") for n in sums])
     )
@@ -32,14 +38,16 @@ def expanding_before(df: DataFrame, keys: list[str], bucket: str, order: list[st
     return joined.withColumns({n: F.col(n) + F.col(f"__c_{n}") for n in sums}).drop(*[f"__c_{n}" for n in sums])
 
 
-def rolling_before(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, out: str, size: int) -> DataFrame:
+def rolling_before(
+    df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, out: str, size: int, source: DataFrame | None = None
+) -> DataFrame:
     """Add the sum of ``value`` over the ``size`` rows before each row of the key (0 when there are none)."""
     scope = [*keys, bucket]
     inside = Window.partitionBy(*scope).orderBy(*order)
     from_end = F.row_number().over(Window.partitionBy(*scope).orderBy(*[F.col(c).desc() for c in order]))
     # Last rows of every bucket, oldest first; then, per bucket, the last rows of the buckets before it.
     tails = (
-        df.select(*scope, value, from_end.alias("__e"))
+        (source or df).select(*scope, value, from_end.alias("__e"))
         .filter(F.col("__e") <= size)
         .groupBy(*scope)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("__e")).alias("e"), F.col(value).alias("v")))).alias("__tail"))
@@ -69,6 +77,7 @@ def asof_before(
     history_time: str,
     values: dict[str, object],
     grain: str = "MM",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Latest history row strictly before each fact, per key; ``values`` maps column to its default.
 
@@ -83,9 +92,11 @@ def asof_before(
     scope = [*keys, "__b"]
     inside = Window.partitionBy(*scope).orderBy("__t", "__side").rowsBetween(UNBOUNDED, 0)
     earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(UNBOUNDED, -1)
+    # Buckets are those with facts or history; only history has values.
+    fact_buckets = (source or facts).select(*keys, F.trunc(fact_time, grain).alias("__b")).distinct()
+    own = right.withColumn("__b", F.trunc("__t", grain)).groupBy(*scope).agg(*[F.max_by(v, "__t").alias(f"__l_{v}") for v in values])
     carried = (
-        both.groupBy(*scope)
-        .agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("__t"))).alias(f"__l_{v}") for v in values])
+        fact_buckets.join(own, scope, "full")
         .select(*scope, *[F.last(f"__l_{v}", ignorenulls=True).over(earlier).alias(f"__c_{v}") for v in values])
     )
     local = both.withColumns({v: F.last(v, ignorenulls=True).over(inside) for v in values})

@@ -36,15 +36,15 @@ def global_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True
 
 def _ranks(counts: DataFrame, buckets: int) -> DataFrame:
     """(value, rank) from distinct (key, value, n), best key first."""
-    if buckets > 1:
-        probabilities = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(counts.approxQuantile("key", probabilities, 0.2 / buckets)))
-        splits = [float("-inf"), *cuts, float("inf")]
-        counts = Bucketizer(splits=splits, inputCol="key", outputCol="__b").transform(counts)
-    else:
-        counts = counts.withColumn("__b", F.lit(0.0))
+    if buckets <= 1:
+        better = Window.partitionBy(F.lit(0)).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select("value", (F.coalesce(F.sum("n").over(better), F.lit(0)) + 1).cast("bigint").alias("rank"))
+    probabilities = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(counts.approxQuantile("key", probabilities, 0.2 / buckets)))
+    splits = [float("-inf"), *cuts, float("inf")]
+    sliced = Bucketizer(splits=splits, inputCol="key", outputCol="__b").transform(counts)
     earlier = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.groupBy("__b").agg(F.sum("n").alias("size")).select("__b", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    offsets = sliced.groupBy("__b").agg(F.sum("n").alias("size")).select("__b", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("__b").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    local = counts.withColumn("better", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    local = sliced.withColumn("better", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     return local.join(offsets, "__b").select("value", (F.col("before") + F.col("better") + 1).cast("bigint").alias("rank"))

@@ -100,8 +100,9 @@ def sequential_rating(
     sliced = materialize(sliced, "rating-chunks")
     ends = materialize(_fold(sliced, None, order, chunks, start, emit_rows=False), "rating-ends")
     starts = None
-    while True:
-        following = ends.withColumn("__chunk", F.col("__chunk") + 1)
+    # The first chunk is final after the first pass, and every pass makes at least one more final.
+    for _ in range(chunks):
+        following = ends.withColumn("__chunk", F.col("__chunk") + 1).filter(F.col("__chunk") < chunks)
         moved = _moved_chunks(following, starts, start, tolerance)
         starts = following
         if moved.isEmpty():

@@ -8,7 +8,7 @@ fixtures and ratings, whose size does not depend on the number of trials.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchloom.functions.draws import uniform
@@ -71,22 +71,26 @@ def qualifiers(table: DataFrame, seed: int, direct: int, extra: int, extra_by_dr
     return kept.select("trial", "actor", "position", slot.alias("slot"))
 
 
-def knockout_round(bracket: DataFrame, number: int, seed: int, hosts: Column) -> DataFrame:
-    """Slots 2i and 2i+1 meet; the winner takes slot i. An odd last slot advances. Rows are (trial, slot, actor, elo)."""
-    entry = F.struct("actor", "elo", hosts.alias("host"))
+def knockout_round(bracket: DataFrame, number: int, seed: int) -> DataFrame:
+    """Slots 2i and 2i+1 meet; the winner takes slot i. An odd last slot advances.
+
+    Rows are (trial, slot, no, elo, host); actors go by number, so that the aggregation can hash.
+    """
+    pick = lambda side, c: F.max(F.when(F.col("slot") % 2 == side, F.col(c)))
     pairs = bracket.groupBy("trial", F.floor(F.col("slot") / 2).cast("int").alias("slot")).agg(
-        F.max(F.when(F.col("slot") % 2 == 0, entry)).alias("a"), F.max(F.when(F.col("slot") % 2 == 1, entry)).alias("b")
+        *[pick(i, c).alias(f"{c}_{s}") for i, s in enumerate("ab") for c in ("no", "elo", "host")]
     )
-    p = outcome_probabilities(F.col("a.elo"), F.col("b.elo"), F.col("a.host"), F.col("b.host"))
+    p = outcome_probabilities(F.col("elo_a"), F.col("elo_b"), F.col("host_a") == 1, F.col("host_b") == 1)
     u = uniform(seed, F.col("trial"), F.lit(f"round {number}"), F.col("slot"))
     second = uniform(seed, F.col("trial"), F.lit(f"tie {number}"), F.col("slot"))
     first_wins = (u < p["p_home"]) | ((u < p["p_home"] + p["p_draw"]) & (second < F.lit(TIE_SHARE)))
-    won = F.when(F.col("b").isNull() | first_wins, F.col("a")).otherwise(F.col("b"))
-    return pairs.select("trial", "slot", won.alias("w")).select("trial", "slot", "w.actor", "w.elo")
+    decided = pairs.withColumn("__first", F.col("no_b").isNull() | first_wins)
+    won = [F.when(F.col("__first"), F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(c) for c in ("no", "elo", "host")]
+    return decided.select("trial", "slot", *won)
 
 
-def knockout(bracket: DataFrame, size: int, seed: int, hosts: Column) -> DataFrame:
-    """Winner per trial of a bracket of ``size`` slots, after ceil(log2(size)) rounds."""
+def knockout(bracket: DataFrame, size: int, seed: int) -> DataFrame:
+    """Number of the winner per trial of a bracket of ``size`` slots, after ceil(log2(size)) rounds."""
     for number in range(1, (size - 1).bit_length() + 1):
-        bracket = knockout_round(bracket, number, seed, hosts)
-    return bracket.select("trial", "actor")
+        bracket = knockout_round(bracket, number, seed)
+    return bracket.select("trial", "no")

@@ -72,9 +72,16 @@ FROM (SELECT *, aa IS NULL OR {_u(f'round {_n}', 'slot')} < w / (w + dr + l)
 
 
 def entries(spark, sf):
+    """The tournament: group, seed, rating and number of each actor."""
+    return V.stored(spark, sf, "entries", lambda: _entries(spark, sf))
+
+
+def _entries(spark, sf):
     regions = V.table(spark, sf, "nation").join(V.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     joined = V.profile(spark, sf).join(regions, F.col("actor") == F.col("n_name")).select(F.col("r_name").alias("grp"), "actor", F.col("elo_rating").alias("elo"))
-    return joined.withColumn("seed", F.row_number().over(Window.partitionBy("grp").orderBy(F.col("elo").desc(), "actor")))
+    seeded = joined.withColumn("seed", F.row_number().over(Window.partitionBy("grp").orderBy(F.col("elo").desc(), "actor")))
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("grp", "seed"))
+    return seeded.withColumns({"no": number, "host": F.col("actor").isin(*HOSTS).cast("int")})
 
 
 def fixtures(spark, sf):
@@ -97,9 +104,9 @@ def group_table(spark, sf):
 
 
 def winners(spark, sf):
-    teams = entries(spark, sf).select("actor", "elo")
-    bracket = X.qualifiers(group_table(spark, sf), SEED, DIRECT, EXTRA).join(teams, "actor").select("trial", "slot", "actor", "elo")
-    return X.knockout(bracket, SIZE, SEED, F.col("actor").isin(*HOSTS))
+    teams = entries(spark, sf)
+    bracket = X.qualifiers(group_table(spark, sf), SEED, DIRECT, EXTRA).join(teams, "actor").select("trial", "slot", "no", "elo", "host")
+    return X.knockout(bracket, SIZE, SEED).join(teams, "no").select("trial", "actor")
 
 
 @query("x1_trial_draws", f"SELECT trial, fixture, home, away, {rnd('u', 9)} AS u FROM draws")

@@ -18,7 +18,7 @@ from matchloom.operators.features import match_features as build_match_features
 from matchloom.operators.ordered import with_ordinal
 from matchloom.operators.rating import final_ratings, sequential_rating
 from matchloom.operators.reshape import contest_sides
-from matchloom.storage import stored
+from matchloom.storage import materialize, stored
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -85,7 +85,8 @@ def contest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         raw = contest_raw(spark, sf_dir).dropna(subset=["home", "away", "home_score", "away_score"])
         one = first_per_key(raw, CONTEST_KEY, [F.col(c) for c in CONTEST_ORDER]).drop(*CONTEST_ORDER)
-        return with_ordinal(one, ["pool"], ["d"], ["home", "away"], "seq")
+        # Numbering reads its input twice, so the join and the deduplication are written out first.
+        return with_ordinal(materialize(one, "contest-unnumbered"), ["pool"], ["d"], ["home", "away"], "seq")
 
     return stored(spark, sf_dir, "contest", build)
 
@@ -114,6 +115,10 @@ def elo_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rank_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank of every actor by order value, per quarter, dated on the first day of the quarter."""
+    return stored(spark, sf_dir, "rank_hist", lambda: _rank_hist(spark, sf_dir))
+
+
+def _rank_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
     value = F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint"))
     totals = (
