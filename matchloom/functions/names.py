@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Variant spelling -> spelling used everywhere else.
 NAME_ALIASES = {
@@ -85,7 +86,7 @@ def canonical_name(name: Column, aliases: dict[str, str] = NAME_ALIASES) -> Colu
     return F.coalesce(F.try_element_at(literal_map(aliases), trimmed), trimmed)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Compatibility decomposition without combining marks: the one step Spark SQL has no function for."""
 

@@ -386,7 +386,7 @@ def in_list(spark, sf):
 
 @query("f3_threshold", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000 AND o_orderdate >= TIMESTAMP '1996-01-01'")
 def threshold(spark, sf):
-    keep = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000) & (F.col("o_orderdate") >= F.to_timestamp(F.lit("1996-01-01")))
+    keep = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 250000) & (F.col("o_orderdate") >= F.to_timestamp_ntz(F.lit("1996-01-01"), F.lit("yyyy-MM-dd")))
     return T(spark, sf, "orders").filter(keep).select("o_orderkey", "o_totalprice")
 
 
