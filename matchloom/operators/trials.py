@@ -30,6 +30,20 @@ def number_fixtures(fixtures: DataFrame) -> DataFrame:
     return fixtures.withColumn("fixture", F.row_number().over(order))
 
 
+def tournament(groups: DataFrame, hosts: tuple[str, ...]) -> DataFrame:
+    """Add to (grp, seed, actor, elo) the actor's number and host flag. One row per actor of the one tournament."""
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("grp", "seed"))
+    return groups.withColumns({"no": number, "host": F.col("actor").isin(*hosts).cast("int")})
+
+
+def rated_fixtures(entries: DataFrame) -> DataFrame:
+    """Numbered group games with the probabilities of a home win and a draw."""
+    side = lambda s: entries.select(F.col("actor").alias(s), F.col("elo").alias(f"elo_{s}"), F.col("host").alias(f"host_{s}"))
+    rated = number_fixtures(group_fixtures(entries, ["grp"])).join(side("home"), "home").join(side("away"), "away")
+    p = outcome_probabilities(F.col("elo_home"), F.col("elo_away"), F.col("host_home") == 1, F.col("host_away") == 1)
+    return rated.select("grp", "home", "away", "fixture", p["p_home"].alias("p_home"), p["p_draw"].alias("p_draw"))
+
+
 def fan_out(trials: DataFrame, fixtures: DataFrame, seed: int) -> DataFrame:
     """One row per trial and fixture with a uniform draw ``u``."""
     games = fixtures.agg(F.count(F.lit(1)).cast("int")).scalar()
@@ -94,3 +108,10 @@ def knockout(bracket: DataFrame, size: int, seed: int) -> DataFrame:
     for number in range(1, (size - 1).bit_length() + 1):
         bracket = knockout_round(bracket, number, seed)
     return bracket.select("trial", "no")
+
+
+def champions(trials: DataFrame, entries: DataFrame, fixtures: DataFrame, seed: int, direct: int, extra: int, groups: int) -> DataFrame:
+    """Winner of each trial: group games, standings, qualification, bracket."""
+    table = standings(outcomes(fan_out(trials, fixtures, seed)), seed)
+    bracket = qualifiers(table, seed, direct, extra).join(entries, "actor").select("trial", "slot", "no", "elo", "host")
+    return knockout(bracket, groups * direct + extra, seed).join(entries, "no").select("trial", "actor")

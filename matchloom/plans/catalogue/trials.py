@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from matchloom.functions.rounding import round_half_up
-from matchloom.functions.scores import outcome_probabilities
 from matchloom.operators import trials as X
 from matchloom.operators.aggregates import frequency_table
 from matchloom.plans import views as V
@@ -80,23 +79,19 @@ def _entries(spark, sf):
     regions = V.table(spark, sf, "nation").join(V.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     joined = V.profile(spark, sf).join(regions, F.col("actor") == F.col("n_name")).select(F.col("r_name").alias("grp"), "actor", F.col("elo_rating").alias("elo"))
     seeded = joined.withColumn("seed", F.row_number().over(Window.partitionBy("grp").orderBy(F.col("elo").desc(), "actor")))
-    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("grp", "seed"))
-    return seeded.withColumns({"no": number, "host": F.col("actor").isin(*HOSTS).cast("int")})
+    return X.tournament(seeded, HOSTS)
 
 
 def fixtures(spark, sf):
-    teams = entries(spark, sf)
-    pairs = X.number_fixtures(X.group_fixtures(teams, ["grp"]))
-    elo = lambda s: teams.select(F.col("actor").alias(s), F.col("elo").alias(f"elo_{s}"))
-    rated = pairs.join(elo("home"), "home").join(elo("away"), "away")
-    p = outcome_probabilities(F.col("elo_home"), F.col("elo_away"), F.col("home").isin(*HOSTS), F.col("away").isin(*HOSTS))
-    out = lambda: rated.select("grp", "home", "away", "fixture", p["p_home"].alias("p_home"), p["p_draw"].alias("p_draw"))
-    return V.stored(spark, sf, "fixtures", out)
+    return V.stored(spark, sf, "fixtures", lambda: X.rated_fixtures(entries(spark, sf)))
+
+
+def trial_ids(spark, sf):
+    return V.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial"))
 
 
 def draws(spark, sf):
-    trials = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial"))
-    return X.fan_out(trials, fixtures(spark, sf), SEED)
+    return X.fan_out(trial_ids(spark, sf), fixtures(spark, sf), SEED)
 
 
 def group_table(spark, sf):
@@ -104,9 +99,7 @@ def group_table(spark, sf):
 
 
 def winners(spark, sf):
-    teams = entries(spark, sf)
-    bracket = X.qualifiers(group_table(spark, sf), SEED, DIRECT, EXTRA).join(teams, "actor").select("trial", "slot", "no", "elo", "host")
-    return X.knockout(bracket, SIZE, SEED).join(teams, "no").select("trial", "actor")
+    return X.champions(trial_ids(spark, sf), entries(spark, sf), fixtures(spark, sf), SEED, DIRECT, EXTRA, GROUPS)
 
 
 @query("x1_trial_draws", f"SELECT trial, fixture, home, away, {rnd('u', 9)} AS u FROM draws")

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from matchloom.functions.outcomes import outcome_label, result_score
 from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.functions.rules import rating_weight
-from matchloom.functions.scores import PROFILE_DEFAULTS, composite_strength, row_mean
+from matchloom.functions.scores import row_mean
 from matchloom.operators.clean import first_per_key, latest_per_key
 from matchloom.operators.features import match_features as build_match_features
 from matchloom.operators.ordered import with_ordinal
+from matchloom.operators.profiles import form_snapshot, rankings_view, team_profile
 from matchloom.operators.rating import final_ratings, sequential_rating
 from matchloom.operators.reshape import contest_sides
 from matchloom.storage import materialize, stored
@@ -175,18 +176,7 @@ def player_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def team_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot per actor over all pools: points of the last five contests, averages, win share, contests."""
-    long = contest_long(spark, sf_dir)
-    latest = Window.partitionBy("actor").orderBy(F.col("d").desc(), F.col("pool").desc(), F.col("seq").desc())
-    last5 = long.select("actor", "points", F.row_number().over(latest).alias("rn")).filter(F.col("rn") <= 5)
-    form = last5.groupBy("actor").agg(F.sum("points").cast("double").alias("form_score"))
-    games = F.count(F.lit(1))
-    totals = long.groupBy("actor").agg(
-        round_half_up(ratio(F.sum("gf"), games), 3).alias("goals_scored_avg"),
-        round_half_up(ratio(F.sum("ga"), games), 3).alias("goals_conceded_avg"),
-        round_half_up(ratio(F.sum((F.col("points") == 3).cast("int")), games), 4).alias("win_pct"),
-        games.alias("total_matches"),
-    )
-    return form.join(totals, "actor")
+    return form_snapshot(contest_long(spark, sf_dir), ["d", "pool", "seq"])
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,33 +185,14 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         ranks = ranks_latest(spark, sf_dir).select("actor", "rank", F.col("points").alias("rank_points"))
         players = squad_latest(spark, sf_dir).select(F.col("country").alias("actor"), *SQUAD_SCORES)
-        joined = (
-            elo_ratings(spark, sf_dir)
-            .join(team_form(spark, sf_dir), "actor", "left")
-            .join(ranks, "actor", "left")
-            .join(players, "actor", "left")
-            .fillna(PROFILE_DEFAULTS)
-        )
-        strength = composite_strength(*[F.col(c) for c in ("elo_rating", "rank", "form_score", "win_pct", "avg_overall")])
-        return joined.withColumn("team_strength_score", round_half_up(strength, 6))
+        return team_profile(elo_ratings(spark, sf_dir), team_form(spark, sf_dir), ranks, players)
 
     return stored(spark, sf_dir, "profile", build)
 
 
 def team_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile under its reporting names."""
-    return profile(spark, sf_dir).select(
-        F.col("actor").alias("team"),
-        F.col("elo_rating").alias("elo"),
-        F.col("form_score").alias("form"),
-        "rank",
-        "rank_points",
-        "win_pct",
-        F.col("goals_scored_avg").alias("avg_goals_scored"),
-        F.col("goals_conceded_avg").alias("avg_goals_conceded"),
-        F.col("avg_overall").alias("player_strength"),
-        "team_strength_score",
-    )
+    return rankings_view(profile(spark, sf_dir))
 
 
 def title_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
