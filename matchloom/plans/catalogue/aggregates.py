@@ -31,20 +31,27 @@ _SCALED = {"elo_score": "elo", "form_score_norm": "form", "player_score_norm": "
 _NORMS = ", ".join(
     f"CASE WHEN min({c}) OVER () = max({c}) OVER () THEN 1.0 ELSE ({c} - min({c}) OVER ())::DOUBLE / nullif(max({c}) OVER () - min({c}) OVER (), 0) END AS {n}" for n, c in _SCALED.items()
 )
-VIEWS["power_base"] = f"""
-SELECT r.*, coalesce(championship_probability, 0)::DOUBLE AS championship_probability, {_NORMS} FROM team_rankings r LEFT JOIN title_odds t ON r.team = t.team
-"""
 _INDEX = (
     "((elo_score * 0.30::DOUBLE + form_score_norm * 0.20::DOUBLE + player_score_norm * 0.20::DOUBLE + win_score_norm * 0.15::DOUBLE"
     " + (1.0::DOUBLE - rank_inv) * 0.15::DOUBLE) * 100.0::DOUBLE)"
 )
-VIEWS["power"] = f"""
+
+
+def define_power(name: str, source: str) -> None:
+    """DuckDB views of the power index over a rankings table."""
+    VIEWS[f"{name}_base"] = f"""
+SELECT r.*, coalesce(championship_probability, 0)::DOUBLE AS championship_probability, {_NORMS} FROM {source} r LEFT JOIN title_odds t ON r.team = t.team
+"""
+    VIEWS[name] = f"""
 SELECT *, rank() OVER (ORDER BY elo DESC) AS elo_rank, rank() OVER (ORDER BY form DESC) AS form_rank, rank() OVER (ORDER BY player_strength DESC) AS player_strength_rank,
   rank() OVER (ORDER BY win_pct DESC) AS win_pct_rank, rank() OVER (ORDER BY power_index DESC) AS power_rank
-FROM (SELECT *, {rnd(_INDEX, 9)} AS power_index FROM power_base)
+FROM (SELECT *, {rnd(_INDEX, 9)} AS power_index FROM {name}_base)
 """
 
 
+define_power("power", "team_rankings")
+
+
 def power_table(spark, sf):
     return V.stored(spark, sf, "power", lambda: P.power_index(V.team_rankings(spark, sf), V.title_odds(spark, sf)))
 
@@ -310,15 +317,15 @@ _SPREAD = ", ".join(f"abs(avg({f}) FILTER (label = 2) - avg({f}) FILTER (label =
 _HIGH = ", ".join(f"abs(avg({f}) FILTER (label = 1) - avg({f})) AS {f}" for f in _NUMERIC)
 
 
-@query(
-    "a22_importance",
-    f"""WITH v AS (SELECT 'win gap' AS model, {_SPREAD} FROM match_features UNION ALL SELECT 'draw gap', {_HIGH} FROM match_features),
+VIEWS["importance_table"] = f"""WITH v AS (SELECT 'win gap' AS model, {_SPREAD} FROM match_features UNION ALL SELECT 'draw gap', {_HIGH} FROM match_features),
     l AS (UNPIVOT v ON {', '.join(_NUMERIC)} INTO NAME feature VALUE value),
     s AS (SELECT *, value / sum(value) OVER (PARTITION BY model) AS share FROM l),
     i AS (SELECT feature, {rnd('avg(share)', 8)} AS importance FROM s GROUP BY feature)
     SELECT feature, importance, rank() OVER (ORDER BY importance DESC) AS importance_rank, {rnd('(importance / sum(importance) OVER () * 100)', 2)} AS importance_pct,
-    {rnd('((importance - min(importance) OVER ()) / (max(importance) OVER () - min(importance) OVER ()))', 4)} AS importance_norm FROM i""",
-)
+    {rnd('((importance - min(importance) OVER ()) / (max(importance) OVER () - min(importance) OVER ()))', 4)} AS importance_norm FROM i"""
+
+
+@query("a22_importance", "SELECT feature, importance, importance_rank, importance_pct, importance_norm FROM importance_table")
 def importance(spark, sf):
     from matchloom.operators.ranks import global_ranks
 

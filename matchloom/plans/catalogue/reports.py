@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from matchloom.functions import rules
@@ -10,8 +11,11 @@ from matchloom.operators import aggregates as A
 from matchloom.operators.ranks import global_ranks
 from matchloom.operators.summary import match_summary
 from matchloom.plans import views as V
-from matchloom.plans.catalogue.aggregates import _record_sql, power_table
-from matchloom.plans.oracle_views import rnd
+from matchloom.operators.columns import canonical_map, resolve_names
+from matchloom.operators.power import power_index
+from matchloom.plans.catalogue.aggregates import _record_sql, category_totals, define_power, importance, power_table
+from matchloom.plans.catalogue.scalars import _GROUPS
+from matchloom.plans.oracle_views import VIEWS, rnd
 from matchloom.plans.registry import query
 
 T = V.table
@@ -50,8 +54,6 @@ def history(spark, sf):
     f"SELECT actor AS team, ts AS date, rank, points, {rnd('(points - lag(points) OVER (PARTITION BY actor ORDER BY ts))', 2)} AS points_change FROM rank_hist WHERE actor IN ({_TOP})",
 )
 def rank_trend(spark, sf):
-    from pyspark.sql import Window
-
     previous = F.lag("points").over(Window.partitionBy("actor").orderBy("ts"))
     chosen = V.rank_hist(spark, sf).filter(F.col("actor").isin(*TOP))
     change = round_half_up(F.col("points") - previous, 2).alias("points_change")
@@ -64,8 +66,6 @@ def rank_trend(spark, sf):
     sum(home_score + away_score)::BIGINT AS total_goals FROM contest WHERE tournament IN ('FIFA World Cup', 'UEFA Euro', 'Copa América', 'Africa Cup of Nations', 'AFC Asian Cup') GROUP BY tournament""",
 )
 def goals_by_competition(spark, sf):
-    from matchloom.plans.catalogue.aggregates import category_totals
-
     return category_totals(spark, sf)
 
 
@@ -157,3 +157,26 @@ def confederations(spark, sf):
         round_half_up(F.avg("power_index"), 4).alias("avg_power_index"),
         round_half_up(F.sum("championship_probability"), 2).alias("combined_odds"),
     )
+
+
+_RANKING_NUMBERS = "elo form rank rank_points win_pct avg_goals_scored avg_goals_conceded player_strength team_strength_score".split()
+VIEWS["merged_rankings"] = f"""
+SELECT CASE WHEN r.team = 'NATION_5' THEN 'NATION_6' ELSE r.team END AS team, {', '.join(f'max({c}) AS {c}' for c in _RANKING_NUMBERS)}
+FROM team_rankings r JOIN nation ON r.team = n_name WHERE n_nationkey < 20 GROUP BY 1
+"""
+define_power("dashboard_power", "merged_rankings")
+
+
+@query("report_dashboard_rankings", f"SELECT team, {', '.join(_RANKING_NUMBERS)}, championship_probability, {rnd('power_index', 6)} AS power_index, power_rank FROM dashboard_power")
+def dashboard_rankings(spark, sf):
+    """Rankings of known teams only, one row per canonical name, with a power index of their own."""
+    known = canonical_map([T(spark, sf, "nation").filter(F.col("n_nationkey") < 20).select(F.col("n_name").alias("name"))], {"nation_5": "NATION_6"})
+    named = resolve_names(V.team_rankings(spark, sf), "team", known, "canonical").filter(F.col("canonical") != "")
+    merged = A.collapse(named.drop("team").withColumnRenamed("canonical", "team"), "team", _RANKING_NUMBERS, [], "team")
+    table = power_index(merged, V.title_odds(spark, sf))
+    return table.select("team", *_RANKING_NUMBERS, "championship_probability", round_half_up(F.col("power_index"), 6).alias("power_index"), "power_rank")
+
+
+@query("report_feature_importance", f"SELECT feature, importance, importance_rank, importance_pct, importance_norm, {_GROUPS} AS feature_group FROM importance_table")
+def feature_importance(spark, sf):
+    return importance(spark, sf).withColumn("feature_group", rules.feature_group(F.col("feature")))
