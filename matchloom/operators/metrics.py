@@ -39,13 +39,18 @@ def class_report(matrix: DataFrame) -> DataFrame:
         "support",
         "hit",
     )
+    # One row per class by construction, so the class rows travel in an array beside their means:
+    # the matrix, and whatever predicts behind it, is read once.
     scores = ("precision", "recall", "f1")
     total = F.sum("support")
-    macro = per_class.agg(*[F.avg(s).alias(s) for s in scores], total.alias("support")).withColumn("name", F.lit("macro avg"))
-    weighted = per_class.agg(*[ratio(F.sum(F.col(s) * F.col("support")), total, 0.0).alias(s) for s in scores], total.alias("support"))
-    accuracy = ratio(F.sum("hit"), total, 0.0)
-    overall = per_class.agg(*[accuracy.alias(s) for s in scores], total.alias("support")).withColumn("name", F.lit("accuracy"))
-    return per_class.drop("hit").unionByName(macro).unionByName(weighted.withColumn("name", F.lit("weighted avg"))).unionByName(overall)
+    line = lambda name, value: F.struct(name.alias("name"), *[value(s).alias(s) for s in scores], total.alias("support"))
+    one = per_class.agg(
+        F.collect_list(F.struct("name", *scores, "support")).alias("classes"),
+        line(F.lit("macro avg"), lambda s: F.avg(s)).alias("macro"),
+        line(F.lit("weighted avg"), lambda s: ratio(F.sum(F.col(s) * F.col("support")), total, 0.0)).alias("weighted"),
+        line(F.lit("accuracy"), lambda s: ratio(F.sum("hit"), total, 0.0)).alias("overall"),
+    )
+    return one.select(F.explode(F.concat("classes", F.array("macro", "weighted", "overall"))).alias("r")).select("r.*")
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.operators.features import FEATURES
 from matchloom.operators.metrics import CLASSES, class_report, confusion_matrix
+from matchloom.storage import materialize
 
 NAMES = ("logistic_regression", "random_forest", "boosted_trees")
 
@@ -122,7 +123,8 @@ def score_fixtures(model: PipelineModel, fixtures: DataFrame, home: str = "home_
 
 def model_metrics(name: str, predictions: DataFrame) -> DataFrame:
     """One row: accuracy, macro and weighted F1 and the confusion matrix as an array of rows."""
-    matrix = confusion_matrix(predictions)
+    # Written out because two results read it, and behind it stands the scoring of all rows.
+    matrix = materialize(confusion_matrix(predictions), "confusion")
     report = class_report(matrix)
     figure = lambda row: F.max(F.when(F.col("name") == row, F.col("f1")))
     one = report.agg(*[round_half_up(figure(r), 4).alias(c) for c, r in (("accuracy", "accuracy"), ("f1_macro", "macro avg"), ("f1_weighted", "weighted avg"))])
