@@ -8,8 +8,6 @@ plain window. Keys must not be null.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,7 +135,3 @@ def chronological_split(df: DataFrame, groups: list[str], order: list[str], trai
     position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order)) + F.col("before")
     sliced = marked.filter(straddles).withColumn("split", F.when(position <= F.col("__cut"), "train").otherwise("test"))
     return whole.unionByName(sliced).drop("n", "before", "__cut")
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

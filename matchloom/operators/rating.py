@@ -122,7 +122,7 @@ def _moved_chunks(new: DataFrame, old: DataFrame | None, start: float, tolerance
     return materialize(both.filter(gap > tolerance).select("__chunk").distinct(), "rating-moved")
 
 
-def final_ratings(rated: DataFrame, seq: str, digits: int | None = None) -> DataFrame:
+def final_ratings(rated: DataFrame, seq: str) -> DataFrame:
     """Rating of each (pool, actor) after its last contest."""
     side = lambda who: F.struct(F.col(who).alias("actor"), F.col(f"elo_{who}_post").alias("rating"))
     long = rated.select("pool", seq, F.explode(F.array(side("home"), side("away"))).alias("s")).select("pool", seq, "s.*")

@@ -44,7 +44,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, scope: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Feature-store table ``name`` of input ``scope``: built by the first reader, reused by the others."""
+    """Feature-store table ``name`` of input ``scope``: built by the first reader, reused by the others.
+
+    An input folder is taken to stay as it is for the life of a session.
+    """
     key = (spark.sparkContext.applicationId, scope, name)
     if key not in _STORED:
         df = build()

@@ -20,5 +20,16 @@ def test_returns_rows(spark, sf_dir, name):
     assert not registry.QUERIES[name](spark, sf_dir).isEmpty()
 
 
+def test_entry_point(spark):
+    import importlib.util
+    from pathlib import Path
+
+    spec = importlib.util.spec_from_file_location("entry", Path(__file__).resolve().parents[1] / "__spark_entry__.py")
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    assert module.entry(spark).count() == 20
+    assert module.queries().keys() == registry.QUERIES.keys() and module.oracle_sql() == registry.CHECKS
+
+
 def test_checks_belong_to_queries():
     assert set(registry.CHECKS) <= set(registry.QUERIES)
