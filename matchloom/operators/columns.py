@@ -42,8 +42,10 @@ def canonical_map(sources: list[DataFrame], aliases: dict[str, str]) -> DataFram
     Each source has one column ``name``; within one source the last name in text order wins.
     """
     ranked = [s.select(normalized_id(F.col("name")).alias("key"), F.trim("name").alias("name"), F.lit(i).alias("priority")) for i, s in enumerate(sources)]
-    fixed = sources[0].sparkSession.range(1).select(F.explode(literal_map(aliases)).alias("key", "name"), F.lit(len(sources)).alias("priority"))
-    everything = reduce(lambda a, b: a.unionByName(b), [*ranked, fixed]).filter(F.col("key") != "")
+    if aliases:
+        one = sources[0].sparkSession.range(1)
+        ranked.append(one.select(F.explode(literal_map(aliases)).alias("key", "name"), F.lit(len(sources)).alias("priority")))
+    everything = reduce(lambda a, b: a.unionByName(b), ranked).filter(F.col("key") != "")
     return everything.groupBy("key").agg(F.max(F.struct("priority", "name"))["name"].alias("name"))
 
 

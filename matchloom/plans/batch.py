@@ -117,6 +117,11 @@ def train(store: Store, table: DataFrame, settings: M.Settings) -> dict[str, Dat
 
 
 def simulate(store: Store, profile: DataFrame, groups: DataFrame, n_trials: int, seed: int, direct: int, extra: int) -> dict[str, DataFrame]:
+    # Team names of the tournament may be spelt another way than in the results; what stays unknown is reported.
+    known = canonical_map([profile.select(F.col("actor").alias("name"))], {})
+    named = store.put("tournament_names", resolve_names(groups, "actor", known, "known"))
+    unmatched = named.filter(F.col("known") == "").select("grp", "actor")
+    groups = named.withColumn("actor", F.when(F.col("known") != "", F.col("known")).otherwise(F.col("actor"))).drop("known")
     rated = groups.join(profile.select("actor", F.col("elo_rating").alias("elo")), "actor", "left").fillna({"elo": 1500.0})
     entries = store.put("tournament", X.tournament(rated, HOSTS))
     fixtures = store.put("fixtures", X.rated_fixtures(entries))
@@ -124,7 +129,7 @@ def simulate(store: Store, profile: DataFrame, groups: DataFrame, n_trials: int,
     won = X.champions(trials, entries, fixtures, seed, direct, extra, entries.select("grp").distinct().count())
     odds = store.report("title_odds", frequency_table(won.withColumnRenamed("actor", "team"), "team", "champion_count", "championship_probability"))
     write_json(nested_summary(odds, n_trials, "team", "champion_count", "championship_probability"), f"{store.folder}/trial_summary")
-    return {"title_odds": odds}
+    return {"title_odds": odds, "unmatched_teams": unmatched}
 
 
 def reports(store: Store, raw: dict[str, DataFrame], out: dict[str, DataFrame]) -> dict[str, DataFrame]:

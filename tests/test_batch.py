@@ -45,7 +45,7 @@ def raw_dir(tmp_path_factory):
 
 
 def test_run(spark, raw_dir, tmp_path):
-    groups = spark.createDataFrame([(g, s, t) for g, ts in (("A", ["Spain", "United States", "Iran", "Peru"]), ("B", ["Japan", "Ghana", "Chile", "Nowhere"])) for s, t in enumerate(ts, 1)], "grp string, seed int, actor string")
+    groups = spark.createDataFrame([(g, s, t) for g, ts in (("A", ["Spain", "United States", "Iran", "Perú"]), ("B", ["Japan", "Ghana", "Chile", "Nowhere"])) for s, t in enumerate(ts, 1)], "grp string, seed int, actor string")
     quick = Settings(max_iter=20, forest_trees=4, forest_depth=4, boost_rounds=2)
     out = batch.run(spark, raw_dir, str(tmp_path / "out"), groups, n_trials=200, settings=quick, extra=1)
     features = out["match_features"]
@@ -58,6 +58,7 @@ def test_run(spark, raw_dir, tmp_path):
     assert "Soviet Union" not in {r.team for r in out["team_rankings_dashboard"].collect()}
     figures = {r.metric_name: r.value for r in out["executive_summary"].collect()}
     assert figures["total_matches"] == "20" and figures["total_tournaments"] == "2" and figures["simulation_runs"] == "200"
+    assert [tuple(r) for r in out["unmatched_teams"].collect()] == [("B", "Nowhere")]
     assert out["evaluation_report"].count() == 3 and out["best_model"].count() == 1
     assert out["historical_match_summary"].filter("match_date is null or match_time <> '15:00'").isEmpty()
     assert spark.read.parquet(str(tmp_path / "out/clean/former_names")).count() == 1
