@@ -32,3 +32,114 @@ def op9_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchloom.llm.stream_dedup import exact_copies
 
     return exact_copies(table(spark, sf_dir, "documents")).drop("__at")
+
+
+SHARDS = 40
+# CRC-32 of UTF-8 texts in DuckDB: a table from the polynomial, then a fold over the bytes.
+CRC_SQL = r"""
+t AS (SELECT list(list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) r(i)),
+texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+crcs AS (SELECT text, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(octet_length(encode(text))), lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT),
+  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS crc FROM texts, t)
+"""
+
+
+@query(rf"""
+WITH {CRC_SQL},
+d AS (SELECT doc_id, coalesce(octet_length(encode(documents.text)), 0) + 16 AS size, crc AS text_crc32, coalesce(doc_id::VARCHAR, '\N') AS k FROM documents JOIN crcs ON crcs.text = coalesce(documents.text, '')),
+k AS (SELECT DISTINCT k FROM d),
+draws AS (SELECT k, s, -ln((('0x' || substr(md5(k || ':' || (s // 2)), (1 + 16 * (s % 2))::INT, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE) AS draw FROM k, range({SHARDS + 1}) r(s)),
+chosen AS (SELECT k, arg_min(s, draw) FILTER (WHERE s < {SHARDS}) AS shard, arg_min(s, draw) AS grown_shard FROM draws GROUP BY k)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws(chr(31), k, size, text_crc32))) - 1 AS slot FROM d JOIN chosen USING (k)
+""")
+def op2_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.sharding import assign
+
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return assign(rows, "doc_id", [1.0] * SHARDS, [1.0] * (SHARDS + 1)).withColumn("law", F.lit("key"))
+
+
+# Relative weights of nodes of the tree domain / language / source; others weigh 1.
+MIX_WEIGHTS = {("web",): 5, ("books",): 3, ("code",): 2, ("web", "en"): 6, ("web", "de"): 3, ("books", "es"): 4, ("web", "en", "src0"): 2, ("code", "fr", "src11"): 3}
+MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 120, 4, 17
+
+
+def mix_levels(domain_of: str = "source") -> dict:
+    """The domain stands for groups of sources: web, books, code by the number in the source's name."""
+    number = F.try_to_number(F.regexp_extract(domain_of, "([0-9]+)$", 1), F.lit("999999999")).cast("long") % 3
+    domain = F.when(number == 1, "books").when(number == 2, "code").otherwise("web")
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _case(depth: int) -> str:
+    names = ("domain", "lang", "source")[:depth]
+    whens = [f"WHEN {' AND '.join(f'{n} = {chr(39)}{v}{chr(39)}' for n, v in zip(names, path))} THEN {w}" for path, w in MIX_WEIGHTS.items() if len(path) == depth]
+    return f"CASE {' '.join(whens)} ELSE 1 END" if whens else "1"
+
+
+def _divide_sql(depth: int) -> str:
+    path = ["domain", "lang", "source"][:depth]
+    parent = path[:-1]
+    keys, by = ", ".join(path), f"PARTITION BY {', '.join(parent)}" if parent else ""
+    order = f"{by} ORDER BY cap / weight, {path[-1]}"
+    source = f"JOIN b{depth - 1} USING ({', '.join(parent)})" if parent else ", b0"
+    return f"""
+c{depth} AS (SELECT {keys}, cap, {_case(depth)} AS weight FROM (SELECT {keys}, sum(supply * {MIX_EPOCHS}) AS cap FROM leaves GROUP BY {keys})),
+d{depth} AS (SELECT c{depth}.*, budget, coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+  sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM c{depth} {source}),
+e{depth} AS (SELECT *, bool_and(cap::HUGEINT * weights <= weight::HUGEINT * (budget - spent)) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS short FROM d{depth}),
+f{depth} AS (SELECT *, budget - sum(CASE WHEN short THEN cap ELSE 0 END) OVER ({by}) AS rest, sum(CASE WHEN short THEN 0 ELSE weight END) OVER ({by}) AS alls,
+  sum(CASE WHEN short THEN 0 ELSE weight END) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sofar FROM e{depth}),
+b{depth} AS (SELECT {keys}, CASE WHEN short THEN cap ELSE (sofar::HUGEINT * rest) // alls - ((sofar - weight)::HUGEINT * rest) // alls END::BIGINT AS budget FROM f{depth})"""
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens,
+  CASE coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 3, 0) WHEN 1 THEN 'books' WHEN 2 THEN 'code' ELSE 'web' END AS domain FROM documents),
+tagged AS (SELECT * FROM t WHERE tokens > 0),
+leaves AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS supply FROM tagged GROUP BY ALL),
+b0 AS (SELECT least(sum(supply) * {MIX_PERCENT} // 100, sum(supply) * {MIX_EPOCHS}) AS budget FROM leaves),
+{_divide_sql(1)}, {_divide_sql(2)}, {_divide_sql(3)},
+plan AS (SELECT *, budget // supply AS full_, budget % supply AS rest FROM leaves JOIN b3 USING (domain, lang, source)),
+x AS (SELECT *, unnest(range(full_ + 1)) AS epoch FROM tagged JOIN plan USING (domain, lang, source)),
+y AS (SELECT *, md5(concat_ws(':', '{MIX_SEED}', epoch, doc_id, tokens)) AS place FROM x),
+z AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM y),
+r AS (SELECT doc_id, domain, lang, source, epoch, tokens, CASE WHEN epoch < full_ THEN tokens ELSE greatest(0, least(tokens, rest - before)) END::BIGINT AS taken FROM z)
+SELECT * FROM r WHERE taken > 0
+""")
+def op4_mix_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), mix_levels(), MIX_WEIGHTS, MIX_PERCENT, MIX_EPOCHS, MIX_SEED)
+    return mixed.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), F.col("__epoch").alias("epoch"), F.col("__tokens").alias("tokens"), F.col("__taken").alias("taken"))
+
+
+MIN_SITES = 6
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '\N') AS site FROM documents),
+l AS (SELECT r, site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+b AS (SELECT trim(regexp_replace(line, '[\t\r]', ' ', 'g'), ' ') AS bare, count(DISTINCT site) AS sites FROM l GROUP BY bare HAVING bare <> '' AND sites >= {MIN_SITES}),
+m AS (SELECT l.*, b.bare IS NOT NULL AS gone FROM l LEFT JOIN b ON trim(regexp_replace(line, '[\t\r]', ' ', 'g'), ' ') = b.bare)
+SELECT doc_id, n_lines, n_removed, text_md5 FROM (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+  md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS text_md5 FROM m JOIN d USING (r, site) GROUP BY r)
+""".replace("any_value(doc_id)", "any_value(d.doc_id)"))
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.line_spread import clean_lines
+
+    return clean_lines(table(spark, sf_dir, "documents"), MIN_SITES).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+@query()
+def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.secret_scan import KINDS, find_secrets, joined
+
+    docs = table(spark, sf_dir, "documents")
+    found = find_secrets(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
+    base = F.filter("spans", lambda s: s["kind"] != "owned")
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    by_status = [F.size(F.filter("spans", lambda s: s["status"] == status)).cast("long").alias(f"n_{status}") for status in ("live", "shared", "example")]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *by_status)
