@@ -34,6 +34,7 @@ def project(ids: np.ndarray, ends: np.ndarray, dimensions: int = DIMENSIONS, see
     are linear, each token has one pseudo-random number in each dimension. Sums of n of them, over sqrt(n), are about
     normal, and a logistic curve makes them even.
     """
+    np.seterr(over="ignore")  # hashes wrap round
     table = np.arange(int(ids.max(initial=0)) + 1, dtype=np.uint64)
     out = np.empty((len(ends), dimensions))
     starts = np.concatenate([[0], ends[:-1]])

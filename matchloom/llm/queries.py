@@ -143,3 +143,13 @@ def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
     by_status = [F.size(F.filter("spans", lambda s: s["status"] == status)).cast("long").alias(f"n_{status}") for status in ("live", "shared", "example")]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *by_status)
+
+
+@query()
+def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from matchloom.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

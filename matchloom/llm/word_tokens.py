@@ -1,11 +1,12 @@
 """Token ids of whole texts, with each distinct word tokenised once.
 
 For vocabularies whose pre-tokeniser never joins text across white space, so that the ids of a text are those of its
-words, one after the other. That holds for the word-level BPE file; a check on the first text of a task guards it.
+words, one after the other. That holds for the word-level BPE file; tests compare whole texts.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -17,28 +18,46 @@ import pyarrow.compute as pc
 # distinct words. Apostrophes start pre-tokens of their own kind and stay.
 MARKS = r"(\pL)([.,!?;:%$#&*|()\-\"]+)"
 # Words remembered by a worker; a bound on its memory that doesn't change results.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+
+
+class _Words:
+    """Ids of words seen so far, end to end."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        new = [w for w in words if w not in self.place]
+        if len(self.place) + len(new) > REMEMBERED and self.place:
+            self.forget()
+            new = words
+        ids, sizes = [self.ids], [self.sizes]
+        for at in range(0, len(new), 2000):
+            part = new[at : at + 2000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            ids.append(np.array([i for each in found for i in each], np.uint32))
+            sizes.append(np.array([len(each) for each in found], np.int64))
+        if new:
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+            self.starts = np.cumsum(self.sizes) - self.sizes
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray]]:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    known: dict[str, np.ndarray] = {}
-
-    def ids_of(words: list[str]) -> list[np.ndarray]:
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            kept = {w: known[w] for w in words if w in known}
-            known.clear()
-            known.update(kept)
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, np.uint32)
-        return [known[w] for w in words]
+    known = _Words(tokenizer)
 
     def encode(texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end to end, and where each text ends; each has the end id after it."""
@@ -46,16 +65,18 @@ def encoder(path: str) -> Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray
         words = pc.split_pattern(pc.ascii_lower(spaced), " ")
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = pc.dictionary_encode(words.flatten())
-        pieces = ids_of(flat.dictionary.to_pylist())
-        pieces.append(np.array([end_id], np.uint32))
-        index = np.insert(flat.indices.to_numpy(zero_copy_only=False), np.cumsum(counts), len(pieces) - 1) if len(counts) else np.zeros(0, np.int64)
-        sizes = np.array([len(p) for p in pieces], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        pool = np.concatenate(pieces)
-        lengths = sizes[index]
-        total = np.cumsum(lengths)
-        source = np.repeat(starts[index] - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
-        ends = total[np.cumsum(counts + 1) - 1] if len(counts) else np.zeros(0, np.int64)
-        return pool[source], ends
+        place = known.places(flat.dictionary.to_pylist())
+        index = place[flat.indices.to_numpy(zero_copy_only=False)]
+        lengths, last = known.sizes[index], np.cumsum(counts)
+        # Of each word the place of its first id in the output: ids of all words before it, and an end id a text.
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        text_of = np.repeat(np.arange(len(counts)), counts)
+        ends = upto[last] + np.arange(1, len(counts) + 1)
+        out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint32)
+        total = int(upto[-1])
+        step = np.arange(total)
+        source = np.repeat(known.starts[index] - upto[:-1], lengths) + step
+        out[step + np.repeat(text_of, lengths)] = known.ids[source]
+        return out, ends
 
     return encode
