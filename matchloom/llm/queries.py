@@ -153,3 +153,16 @@ def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, payload_bytes, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN top > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN top > page_id THEN top END AS refers_to FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
+""")
+def op5_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.warc import normalise, read_records, resolve, write_monolithic
+
+    archives = normalise(write_monolithic(resolve(table(spark, sf_dir, "pages"))))
+    return read_records(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
