@@ -166,3 +166,16 @@ def op5_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     archives = normalise(write_monolithic(resolve(table(spark, sf_dir, "pages"))))
     return read_records(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("""
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a, v b WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+c(u, w) AS (SELECT u, w FROM l UNION SELECT c.u, l.w FROM c JOIN l ON c.w = l.u),
+n AS (SELECT u, count(*) AS n FROM l GROUP BY u), m AS (SELECT u, min(w) AS low FROM c GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, low) AS component_id, vec_id <= coalesce(low, vec_id) AS kept FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN m ON m.u = vec_id
+""")
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.vector_index import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
