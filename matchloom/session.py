@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime settings: correctness needs UTC, scale needs AQE with its skew handling.
@@ -31,3 +35,20 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application, so that they need no path of the driver's."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="matchloom-")) / "matchloom.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(app)
+    return spark
