@@ -179,3 +179,30 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matchloom.llm.vector_index import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 75 * (a.n + b.n - c)),
+c(u, v) AS (SELECT u, v FROM l UNION SELECT c.u, l.v FROM c JOIN l ON c.v = l.u),
+m AS (SELECT u, min(v) AS low FROM c GROUP BY u)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, low) AS component_id, d.doc_id = least(d.doc_id, low) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.u = d.doc_id
+""")
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.set_join import near_copies
+
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.language import held_out, learn, predictor
+
+    docs = table(spark, sf_dir, "documents")
+    predict = predictor(learn(docs))
+    read = docs.select("doc_id", predict(F.col("text")).alias("found"))
+    return read.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
