@@ -133,16 +133,22 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents"), MIN_SITES).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
-@query()
-def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from matchloom.llm.secret_scan import KINDS, find_secrets, joined
+def secret_columns() -> list:
+    """What the query returns of a row's spans."""
+    from matchloom.llm.secret_scan import KINDS, joined
 
-    docs = table(spark, sf_dir, "documents")
-    found = find_secrets(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
     base = F.filter("spans", lambda s: s["kind"] != "owned")
     counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
     by_status = [F.size(F.filter("spans", lambda s: s["status"] == status)).cast("long").alias(f"n_{status}") for status in ("live", "shared", "example")]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *by_status)
+    return ["doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *by_status]
+
+
+@query()
+def op10_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.secret_scan import find_secrets
+
+    found = find_secrets(table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
+    return found.select(*secret_columns())
 
 
 @query()
