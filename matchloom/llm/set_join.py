@@ -71,7 +71,8 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     values = hashes[codes[real]] if len(codes) else np.zeros(0, np.uint64)
     counts = np.bincount(text_of, minlength=len(counts))
     ends = np.cumsum(counts)
-    weights = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & 0xFFFFFFFFFFFFFFFF | 1) for k in range(words)]
+    # Unrelated odd weights: sums with related ones would be equal for some orders of the same words.
+    weights = _mix(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     rolled = np.zeros(max(0, len(values) - words + 1), np.uint64)
     for k, weight in enumerate(weights):
         rolled += values[k : k + len(rolled)] * weight
