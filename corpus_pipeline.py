@@ -31,7 +31,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: the longest original, then the smallest id."""
     rows = located(docs)
-    gone = stream_dedup.exact_copies(docs).where("NOT kept").select("__at")
+    gone = stream_dedup.exact_copies(rows).where("NOT kept").select("__at")
     return rows.join(gone, "__at", "left_anti").select(*docs.columns)
 
 
