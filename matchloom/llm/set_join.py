@@ -1,16 +1,16 @@
 """Near-duplicate texts by a chosen-path set similarity join.
 
 A document is the set of its word shingles. Each of several independent trees branches on minwise tokens: a node picks
-a few of the 64 minwise hashes by its own seed, and a document goes to one child for each pick, named by the token that
-is its minimum there. Similar documents share a child with a probability that doesn't fall with depth. Small nodes are
-compared exhaustively; large ones branch on. The number of trees follows from the target recall.
+one or two of the 64 minwise hashes by its own seed, 1 / threshold on average, and a document goes to one child for each
+pick, named by the token that is its minimum there. So pairs below the threshold get fewer with depth, while those above
+don't. Small nodes are compared exhaustively; large ones branch on. The number of trees follows from the target recall.
 
 What keeps the work in proportion to the table:
 
 * Documents with equal sets are one class, whose smallest id takes part.
 * A large root node is also compared in blocks that share its smallest id. That joins groups of near copies of any size,
   and a node whose documents are all of one known component has nothing left to find and ends.
-* A node with a large component and few others compares the others with all of it, block by block, and ends too.
+* A node ends in exhaustive comparisons, block by block, once its largest component and the others are few blocks.
 * Blocks are compared by minwise agreement first, with a margin of 4.5 standard deviations, and only documents that
   have a possible partner there are compared on their full sets. A block returns a spanning forest of its links.
 
@@ -36,18 +36,21 @@ from matchloom.storage import materialize
 
 Batches = Iterator[pa.RecordBatch]
 COORDINATES = 64
-BRANCHES = 3
+# A node ends in comparisons when its largest component and the rest make at most this many pairs of blocks.
+BLOCKS = 16
 
 
-def trees_for(recall: float, similarity: float, branches: int = BRANCHES) -> int:
-    """Trees until a pair at the threshold is found with probability ``recall``, at any depth.
+def trees_for(recall: float, similarity: float, depth: int = 4) -> int:
+    """Trees until a pair at the threshold is found ``depth`` levels down with probability ``recall``.
 
-    One level finds it in no child with (1 - s * p)^branches, where p is the same for the next level.
+    The root has one pick. A node below has 1 / similarity of them on average: one, and with probability ``more`` a second.
+    With fewer a pair at the threshold would be lost with depth, with more those below it would multiply.
     """
-    found = 1.0
-    for _ in range(200):
-        found = 1 - (1 - similarity * found) ** branches
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
+    found, more = 1.0, 1 / similarity - 1
+    for _ in range(depth - 1):
+        hit = similarity * found
+        found = 1 - (1 - more) * (1 - hit) - more * (1 - hit) ** 2
+    return min(COORDINATES, max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity * found))))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -221,7 +224,7 @@ def _blocks(rows: DataFrame, node: list[str], size: Column, most: int) -> DataFr
     return rows.withColumn("block", F.pmod(F.xxhash64("id", *node), count))
 
 
-def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.999999, small: int = 64, depth: int = 12) -> DataFrame:
+def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 200, depth: int = 12) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     ``small``: documents of a node that is compared exhaustively. Nodes left at ``depth`` are compared in all pairs of
@@ -236,16 +239,15 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     lows = classes.groupBy("id").agg(F.any_value("low").alias("low"))
 
     join = _Join(source, lows, words, percent, small)
-    trees = trees_for(recall, percent / 100)
-    roots = [F.xxhash64(F.lit(t), F.lit(b), F.col("low")[(t * BRANCHES + b) % COORDINATES]) for t in range(trees) for b in range(BRANCHES)]
+    roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(trees_for(recall, percent / 100))]
     frontier = lows.select("id", F.explode(F.array(*roots)).alias("node"))
     links = join.roots(frontier)
     known = components(links)
     frontier, groups = join.large, []
     for level in range(1, depth + 1):
-        frontier, ready = join.branch(frontier, known, level)
+        frontier, ready, more = join.branch(frontier, known, level)
         groups.append(ready)
-        if frontier.isEmpty():
+        if not more:
             break
     else:
         groups.append(join.all_pairs(frontier))
@@ -275,7 +277,7 @@ class _Join:
         nodes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
         nodes = materialize(nodes, "nodes")
         rows = _blocks(frontier.join(nodes, "node"), ["node"], F.col("n"), self.small)
-        self.large = materialize(frontier.join(nodes.where(F.col("n") > self.small + 1).select("node"), "node").select("node", "id"), "large")
+        self.large = frontier.join(nodes.where(F.col("n") > self.small + 1).select("node"), "node").select("node", "id")
         members = rows.groupBy("node", "block").agg(F.collect_set("id").alias("ids"), F.min("first").alias("first"))
         return materialize(self.links(self._distinct(members.select(F.array_union("ids", F.array("first")).alias("ids")))), "links")
 
@@ -285,26 +287,33 @@ class _Join:
         groups = groups.select(F.xxhash64("ids").alias("g"), "ids").groupBy("g", "ids").agg(F.lit(1).alias("one"))
         return groups.select("g", F.explode("ids").alias("id"))
 
-    def branch(self, frontier: DataFrame, known: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-        """Children of the nodes that have more to find: those to branch on, and groups of those to compare."""
+    def branch(self, frontier: DataFrame, known: DataFrame, level: int) -> tuple[DataFrame, DataFrame, bool]:
+        """Children of the nodes that have more to find: those to branch on, groups of those to compare, and if any branch on."""
         node, low = F.col("node"), F.col("low")
-        picks = [F.pmod(F.xxhash64(node, F.lit(level), F.lit(b)), F.lit(COORDINATES)).cast("int") for b in range(BRANCHES)]
         if level > 1:
-            children = frontier.join(self.lows, "id").select("id", F.explode(F.array_distinct(F.array(*[F.xxhash64(node, p, low[p]) for p in picks]))).alias("node"))
+            first, second, chance = (F.pmod(F.xxhash64(node, F.lit(level), F.lit(i)), F.lit(n)).cast("int") for i, n in enumerate((COORDINATES, COORDINATES, 1000)))
+            children = [F.xxhash64(node, pick, low[pick]) for pick in (first, second)]
+            picked = F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*children))).otherwise(F.array(children[0]))
+            children = frontier.join(self.lows, "id").select("id", F.explode(picked).alias("node"))
         else:
             children = frontier
         labelled = children.join(known, "id", "left").select("node", "id", F.coalesce("component_id", "id").alias("label"))
         labelled = materialize(labelled, "children")
         sizes = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node")
         sizes = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("label", "n").alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-        sizes = materialize(sizes.withColumn("ready", F.col("n") - F.col("most") <= self.small), "sizes")
+        blocks_of = lambda rows: F.ceil(rows / F.lit(self.small))
+        few = blocks_of(F.col("most")) * blocks_of(F.col("n") - F.col("most")) <= BLOCKS
+        sizes = materialize(sizes.withColumn("ready", few), "sizes")
         rows = labelled.join(sizes, "node")
-        deeper = materialize(rows.where("NOT ready").select("node", "id"), "large")
+        deeper, more = rows.where("NOT ready").select("node", "id"), not sizes.where("NOT ready").isEmpty()
         done = rows.where("ready")
-        others = done.where("label <> main").groupBy("node").agg(F.collect_set("id").alias("others"))
-        blocks = _blocks(done.where("label = main"), ["node"], F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("ids"))
-        members = blocks.join(others, "node").select(F.array_union("ids", "others").alias("ids"))
-        return deeper, self._distinct(members)
+        others = _blocks(done.where("label <> main"), ["node"], F.col("n") - F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("others"))
+        main = _blocks(done.where("label = main"), ["node"], F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("ids"))
+        against = main.drop("block").join(others, "node").select(F.array_union("ids", "others").alias("ids"))
+        again = others.select("node", F.col("block").alias("other"), F.col("others").alias("ids"))
+        among = others.join(again, "node").where("block < other").select(F.array_union("ids", "others").alias("ids"))
+        members = against.union(among)
+        return deeper, self._distinct(members), more
 
     def all_pairs(self, frontier: DataFrame) -> DataFrame:
         """Groups that hold every pair of the documents of a node."""

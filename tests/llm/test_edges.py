@@ -315,7 +315,7 @@ def test_near_copies_in_deep_trees(documents):
 
 
 def test_trees_reach_the_recall():
-    assert set_join.trees_for(0.999999, 0.75) >= set_join.trees_for(0.99, 0.75) >= 1
+    assert set_join.COORDINATES > set_join.trees_for(0.9999, 0.75) > set_join.trees_for(0.99, 0.75) >= 1
 
 
 def test_components(spark):
