@@ -26,16 +26,18 @@ STREAM = {
     f"{ROCKS}.boundedMemoryUsage": "true",
     f"{ROCKS}.maxMemoryUsageMB": "256",
     f"{ROCKS}.changelogCheckpointing.enabled": "true",
+    f"{ROCKS}.allowFAllocate": "false",  # else each of many small stores takes megabytes of empty files
 }
 
 
 def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = 3) -> DataFrame:
-    """One row per document: __at, doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per document: __at, doc_id, keep_id, group_size, kept, text_sha256. ``docs`` may have come from ``located``.
 
     ``batches``: micro-batches the stream is cut into; it doesn't change the result.
     """
     spark = docs.sparkSession
-    source = located(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")))
+    rows = docs if "__at" in docs.columns else located(docs)
+    source = rows.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), "__at")
     text = F.coalesce("text", F.lit(""))
     landed = source.select("doc_id", F.unhex(F.sha2(plain(F.col("text")), 256)).alias("digest"), F.length(text).alias("points"), "__at")
     folder = new_path(spark, "landed")
