@@ -31,13 +31,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import batch_settings, components, partitions
+from matchloom.llm.common import batch_settings, components, partitions, settings
 from matchloom.storage import materialize
 
 Batches = Iterator[pa.RecordBatch]
 COORDINATES = 64
 # A node ends in comparisons when its largest component and the rest make at most this many pairs of blocks.
-BLOCKS = 16
+BLOCKS = 4
+# Joins of texts with the few ids that are needed get a Bloom filter of bounded size before the shuffle.
+EARLY_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100m",
+}
 
 
 def trees_for(recall: float, similarity: float, depth: int = 4) -> int:
@@ -327,7 +333,9 @@ class _Join:
         """Links inside groups, confirmed on full sets."""
         rows = groups.join(self.lows, "id").select("g", "id", "low").repartition(self.parts, "g").sortWithinPartitions("g", "id")
         possible = materialize(rows.mapInArrow(_possible(self.least), "g long, id long").distinct(), "possible")
-        wanted = possible.select("id").distinct()
-        texts = self.source.join(wanted, self.source["doc_id"] == wanted["id"]).groupBy("id").agg(F.max("text").alias("text"))
+        # Few documents have a possible partner: Spark filters the others out before the texts' shuffle.
+        wanted = possible.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id")
+        with settings(self.source.sparkSession, EARLY_FILTER):
+            texts = materialize(self.source.join(wanted, self.source["doc_id"] == wanted["id"], "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.max("text").alias("text")), "texts")
         full = possible.join(texts, "id").select("g", "id", "text").repartition(self.parts, "g").sortWithinPartitions("g", "id")
         return full.mapInArrow(_compare(self.words, self.percent), "u long, v long").distinct()
