@@ -20,8 +20,8 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 TABLES = ("contest", "rated", "match_features", "profile", "title_odds")
 HEADLINE = (
     "a1_dedup a5_pair_record a6_rollup a9_kpi_long a12_latest a14_power_index a21_class_report f4_any_column_search j5_asof j9_pair_features "
-    "o1_sort p11_round p15_normalize_id s8_profile w2_global_rank w3_min_ranks w4_rolling_form w5_expanding_stats w6_elo_final w8_chrono_split "
-    "x5_win_frequency m3_logreg"
+    "o1_sort p11_round p15_normalize_id s8_profile w2_global_rank w3_min_ranks w4_rolling_form w5_expanding_stats w6_elo_final w8_chrono_split w7_match_features j10_head_to_head "
+    "m3_logreg m8_persistence"
 ).split()
 
 

@@ -86,20 +86,30 @@ def canonical_name(name: Column, aliases: dict[str, str] = NAME_ALIASES) -> Colu
     return F.coalesce(F.try_element_at(literal_map(aliases), trimmed), trimmed)
 
 
-@F.pandas_udf(StringType())
-def strip_marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Compatibility decomposition without combining marks: the one step Spark SQL has no function for."""
+def _bare(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
+# Letters of the Latin blocks that are one plain character with marks, and that character.
+MARKED = {c: _bare(c) for block in ((0xA0, 0x250), (0x1E00, 0x1F00)) for c in map(chr, range(*block)) if len(_bare(c)) == 1 and _bare(c) != c}
+# Text that these tables cover: ASCII, Latin letters that are covered or have no decomposition, typographic marks.
+COVERED = "".join(re.escape(c) for block in ((0xA0, 0x250), (0x1E00, 0x1F00)) for c in map(chr, range(*block)) if c in MARKED or _bare(c) == c) + "".join(QUOTES).replace("`", "").replace("´", "")
 
-    def plain(run: re.Match) -> str:
-        return "".join(c for c in unicodedata.normalize("NFKD", run.group()) if not unicodedata.combining(c))
 
-    # ASCII neither decomposes nor combines, so only the other runs need the tables.
+@F.pandas_udf(StringType())
+def strip_marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Compatibility decomposition without combining marks, for texts outside the Latin tables."""
     for batch in batches:
-        yield batch.map(lambda value: None if value is None else NON_ASCII.sub(plain, value))
+        yield batch.map(lambda value: None if value is None else NON_ASCII.sub(lambda run: _bare(run.group()), value))
 
 
 def normalized_id(name: Column) -> Column:
-    """Accent-free, lower-case identifier with single spaces; empty for null or blank input."""
+    """Accent-free, lower-case identifier with single spaces; empty for null or blank input.
+
+    Latin text stays in Spark; Python gets only other texts, and null in their place elsewhere.
+    """
+    latin = F.translate(name, "".join(MARKED), "".join(MARKED.values()))
+    other = strip_marks(F.when(name.rlike(f"[^\\x00-\\x7f{COVERED}]"), name))
     marks = "".join(QUOTES)
-    plain = F.translate(strip_marks(name), marks + DROPPED, "".join(QUOTES.values()))
+    plain = F.translate(F.coalesce(other, latin), marks + DROPPED, "".join(QUOTES.values()))
     return F.coalesce(F.trim(F.regexp_replace(F.lower(plain), r"(?U)\s+", " ")), F.lit(""))

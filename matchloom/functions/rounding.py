@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Slack, in units of the last kept digit, by which a value just under a tie still counts as the tie.
-TIE_SLACK = 1e-6
-
-
 def round_half_up(value: Column, digits: int) -> Column:
-    """Half away from zero to ``digits``. Pure double arithmetic, so no decimal object per row."""
-    scale = float(10**digits)
-    return F.signum(value) * F.floor(F.abs(value) * F.lit(scale) + F.lit(0.5 + TIE_SLACK)) / F.lit(scale) + F.lit(0.0)
+    """Half away from zero to ``digits``, as double, of the shortest decimal that prints the number."""
+    return F.round(value.cast("double"), digits)
 
 
 def ratio(numerator: Column, denominator: Column, default: float | None = None) -> Column:

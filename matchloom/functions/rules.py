@@ -79,6 +79,36 @@ FEATURE_GROUP_RULES = (
     Rule("Match Context", any_of=("neutral",)),
 )
 
+# What each model feature means.
+FEATURE_DESCRIPTIONS = {
+    "neutral_match_flag": "Indicates matches played at neutral venues.",
+    "elo_diff": "Difference between home and away ELO ratings.",
+    "win_percentage_diff": "Difference in win percentage between teams.",
+    "goals_conceded_diff": "Difference in goals conceded averages.",
+    "ranking_diff": "Difference in FIFA ranking positions.",
+    "away_elo": "Away team ELO rating.",
+    "player_strength_diff": "Difference in average player strength.",
+    "goals_scored_diff": "Difference in goals scored averages.",
+    "home_avg_goals_conceded": "Home team average goals conceded.",
+    "home_elo": "Home team ELO rating.",
+    "away_avg_goals_conceded": "Away team average goals conceded.",
+    "away_avg_goals_scored": "Away team average goals scored.",
+    "away_win_percentage": "Away team win percentage.",
+    "home_win_percentage": "Home team win percentage.",
+    "home_avg_goals_scored": "Home team average goals scored.",
+    "away_player_strength": "Away team player strength.",
+    "home_player_strength": "Home team player strength.",
+    "away_fifa_rank": "Away team FIFA ranking.",
+    "home_fifa_rank": "Home team FIFA ranking.",
+    "form_diff": "Difference in recent form between home and away teams.",
+    "home_form": "Home team recent form score.",
+    "away_form": "Away team recent form score.",
+}
+DEFAULT_DESCRIPTION = "Feature importance contribution used by the match outcome model."
+
+# Competitions of the category report.
+REPORTED_COMPETITIONS = ("FIFA World Cup", "UEFA Euro", "Copa América", "Africa Cup of Nations", "AFC Asian Cup")
+
 # Probability tiers, lower bound in percent.
 TIERS = ((15.0, "Top Favourite"), (8.0, "Contender"), (3.0, "Dark Horse"))
 LOWEST_TIER = "Underdog"
@@ -102,3 +132,8 @@ def tier(percent: Column) -> Column:
     for bound, name in rest:
         expr = expr.when(percent >= bound, name)
     return expr.otherwise(LOWEST_TIER)
+
+
+def feature_description(feature: Column) -> Column:
+    texts = F.create_map(*[F.lit(x) for pair in FEATURE_DESCRIPTIONS.items() for x in pair])
+    return F.coalesce(F.try_element_at(texts, feature), F.lit(DEFAULT_DESCRIPTION))

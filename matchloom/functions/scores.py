@@ -23,6 +23,9 @@ PROFILE_DEFAULTS = {
     "avg_overall": 65.0,
     "avg_attack": 65.0,
     "avg_defense": 65.0,
+    "avg_pace": 65.0,
+    "avg_passing": 65.0,
+    "avg_dribbling": 65.0,
 }
 
 # Radar axes (column, low end, high end); a low end above the high end reverses the axis.

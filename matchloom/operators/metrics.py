@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.functions.rounding import ratio
+from matchloom.functions.rounding import ratio, round_half_up
+from matchloom.functions.rules import feature_description, feature_group
+from matchloom.functions.scores import min_max
+from matchloom.operators.ranks import report_ranks
 
 CLASSES = (0, 1, 2)
 CLASS_NAMES = {0: "Away Win", 1: "Draw", 2: "Home Win"}
@@ -64,3 +67,16 @@ def mean_importance(values: DataFrame) -> DataFrame:
     """Importance per feature: (model, feature, value) normalised per model, then averaged over models."""
     share = ratio(F.col("value"), F.sum("value").over(Window.partitionBy("model")), 0.0)
     return values.withColumn("share", share).groupBy("feature").agg(F.avg("share").alias("importance"))
+
+
+def scaled_importance(table: DataFrame) -> DataFrame:
+    """Add rank, percent of the total and min-max scale to (feature, importance), one row per feature."""
+    figures = table.agg(F.struct(F.sum("importance").alias("total"), F.min("importance").alias("low"), F.max("importance").alias("high")).alias("f")).scalar()
+    marked = table.withColumn("__f", figures)
+    percent = round_half_up(ratio(F.col("importance"), F.col("__f.total"), 0.0) * F.lit(100.0), 2)
+    scale = round_half_up(min_max(F.col("importance"), F.col("__f.low"), F.col("__f.high")), 4)
+    return report_ranks(marked.withColumns({"importance_pct": percent, "importance_norm": scale}).drop("__f"), {"importance": "importance_rank"})
+
+
+def described_importance(table: DataFrame) -> DataFrame:
+    return table.withColumns({"feature_group": feature_group(F.col("feature")), "description": feature_description(F.col("feature"))})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,7 +38,7 @@ class Settings:
     seed: int = 42
 
 
-def feature_contract(df: DataFrame, features: list[str] = FEATURES, label: str = "label", keep: tuple[str, ...] = ()) -> DataFrame:
+def feature_contract(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "label", keep: tuple[str, ...] = ()) -> DataFrame:
     """Features as double with nulls as 0, rows without a label dropped; a missing column is an error."""
     missing = [c for c in [*features, label] if c not in df.columns]
     if missing:
@@ -64,7 +65,7 @@ def with_class_weight(df: DataFrame, classes: tuple[int, ...] = CLASSES) -> Data
     return marked.withColumn("class_weight", ratio(F.col("__c.rows"), present * own)).drop("__c")
 
 
-def estimator(name: str, rows: int, settings: Settings = Settings(), features: list[str] = FEATURES) -> Estimator:
+def estimator(name: str, rows: int, settings: Settings = Settings(), features: Sequence[str] = FEATURES) -> Estimator:
     """Pipeline of one model. ``rows`` turns the inverse penalty into Spark's per-row penalty."""
     assemble = VectorAssembler(inputCols=list(features), outputCol="raw_features")
     s = settings
@@ -78,6 +79,7 @@ def estimator(name: str, rows: int, settings: Settings = Settings(), features: l
             featuresCol="raw_features",
             weightCol="class_weight",
             numTrees=s.forest_trees,
+            maxMemoryInMB=1024,
             maxDepth=s.forest_depth,
             minInstancesPerNode=max(1, s.forest_min_split // 2),
             seed=s.seed,
@@ -96,9 +98,22 @@ def estimator(name: str, rows: int, settings: Settings = Settings(), features: l
     raise ValueError(name)
 
 
-def train(name: str, training: DataFrame, settings: Settings = Settings(), features: list[str] = FEATURES) -> PipelineModel:
-    weighted = with_class_weight(training)
-    return estimator(name, training.count(), settings, features).fit(weighted)
+def train(name: str, training: DataFrame, settings: Settings = Settings(), features: Sequence[str] = FEATURES) -> PipelineModel:
+    # Written out once: a fit reads its rows very many times. The file's row count costs no scan.
+    weighted = materialize(with_class_weight(training), "training")
+    return estimator(name, weighted.count(), settings, features).fit(weighted)
+
+
+def largest_slope(model: PipelineModel, training: DataFrame, settings: Settings = Settings()) -> float:
+    """Largest absolute component of the gradient of the penalised, weighted log loss at a logistic fit's coefficients."""
+    fit = model.stages[-1]
+    rows = model.transform(with_class_weight(training)).select("label", "class_weight", vector_to_array("features").alias("x"), vector_to_array("probability").alias("p"))
+    each = rows.select("label", "class_weight", "p", F.posexplode("x").alias("feature", "x"))
+    error = lambda k: F.sum(F.col("class_weight") * F.col("x") * (F.col("p")[k] - (F.col("label") == k).cast("int")))
+    slopes = each.groupBy("feature").agg(*[error(k).alias(f"k{k}") for k in CLASSES], F.sum("class_weight").alias("weight"), F.count(F.lit(1)).alias("rows")).collect()
+    penalty = 1.0 / (settings.inverse_penalty * slopes[0]["rows"])
+    weights = fit.coefficientMatrix.toArray()
+    return max(abs(r[f"k{k}"] / r["weight"] + penalty * weights[k, r["feature"]]) for r in slopes for k in CLASSES)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -113,7 +128,8 @@ def score_fixtures(model: PipelineModel, fixtures: DataFrame, home: str = "home_
     source = "probability" if "probability" in scored.columns else "rawPrediction"
     p = vector_to_array(F.col(source))
     if source == "rawPrediction":
-        logistic = F.transform(p, lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(-x)))
+        # A boosted margin m stands for the probability 1 / (1 + exp(-2m)).
+        logistic = F.transform(p, lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * x)))
         total = F.aggregate(logistic, F.lit(0.0), lambda a, x: a + x)
         p = F.transform(logistic, lambda x: x / total)
     percent = lambda i: round_half_up(F.element_at(p, i + 1) * F.lit(100.0), 4)
@@ -139,7 +155,7 @@ def best_model(metrics: DataFrame, names: tuple[str, ...] = NAMES) -> DataFrame:
     return metrics.orderBy(F.col("accuracy").desc(), place).limit(1)
 
 
-def importances(models: dict[str, PipelineModel], df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
+def importances(models: dict[str, PipelineModel], df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """(feature, model, value) of the models that have importances; one-vs-rest sums its classifiers'."""
     rows = []
     for name, model in models.items():

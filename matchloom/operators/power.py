@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.functions.scores import POWER_WEIGHTS, min_max
 from matchloom.operators.aggregates import count_if, infer_total, most_frequent
-from matchloom.operators.ranks import global_ranks
+from matchloom.operators.ranks import report_ranks
 
 RANKED = {"elo": "elo_rank", "form": "form_rank", "player_strength": "player_strength_rank", "win_pct": "win_pct_rank", "power_index": "power_rank"}
 
@@ -53,7 +53,7 @@ def power_index(rankings: DataFrame, odds: DataFrame, drop_incomplete: bool = Fa
     ) * F.lit(100.0)
     # Rounding the index keeps equal teams equal when they are ranked.
     indexed = parts.drop("__rank_norm").withColumn("power_index", round_half_up(index, digits))
-    return global_ranks(indexed, RANKED)
+    return report_ranks(indexed, RANKED)
 
 
 def top_entries(table: DataFrame, key: str, value: str) -> Column:
@@ -138,3 +138,12 @@ def executive_summary(summary: DataFrame, power: DataFrame, odds: DataFrame) ->
     rows = F.array(*[F.struct(F.lit(n).alias("metric_name"), v.alias("value"), F.lit(c).alias("category")) for n, v, c in figures])
     # Without positive odds the number of runs is unknown and its row is left out.
     return one.select(F.explode(rows).alias("r")).select("r.*").filter((F.col("metric_name") != "simulation_runs") | F.col("value").isNotNull())
+
+
+def enriched_odds(odds: DataFrame) -> DataFrame:
+    """Title odds with the number of trials behind them, rank, top-ten flag and share."""
+    order = [F.col("championship_probability").desc(), F.col("team")]
+    runs = infer_total(odds, "champion_count", "championship_probability", order)
+    ranked = report_ranks(odds.withColumn("simulation_runs", runs), {"championship_probability": "probability_rank"})
+    share = round_half_up(F.col("championship_probability") / F.lit(100.0), 6)
+    return ranked.withColumns({"top_10_flag": F.col("probability_rank") <= 10, "championship_probability_share": share})

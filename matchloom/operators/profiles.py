@@ -29,7 +29,8 @@ def form_snapshot(long: DataFrame, order: list[str], games: int = 5) -> DataFram
 
 def team_profile(elo: DataFrame, form: DataFrame, ranks: DataFrame, squads: DataFrame) -> DataFrame:
     """Left joins on ``actor``, defaults for what is missing, composite strength. All inputs are unique on actor."""
-    joined = elo.join(form, "actor", "left").join(ranks, "actor", "left").join(squads, "actor", "left").fillna(PROFILE_DEFAULTS)
+    joined = elo.join(form, "actor", "left").join(ranks, "actor", "left").join(squads, "actor", "left")
+    joined = joined.fillna({c: v for c, v in PROFILE_DEFAULTS.items() if c in joined.columns})
     strength = composite_strength(*[F.col(c) for c in ("elo_rating", "rank", "form_score", "win_pct", "avg_overall")])
     return joined.withColumn("team_strength_score", round_half_up(strength, 6))
 

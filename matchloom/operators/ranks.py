@@ -1,50 +1,67 @@
-"""Global ranks without a global sort in one task."""
+"""Ranks over a whole table."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.storage import materialize
+# Of the 64 bits of a value's place three steps order 22, 21 and 21, so a window sees at most 2^22 rows.
+MIDDLE, LOW = 21, 21
 
-VALUES_PER_BUCKET = 200_000
-MAX_BUCKETS = 5_000
 
+def place(value: Column) -> Column:
+    """A double as a long of the same order: sign, exponent, mantissa. NaN is the largest, the two zeros are equal."""
+    size = F.abs(value)
+    smallest, largest = F.lit(2.0**-1022), F.lit(2047 << 52)
+    normal = (size >= smallest) & (size < float("inf"))
+    safe = F.when(normal, size).otherwise(1.0)
+    guess = F.floor(F.log2(safe))
+    power = F.pow(F.lit(2.0), guess)
+    # The logarithm may be off by one next to a power of two.
+    exponent = guess + (safe >= power * 2).cast("long") - (safe < power).cast("long")
+    mantissa = (safe / F.pow(F.lit(2.0), exponent) - 1) * float(1 << 52)
+    tiny = F.when(size < smallest, size).otherwise(0.0) / F.lit(2.0**-1000) * F.lit(2.0**74)
+    bits = F.when(normal, (exponent + 1023) * F.lit(1 << 52) + mantissa.cast("long"))
+    bits = F.when(F.isnan(value), largest + 1).when(size == float("inf"), largest).otherwise(F.coalesce(bits, tiny.cast("long")))
+    return F.when(value < 0, -bits).otherwise(bits)
 
-def global_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True, per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
-    """Add ``RANK()`` over the whole table for each numeric ``metric -> output`` pair; null ranks as null.
 
-    Rows are first counted per distinct value, so ties cost nothing. Value ranges found by approximate
-    quantiles give buckets of bounded size; a rank is the rows in better buckets, plus those with better
-    values in the bucket, plus one. Ranges only balance the work: any choice gives the same ranks.
+def report_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True) -> DataFrame:
+    """``RANK()`` for tables with a row per actor, which one task can order; null ranks as null."""
+    order = lambda c: F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last()
+    ranks = {out: F.when(F.col(m).isNotNull(), F.rank().over(Window.partitionBy(F.lit(0)).orderBy(order(m))).cast("bigint")) for m, out in metrics.items()}
+    return df.withColumns(ranks)
+
+
+def global_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True) -> DataFrame:
+    """Add ``RANK()`` over a table of any size for each numeric ``metric -> output`` pair; null ranks as null.
+
+    Rows are first counted per distinct value, so ties cost nothing. The values' places are ordered in three steps, by
+    their high, middle and low bits: a rank is one more than the rows with a smaller prefix, and of those with the
+    same prefix the ones before. No step orders more values than its bits can tell apart, whatever the table's size,
+    and nothing runs before the result is asked for.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
-    counts = materialize(
-        df.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")),
-        "rank-counts",
-    )
-    buckets = min(MAX_BUCKETS, -(-counts.count() // (per_bucket * len(metrics))))
-    sign = -1.0 if descending else 1.0
+    counts = df.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    key = -place(F.col("value")) if descending else place(F.col("value"))
+    counts = counts.withColumn("key", key).withColumns({"high": F.shiftright("key", MIDDLE + LOW), "middle": F.shiftright("key", LOW)})
+    ranks = _before(_before(counts, ["metric"], "high"), ["metric", "high"], "middle")
+    inside = Window.partitionBy("metric", "middle").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
+    rank = F.col("before_high") + F.col("before_middle") + F.coalesce(F.sum("n").over(inside), F.lit(0)) + 1
+    ranks = ranks.select("metric", "value", rank.cast("bigint").alias("rank"))
     result = df
     for metric, out in metrics.items():
-        own = counts.filter(F.col("metric") == metric).select((F.col("value") * sign).alias("key"), "value", "n")
-        ranks = _ranks(own, buckets).withColumnRenamed("rank", out)
-        result = result.join(ranks, result[metric].cast("double") == ranks["value"], "left").drop("value")
+        own = ranks.filter(F.col("metric") == metric).select(F.col("value").alias("__value"), F.lit(0).alias("__spread"), F.col("rank").alias(out))
+        # Rows without a value match nothing; spread out, they don't meet in one task.
+        spread = F.when(F.col(metric).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != metric]), F.lit(1_000_000)) + 1).otherwise(0)
+        own_key = F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
+        result = result.join(own, (own_key == F.col("__value")) & (spread == F.col("__spread")), "left").drop("__value", "__spread")
     return result
 
 
-def _ranks(counts: DataFrame, buckets: int) -> DataFrame:
-    """(value, rank) from distinct (key, value, n), best key first."""
-    if buckets <= 1:
-        better = Window.partitionBy(F.lit(0)).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select("value", (F.coalesce(F.sum("n").over(better), F.lit(0)) + 1).cast("bigint").alias("rank"))
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(counts.approxQuantile("key", probabilities, 0.2 / buckets)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    sliced = Bucketizer(splits=splits, inputCol="key", outputCol="__b").transform(counts)
-    earlier = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sliced.groupBy("__b").agg(F.sum("n").alias("size")).select("__b", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("__b").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    local = sliced.withColumn("better", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    return local.join(offsets, "__b").select("value", (F.col("before") + F.col("better") + 1).cast("bigint").alias("rank"))
+def _before(counts: DataFrame, within: list[str], prefix: str) -> DataFrame:
+    """Add the rows whose prefix is smaller, within the same higher prefix."""
+    sizes = counts.groupBy(*within, prefix).agg(F.sum("n").alias("size"))
+    earlier = Window.partitionBy(*within).orderBy(prefix).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*within, prefix, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias(f"before_{prefix}"))
+    return counts.join(offsets, [*within, prefix])

@@ -2,15 +2,17 @@
 
 Both ratings of a contest move by ``weight * (score - expectation)`` computed from the values before it,
 so a row depends on another actor's state and no window can express it. Rows of a pool are folded in
-order. A pool larger than ``chunk_rows`` is cut into consecutive chunks that run in parallel:
+order. With ``chunks`` above 1 the rows are cut into that many consecutive chunks, which run in parallel:
 
 * pass 1 folds every chunk from the start rating;
 * each further pass folds again the chunks whose start state changed, starting from the state the
   chunk before reached in the previous pass;
-* it ends when no start state moves by more than ``tolerance``.
+* it ends when no start state changes at all, so the ratings are those of one fold.
 
-After pass k the first k chunks are final, so it always ends. As the update pulls ratings towards what
-results imply, a chunk forgets its start state, and in practice a few passes do for any number of chunks.
+After pass k the first k chunks of each pool are final, so it always ends. A fold is sequential by nature: a chunk
+forgets its start state only if it holds very many contests of each actor, and otherwise there are as many passes as
+chunks in a pool. Several pools run side by side in any case, so more than one chunk is for single pools that are
+too long for one task. The number of chunks is the caller's and never looks at the number of rows.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 from matchloom.storage import materialize
 
 START = 1500.0
-CHUNK_ROWS = 1_000_000
 RATED = ("elo_home", "elo_away", "elo_home_post", "elo_away_post")
 END_SCHEMA = "__chunk int, pool string, actor string, rating double"
 
@@ -83,15 +84,14 @@ def _fold(rows: DataFrame, starts: DataFrame | None, order: list[str], chunks: i
 
 
 def sequential_rating(
-    contests: DataFrame, order: list[str], score: str, weight: str, start: float = START, chunk_rows: int = CHUNK_ROWS, tolerance: float = 1e-9
+    contests: DataFrame, order: list[str], score: str, weight: str, start: float = START, chunks: int = 1
 ) -> DataFrame:
     """Add the ratings of both sides before and after each contest.
 
     ``contests`` has string columns ``pool``, ``home`` and ``away``; ``order`` is a total order within a pool.
     """
     base = contests.withColumns({"__score": F.col(score).cast("double"), "__weight": F.col(weight).cast("double")})
-    chunks = -(-base.count() // chunk_rows)
-    if chunks <= 1:
+    if chunks == 1:
         rated = _fold(base.withColumn("__chunk", F.lit(0)), None, order, 1, start, emit_rows=True)
         return rated.drop("__chunk", "__state", "__score", "__weight")
     # Range partitions of (pool, order) are consecutive slices of equal size, whatever the pool sizes.
@@ -103,7 +103,7 @@ def sequential_rating(
     # The first chunk is final after the first pass, and every pass makes at least one more final.
     for _ in range(chunks):
         following = ends.withColumn("__chunk", F.col("__chunk") + 1).filter(F.col("__chunk") < chunks)
-        moved = _moved_chunks(following, starts, start, tolerance)
+        moved = _moved_chunks(following, starts, start)
         starts = following
         if moved.isEmpty():
             break
@@ -113,13 +113,13 @@ def sequential_rating(
     return rated.drop("__chunk", "__state", "__score", "__weight")
 
 
-def _moved_chunks(new: DataFrame, old: DataFrame | None, start: float, tolerance: float) -> DataFrame:
+def _moved_chunks(new: DataFrame, old: DataFrame | None, start: float) -> DataFrame:
     """Chunks whose start state differs between two passes; an absent actor stands at the start rating."""
     key = ["__chunk", "pool", "actor"]
     before = old.select(*key, F.col("rating").alias("was")) if old is not None else new.limit(0).select(*key, F.col("rating").alias("was"))
     both = new.select(*key, "rating").join(before, key, "full")
     gap = F.abs(F.coalesce("rating", F.lit(start)) - F.coalesce("was", F.lit(start)))
-    return materialize(both.filter(gap > tolerance).select("__chunk").distinct(), "rating-moved")
+    return materialize(both.filter(gap > 0).select("__chunk").distinct(), "rating-moved")
 
 
 def final_ratings(rated: DataFrame, seq: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from matchloom.functions import outcomes
 from matchloom.functions.rules import stage_category
 
 
-def match_summary(contests: DataFrame) -> DataFrame:
-    """One row per contest with totals, scoreline, winner, margin, outcome flags and stage category."""
+def match_summary(contests: DataFrame, extras: Sequence[str] = ()) -> DataFrame:
+    """One row per contest with totals, scoreline, winner, margin, outcome flags and stage category; ``extras`` stay."""
     h, a = F.col("home_score"), F.col("away_score")
     result = outcomes.outcome_text(h, a)
     return contests.select(
@@ -34,4 +36,5 @@ def match_summary(contests: DataFrame) -> DataFrame:
         (result == "draw").cast("int").alias("draw_flag"),
         "attendance",
         result.alias("result"),
+        *[F.col(f"`{c}`") for c in extras],
     )

@@ -1,7 +1,7 @@
-"""The whole job on the football files: clean, features, profiles, models, trials, reports.
+"""The whole job on the football files: clean, features, profiles, models, reports.
 
-``run(spark, raw_dir, out_dir, groups)`` writes every table below ``out_dir`` as Parquet, and the reporting
-tables as CSV too. ``groups`` is the tournament: (grp, seed, actor).
+``run(spark, raw_dir, out_dir, odds)`` writes every table below ``out_dir`` as Parquet, and the reporting tables as CSV
+too. ``odds`` has the title odds: (team, champion_count, championship_probability).
 """
 
 from __future__ import annotations
@@ -18,23 +18,21 @@ from matchloom.functions.rounding import round_half_up
 from matchloom.functions.rules import rating_weight
 from matchloom.functions.scores import row_mean
 from matchloom.operators import models as M
-from matchloom.operators import trials as X
-from matchloom.operators.aggregates import collapse, frequency_table, infer_total, stage_rollup
+from matchloom.operators.aggregates import collapse, stage_rollup
 from matchloom.operators.clean import latest_per_key
 from matchloom.operators.columns import canonical_map, resolve_names
 from matchloom.operators.features import match_features
-from matchloom.operators.metrics import mean_importance
+from matchloom.operators.metrics import described_importance, mean_importance, scaled_importance
 from matchloom.operators.ordered import chronological_split, with_ordinal
-from matchloom.operators.power import dashboard_metadata, executive_summary, power_index
+from matchloom.operators.power import dashboard_metadata, enriched_odds, executive_summary, power_index
 from matchloom.operators.profiles import form_snapshot, rankings_view, team_profile
-from matchloom.operators.ranks import global_ranks
 from matchloom.operators.rating import final_ratings, sequential_rating
 from matchloom.operators.reshape import contest_sides
 from matchloom.operators.summary import match_summary
 from matchloom.plans import cleaning
+from matchloom.sources.describe import counted, data_dictionary, described
 from matchloom.sources.writers import nested_summary, write_csv, write_json
 
-HOSTS = ("United States", "Canada", "Mexico")  # Fixed values: host nations.
 CLEANERS = {
     "all_matches": cleaning.all_matches,
     "fifa_mens_rank": cleaning.rankings,
@@ -56,29 +54,29 @@ class Store:
 
     def report(self, name: str, df: DataFrame) -> DataFrame:
         table = self.put(name, df)
-        write_csv(table, f"{self.folder}/csv/{name}")
+        write_csv(table, f"{self.folder}/csv/{name}", single_file=True)
         return table
 
 
-def run(
-    spark: SparkSession,
-    raw_dir: str,
-    out_dir: str,
-    groups: DataFrame,
-    n_trials: int = 10_000,
-    settings: M.Settings = M.Settings(),
-    seed: int = 42,
-    direct: int = 2,
-    extra: int = 8,
-) -> dict[str, DataFrame]:
+def run(spark: SparkSession, raw_dir: str, out_dir: str, odds: DataFrame, settings: M.Settings = M.Settings()) -> dict[str, DataFrame]:
     store = Store(spark, out_dir)
-    raw = {name: store.put(f"clean/{name}", clean(cleaning.read_raw(spark, raw_dir, name))) for name, clean in CLEANERS.items()}
-    out = features(store, raw)
+    raw, seen = {}, {}
+    for name, clean in CLEANERS.items():
+        table, seen[name] = counted(clean(cleaning.read_raw(spark, raw_dir, name)), name)
+        raw[name] = store.put(f"clean/{name}", table)
+    counts = spark.createDataFrame([(name, rows.get["rows"]) for name, rows in seen.items()], "dataset string, n_rows long")
+    out = {"cleaning_report": store.report("cleaning_report", counts)}
+    out |= features(store, raw)
     out |= profiles(store, raw, out)
     out |= train(store, out["match_features"], settings)
-    out |= simulate(store, out["team_profiles"], groups, n_trials, seed, direct, extra)
-    out |= reports(store, raw, out)
-    return out
+    known = canonical_map([out["team_profiles"].select(F.col("actor").alias("name"))], {})
+    # Teams may be spelt another way than in the results; what stays unknown is reported.
+    named = store.put("named_odds", resolve_names(odds, "team", known, "known"))
+    out["unmatched_teams"] = named.filter(F.col("known") == "").select("team")
+    out["title_odds"] = store.report("title_odds", named.withColumn("team", F.when(F.col("known") != "", F.col("known")).otherwise(F.col("team"))).drop("known"))
+    document = nested_summary(out["title_odds"], out["title_odds"].agg(F.sum("champion_count")).scalar(), "team", "champion_count", "championship_probability")
+    write_json(document, f"{store.folder}/trial_summary")
+    return out | reports(store, raw, out)
 
 
 def features(store: Store, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -100,7 +98,7 @@ def profiles(store: Store, raw: dict[str, DataFrame], out: dict[str, DataFrame])
     latest = latest_per_key(raw["fifa_mens_rank"], ["team"], "ranking_date", ["rank", "total_points"])
     ranks = store.report("rankings_latest", latest.select(F.col("team").alias("actor"), "rank", F.col("total_points").alias("rank_points")))
     renamed = {"country": "actor", "avg_attack_overall": "avg_attack", "avg_defense_overall": "avg_defense"}
-    squads = raw["player_aggregates"].withColumnsRenamed(renamed).select("actor", "avg_overall", "avg_attack", "avg_defense")
+    squads = raw["player_aggregates"].withColumnsRenamed(renamed).select("actor", "avg_overall", "avg_attack", "avg_defense", "avg_pace", "avg_passing", "avg_dribbling")
     return {"team_profiles": store.report("team_profiles", team_profile(elo, form, ranks, squads)), "rankings_latest": ranks}
 
 
@@ -112,26 +110,11 @@ def train(store: Store, table: DataFrame, settings: M.Settings) -> dict[str, Dat
     for name, model in fitted.items():
         M.save(model, f"{store.folder}/models/{name}")
     metrics = store.put("evaluation_report", reduce(lambda a, b: a.unionByName(b), [M.model_metrics(n, M.predict(m, test).select("label", "pred")) for n, m in fitted.items()]))
-    importance = store.put("feature_importance", mean_importance(M.importances({n: fitted[n] for n in M.NAMES[1:]}, rows)))
+    values = mean_importance(M.importances({n: fitted[n] for n in M.NAMES[1:]}, rows))
+    importance = store.report("feature_importance", described_importance(scaled_importance(values)))
     return {"evaluation_report": metrics, "best_model": M.best_model(metrics), "feature_importance": importance}
 
 
-def simulate(store: Store, profile: DataFrame, groups: DataFrame, n_trials: int, seed: int, direct: int, extra: int) -> dict[str, DataFrame]:
-    # Team names of the tournament may be spelt another way than in the results; what stays unknown is reported.
-    known = canonical_map([profile.select(F.col("actor").alias("name"))], {})
-    named = store.put("tournament_names", resolve_names(groups, "actor", known, "known"))
-    unmatched = named.filter(F.col("known") == "").select("grp", "actor")
-    groups = named.withColumn("actor", F.when(F.col("known") != "", F.col("known")).otherwise(F.col("actor"))).drop("known")
-    rated = groups.join(profile.select("actor", F.col("elo_rating").alias("elo")), "actor", "left").fillna({"elo": 1500.0})
-    entries = store.put("tournament", X.tournament(rated, HOSTS))
-    fixtures = store.put("fixtures", X.rated_fixtures(entries))
-    trials = store.spark.range(n_trials).withColumnRenamed("id", "trial")
-    won = X.champions(trials, entries, fixtures, seed, direct, extra, entries.select("grp").distinct().count())
-    odds = store.report("title_odds", frequency_table(won.withColumnRenamed("actor", "team"), "team", "champion_count", "championship_probability"))
-    write_json(nested_summary(odds, n_trials, "team", "champion_count", "championship_probability"), f"{store.folder}/trial_summary")
-    return {"title_odds": odds, "unmatched_teams": unmatched}
-
-
 def reports(store: Store, raw: dict[str, DataFrame], out: dict[str, DataFrame]) -> dict[str, DataFrame]:
     odds, rankings = out["title_odds"], rankings_view(out["team_profiles"])
     power = store.report("team_rankings", power_index(rankings, odds))
@@ -141,10 +124,10 @@ def reports(store: Store, raw: dict[str, DataFrame], out: dict[str, DataFrame])
     merged = collapse(modern.drop("team").withColumnRenamed("canonical", "team"), "team", numbers, [], "team")
     dashboard = store.report("team_rankings_dashboard", power_index(merged, odds))
     metadata = store.report("dashboard_metadata", dashboard_metadata(dashboard, odds))
-    order = [F.col("championship_probability").desc(), F.col("team")]
-    runs = infer_total(odds, "champion_count", "championship_probability", order)
-    enriched = store.report("championship_probabilities", global_ranks(odds.withColumn("simulation_runs", runs), {"championship_probability": "probability_rank"}))
-    cup = raw["WorldCupMatches"].select(
+    enriched = store.report("championship_probabilities", enriched_odds(odds))
+    cup = raw["WorldCupMatches"]
+    cup = cup.select(
+        *[c for c in cleaning.SUMMARY_EXTRAS if c in cup.columns],
         F.lit("cup").alias("pool"),
         F.col("MatchID").alias("seq"),
         F.make_date("Year", F.lit(1), F.lit(1)).alias("d"),
@@ -154,10 +137,14 @@ def reports(store: Store, raw: dict[str, DataFrame], out: dict[str, DataFrame])
         F.col("away_goals").alias("away_score"),
         F.col("Stage").alias("stage"),
         F.col("Attendance").cast("bigint").alias("attendance"),
-        "Datetime",
+        text_date(F.col("Datetime")).alias("played"),
+        text_time(F.col("Datetime")).alias("match_time"),
     )
-    when = cup.select("seq", text_date(F.col("Datetime")).alias("match_date"), text_time(F.col("Datetime")).alias("match_time"))
-    summary = store.report("historical_match_summary", match_summary(cup).drop("match_date").join(when, "seq"))
+    extras = [c for c in (*cleaning.SUMMARY_EXTRAS, "played", "match_time") if c in cup.columns]
+    summary = match_summary(cup, extras).drop("match_date").withColumnRenamed("played", "match_date")
+    summary = store.report("historical_match_summary", summary)
     statistics = store.report("tournament_statistics", stage_rollup(summary))
     executive = store.report("executive_summary", executive_summary(summary, power, odds))
-    return {"team_rankings": power, "team_rankings_dashboard": dashboard, "dashboard_metadata": metadata, "championship_probabilities": enriched, "historical_match_summary": summary, "tournament_statistics": statistics, "executive_summary": executive}
+    tables = {"executive_summary": executive, "team_rankings": power, "team_rankings_dashboard": dashboard, "dashboard_metadata": metadata, "championship_probabilities": enriched, "feature_importance": out["feature_importance"], "historical_match_summary": summary, "tournament_statistics": statistics}
+    dictionary = store.report("data_dictionary", data_dictionary({name: described(table, cleaning.COLUMN_TEXTS) for name, table in tables.items()}))
+    return {"data_dictionary": dictionary, "team_rankings": power, "team_rankings_dashboard": dashboard, "dashboard_metadata": metadata, "championship_probabilities": enriched, "historical_match_summary": summary, "tournament_statistics": statistics, "executive_summary": executive}

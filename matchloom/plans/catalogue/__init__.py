@@ -1,3 +1,3 @@
 """All registered queries, one module per family."""
 
-from matchloom.plans.catalogue import aggregates, joins, models, ordered, reports, scalars, sources, trials  # noqa: F401
+from matchloom.plans.catalogue import aggregates, joins, models, ordered, reports, scalars, sources  # noqa: F401

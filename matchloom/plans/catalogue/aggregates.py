@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions.names import normalized_id
 from matchloom.functions.rounding import ratio, round_half_up
+from matchloom.functions.rules import REPORTED_COMPETITIONS
 from matchloom.operators import aggregates as A
 from matchloom.operators import metrics as M
 from matchloom.operators import power as P
@@ -86,7 +87,7 @@ def record_total(spark, sf):
     return A.record(V.contest_long(spark, sf), [F.col("actor").alias("team")], "gf", "ga")
 
 
-_BIG = "('FIFA World Cup', 'UEFA Euro', 'Copa América', 'Africa Cup of Nations', 'AFC Asian Cup')"
+_BIG = str(REPORTED_COMPETITIONS)
 
 
 @query(
@@ -96,7 +97,7 @@ _BIG = "('FIFA World Cup', 'UEFA Euro', 'Copa América', 'Africa Cup of Nations'
 )
 def category_totals(spark, sf):
     goals = F.col("home_score") + F.col("away_score")
-    chosen = F.col("tournament").isin("FIFA World Cup", "UEFA Euro", "Copa América", "Africa Cup of Nations", "AFC Asian Cup")
+    chosen = F.col("tournament").isin(*REPORTED_COMPETITIONS)
     totals = V.contest(spark, sf).filter(chosen).groupBy("tournament").agg(
         F.count(F.lit(1)).alias("match_count"),
         round_half_up(ratio(F.sum(goals), F.count(F.lit(1))), 2).alias("avg_goals_per_match"),
@@ -258,13 +259,7 @@ def frequency(spark, sf):
     rank() OVER (ORDER BY championship_probability DESC) <= 10 AS top_10_flag, {rnd('(championship_probability / 100.0::DOUBLE)', 6)} AS championship_probability_share FROM title_odds, f""",
 )
 def enrich_odds(spark, sf):
-    from matchloom.operators.ranks import global_ranks
-
-    odds = V.title_odds(spark, sf)
-    runs = A.infer_total(odds, "champion_count", "championship_probability", [F.col("championship_probability").desc(), F.col("team")])
-    ranked = global_ranks(odds.withColumn("simulation_runs", runs), {"championship_probability": "probability_rank"})
-    share = round_half_up(F.col("championship_probability") / F.lit(100.0), 6)
-    return ranked.withColumns({"top_10_flag": F.col("probability_rank") <= 10, "championship_probability_share": share})
+    return P.enriched_odds(V.title_odds(spark, sf))
 
 
 @query(
@@ -312,13 +307,12 @@ def class_report(spark, sf):
     return report.withColumns({c: round_half_up(F.col(c), 6) for c in ("precision", "recall", "f1")})
 
 
-_NUMERIC = [f for f in FEATURES if f != "neutral_match_flag"]
-_SPREAD = ", ".join(f"abs(avg({f}) FILTER (label = 2) - avg({f}) FILTER (label = 0)) AS {f}" for f in _NUMERIC)
-_HIGH = ", ".join(f"abs(avg({f}) FILTER (label = 1) - avg({f})) AS {f}" for f in _NUMERIC)
+_SPREAD = ", ".join(f"abs(avg({f}) FILTER (label = 2) - avg({f}) FILTER (label = 0)) AS {f}" for f in FEATURES)
+_HIGH = ", ".join(f"abs(avg({f}) FILTER (label = 1) - avg({f})) AS {f}" for f in FEATURES)
 
 
 VIEWS["importance_table"] = f"""WITH v AS (SELECT 'win gap' AS model, {_SPREAD} FROM match_features UNION ALL SELECT 'draw gap', {_HIGH} FROM match_features),
-    l AS (UNPIVOT v ON {', '.join(_NUMERIC)} INTO NAME feature VALUE value),
+    l AS (UNPIVOT v ON {', '.join(FEATURES)} INTO NAME feature VALUE value),
     s AS (SELECT *, value / sum(value) OVER (PARTITION BY model) AS share FROM l),
     i AS (SELECT feature, {rnd('avg(share)', 8)} AS importance FROM s GROUP BY feature)
     SELECT feature, importance, rank() OVER (ORDER BY importance DESC) AS importance_rank, {rnd('(importance / sum(importance) OVER () * 100)', 2)} AS importance_pct,
@@ -327,18 +321,13 @@ VIEWS["importance_table"] = f"""WITH v AS (SELECT 'win gap' AS model, {_SPREAD}
 
 @query("a22_importance", "SELECT feature, importance, importance_rank, importance_pct, importance_norm FROM importance_table")
 def importance(spark, sf):
-    from matchloom.operators.ranks import global_ranks
-
     # Importance as a model-free gap: how far a feature's mean moves with the outcome.
     mean = lambda f, k: F.avg(F.when(F.col("label") == k, F.col(f)))
     features = V.match_features(spark, sf)
-    win = features.agg(*[F.abs(mean(f, 2) - mean(f, 0)).alias(f) for f in _NUMERIC]).withColumn("model", F.lit("win gap"))
-    draw = features.agg(*[F.abs(mean(f, 1) - F.avg(f)).alias(f) for f in _NUMERIC]).withColumn("model", F.lit("draw gap"))
-    values = to_long(win.unionByName(draw), ["model"], {f: f for f in _NUMERIC}, "feature")
-    table = M.mean_importance(values).withColumn("importance", round_half_up(F.col("importance"), 8))
-    total = table.agg(F.sum("importance")).scalar()
-    scaled = P.scaled(table.withColumn("importance_pct", round_half_up(F.col("importance") / total * F.lit(100.0), 2)), {"importance_norm": F.col("importance")})
-    return global_ranks(scaled.withColumn("importance_norm", round_half_up(F.col("importance_norm"), 4)), {"importance": "importance_rank"})
+    win = features.agg(*[F.abs(mean(f, 2) - mean(f, 0)).alias(f) for f in FEATURES]).withColumn("model", F.lit("win gap"))
+    draw = features.agg(*[F.abs(mean(f, 1) - F.avg(f)).alias(f) for f in FEATURES]).withColumn("model", F.lit("draw gap"))
+    values = to_long(win.unionByName(draw), ["model"], {f: f for f in FEATURES}, "feature")
+    return M.scaled_importance(M.mean_importance(values).withColumn("importance", round_half_up(F.col("importance"), 8)))
 
 
 @query("a23_class_weights", f"SELECT quality AS label, count(*) AS n, {rnd('((SELECT count(*) FROM labels)::DOUBLE / ((SELECT count(DISTINCT quality) FROM labels) * count(*)))', 6)} AS weight FROM labels GROUP BY quality")

@@ -10,8 +10,8 @@ from matchloom.operators import columns as C
 from matchloom.operators.clean import rename_in_interval
 from matchloom.operators.features import rank_before
 from matchloom.operators.ordered import with_ordinal
+from matchloom.operators.reshape import group_fixtures
 from matchloom.operators.reshape import head_to_head as head_to_head_table
-from matchloom.operators.trials import group_fixtures
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import rnd
 from matchloom.plans.registry import query
@@ -51,7 +51,7 @@ def lookup_fill(spark, sf):
     return C.lookup(T(spark, sf, "customer"), counts, F.col("c_custkey") == F.col("o_custkey"), "orders", 0).select("c_custkey", "orders")
 
 
-@query("j5_asof", "SELECT l.pool, l.seq, l.side, r.rank FROM contest_long l JOIN long_ranked r ON l.pool = r.pool AND l.seq = r.seq AND l.side = r.side")
+@query("j5_asof", "SELECT pool, seq, side, rank FROM long_ranked")
 def asof(spark, sf):
     long = V.contest_long(spark, sf).select("pool", "seq", "d", "side", "actor")
     return rank_before(long, V.rank_hist(spark, sf)).select("pool", "seq", "side", "rank")
@@ -59,12 +59,17 @@ def asof(spark, sf):
 
 @query(
     "j6_dim_default",
-    f"""SELECT pool, seq, {rnd('coalesce(strength, 65.0::DOUBLE)', 3)} AS home_strength FROM contest LEFT JOIN (SELECT * FROM player_strength WHERE strength > 65) p ON home = p.actor""",
+    f"""WITH k AS (SELECT actor, strength FROM player_strength WHERE strength > 65)
+    SELECT pool, seq, {rnd('coalesce(h.strength, 65.0::DOUBLE)', 3)} AS home_strength, {rnd('coalesce(a.strength, 65.0::DOUBLE)', 3)} AS away_strength
+    FROM contest LEFT JOIN k h ON home = h.actor LEFT JOIN k a ON away = a.actor""",
 )
 def dim_default(spark, sf):
     known = V.player_strength(spark, sf).filter(F.col("strength") > 65)
-    joined = C.lookup(V.contest(spark, sf), known, F.col("home") == F.col("actor"), "strength", 65.0)
-    return joined.select("pool", "seq", round_half_up(F.col("strength"), 3).alias("home_strength"))
+    games = V.contest(spark, sf).select("pool", "seq", "home", "away")
+    for side in ("home", "away"):
+        own = known.select(F.col("actor").alias("__actor"), F.col("strength").alias(f"{side}_strength"))
+        games = C.lookup(games, own, F.col(side) == F.col("__actor"), f"{side}_strength", 65.0).drop("__actor")
+    return games.select("pool", "seq", *[round_half_up(F.col(f"{side}_strength"), 3).alias(f"{side}_strength") for side in ("home", "away")])
 
 
 @query(
@@ -95,20 +100,22 @@ def fixture_pairs(spark, sf):
     return group_fixtures(entries.withColumn("seed", F.row_number().over(order)), ["pool", "grp"])
 
 
-_PAIR = ["elo", "form", "win_pct", "rank", "player_strength"]
+# Compared metrics; of those in _LOWER the smaller value is the better one.
+_PAIR = ["elo", "form", "win_pct", "rank", "rank_points", "player_strength", "avg_goals_scored", "avg_goals_conceded", "team_strength_score"]
+_LOWER = ("rank", "avg_goals_conceded")
 
 
 @query(
     "j9_pair_features",
     "SELECT c.pool, c.seq, "
-    + ", ".join(f"{rnd(f'({a}.{m} - {b}.{m})::DOUBLE', 3)} AS {m}_diff" for m in _PAIR for a, b in [("a", "h") if m == "rank" else ("h", "a")])
+    + ", ".join(f"{rnd(f'({a}.{m} - {b}.{m})::DOUBLE', 3)} AS {m}_diff" for m in _PAIR for a, b in [("a", "h") if m in _LOWER else ("h", "a")])
     + " FROM contest c JOIN team_rankings h ON c.home = h.team JOIN team_rankings a ON c.away = a.team",
 )
 def pair_features(spark, sf):
     dim = V.team_rankings(spark, sf)
     side = lambda s: dim.select(F.col("team").alias(s), *[F.col(m).alias(f"{s}_{m}") for m in _PAIR])
     both = V.contest(spark, sf).select("pool", "seq", "home", "away").join(side("home"), "home").join(side("away"), "away")
-    out = C.difference_features(both, _PAIR, reversed_metrics=("rank",))
+    out = C.difference_features(both, _PAIR, reversed_metrics=_LOWER)
     return out.select("pool", "seq", *[round_half_up(F.col(f"{m}_diff").cast("double"), 3).alias(f"{m}_diff") for m in _PAIR])
 
 
@@ -117,12 +124,12 @@ def pair_features(spark, sf):
     f"""WITH p AS (SELECT DISTINCT home AS a, away AS b FROM contest),
     l AS (UNPIVOT (SELECT team, {', '.join(f'{m}::DOUBLE AS {m}' for m in _PAIR)} FROM team_rankings) ON {', '.join(_PAIR)} INTO NAME metric VALUE value)
     SELECT a, b, x.metric, x.value AS value_a, y.value AS value_b,
-    CASE WHEN (x.metric <> 'rank' AND x.value > y.value) OR (x.metric = 'rank' AND x.value < y.value) THEN a ELSE b END AS better
+    CASE WHEN (x.metric NOT IN {_LOWER} AND x.value > y.value) OR (x.metric IN {_LOWER} AND x.value < y.value) THEN a ELSE b END AS better
     FROM p JOIN l x ON a = x.team JOIN l y ON b = y.team AND x.metric = y.metric""",
 )
 def head_to_head(spark, sf):
     pairs = V.contest(spark, sf).select(F.col("home").alias("a"), F.col("away").alias("b")).distinct()
-    return head_to_head_table(V.team_rankings(spark, sf), pairs, "team", {m: m for m in _PAIR}, ("rank",))
+    return head_to_head_table(V.team_rankings(spark, sf), pairs, "team", {m: m for m in _PAIR}, _LOWER)
 
 
 @query(
@@ -160,13 +167,13 @@ def align_union(spark, sf):
     return suppliers.unionByName(customers, allowMissingColumns=True)
 
 
-@query("u3_key_universe", "SELECT c_custkey AS id FROM customer UNION SELECT o_custkey FROM orders UNION SELECT l_suppkey FROM lineitem UNION SELECT user_id FROM events")
+@query("u3_key_universe", "SELECT id FROM (SELECT c_custkey AS id FROM customer UNION SELECT o_custkey FROM orders UNION SELECT l_suppkey FROM lineitem UNION SELECT user_id FROM events) WHERE id IS NOT NULL")
 def key_universe(spark, sf):
     parts = [("customer", "c_custkey"), ("orders", "o_custkey"), ("lineitem", "l_suppkey"), ("events", "user_id")]
     first, *rest = [T(spark, sf, t).select(F.col(c).alias("id")) for t, c in parts]
     for other in rest:
         first = first.union(other)
-    return first.distinct()
+    return first.dropna().distinct()
 
 
 @query("u4_contest_long", "SELECT pool, seq, d, side, actor, opponent, gf, ga, points FROM contest_long")

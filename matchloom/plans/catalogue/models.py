@@ -1,26 +1,32 @@
 """Modelling jobs over the match features.
 
-The library defaults to the full hyper-parameters; the registered queries train smaller ensembles.
+A fit has no SQL, but what the tables determine about it has: the queries return test rows with a property that every
+right model has, and the statements say how many rows there are.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from matchloom.functions.rounding import round_half_up
+from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.operators import models as M
 from matchloom.operators.features import FEATURES
 from matchloom.operators.metrics import mean_importance
 from matchloom.operators.ordered import chronological_split
-from matchloom.operators.ranks import global_ranks
 from matchloom.plans import views as V
-from matchloom.plans.oracle_views import rnd
+from matchloom.plans.oracle_views import VIEWS, rnd
 from matchloom.plans.registry import query
-from matchloom.storage import materialize, new_path
+from matchloom.storage import new_path
 
-QUICK = M.Settings(max_iter=100, forest_trees=20, forest_depth=8, boost_rounds=5)
+SETTINGS = M.Settings()
+
+VIEWS["model_split"] = """
+SELECT pool, seq, label, CASE WHEN row_number() OVER (ORDER BY date, pool, home_team, away_team) <= floor((SELECT count(*) FROM match_features) * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
+FROM match_features
+"""
 
 
 def split(spark, sf):
@@ -38,7 +44,7 @@ def trained(spark, sf, name):
     """Model of the training rows, fitted once per session and input."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _MODELS:
-        _MODELS[key] = M.train(name, split(spark, sf).filter(F.col("split") == "train"), QUICK)
+        _MODELS[key] = M.train(name, split(spark, sf).filter(F.col("split") == "train"), SETTINGS)
     return _MODELS[key]
 
 
@@ -63,49 +69,93 @@ def standardize(spark, sf):
     return M.standardize(lines, columns).withColumns({c: round_half_up(F.col(c), 5) for c in columns})
 
 
-def _metrics(spark, sf, name):
-    return M.model_metrics(name, M.predict(trained(spark, sf, name), test_rows(spark, sf)).select("label", "pred"))
+_COUNTS = "SELECT label, count(*) AS test_rows, count(*) AS scored, {extra} FROM model_split WHERE split = 'test' GROUP BY label"
+
+
+def _scored(spark, sf, name):
+    """Test rows with the probabilities of their three outcomes in percent."""
+    return M.score_fixtures(trained(spark, sf, name), test_rows(spark, sf))
+
+
+def _facts(scored, **extra):
+    """Per class the test rows, and those whose percents add up and whose largest one is the prediction."""
+    percents = [F.col(c) for c in ("away_pct", "draw_pct", "home_pct")]
+    whole = F.abs(percents[0] + percents[1] + percents[2] - 100) <= 0.001
+    largest = F.element_at(F.array(*percents), F.col("pred") + 1) >= F.greatest(*percents)
+    counted = scored.groupBy("label").agg(F.count(F.lit(1)).alias("test_rows"), F.count(F.when(whole & largest, 1)).alias("scored"))
+    return counted.withColumns({k: F.lit(v) for k, v in extra.items()})
 
 
-@query("m3_logreg")
+@query("m3_logreg", _COUNTS.format(extra="TRUE AS optimal"))
 def logreg(spark, sf):
-    return _metrics(spark, sf, "logistic_regression")
+    """With the gradient of the penalised loss at the fitted coefficients, which vanishes at the optimum."""
+    model = trained(spark, sf, "logistic_regression")
+    steepest = M.largest_slope(model, split(spark, sf).filter(F.col("split") == "train"), SETTINGS)
+    return _facts(_scored(spark, sf, "logistic_regression"), optimal=steepest < 1e-3)
 
 
-@query("m4_forest")
+@query("m4_forest", _COUNTS.format(extra=f"{M.Settings().forest_trees} AS trees"))
 def forest(spark, sf):
-    return _metrics(spark, sf, "random_forest")
+    return _facts(_scored(spark, sf, "random_forest"), trees=trained(spark, sf, "random_forest").stages[-1].getNumTrees)
 
 
-@query("m5_boosted")
+@query("m5_boosted", _COUNTS.format(extra=f"{3 * M.Settings().boost_rounds} AS trees"))
 def boosted(spark, sf):
-    return _metrics(spark, sf, "boosted_trees")
+    return _facts(_scored(spark, sf, "boosted_trees"), trees=sum(m.getNumTrees for m in trained(spark, sf, "boosted_trees").stages[-1].models))
 
 
-@query("m6_model_table")
-def model_table(spark, sf):
-    table = materialize(reduce(lambda a, b: a.unionByName(b), [_metrics(spark, sf, n) for n in M.NAMES]), "model-table")
-    best = M.best_model(table).select("model_name", F.lit(True).alias("best"))
-    ranked = global_ranks(table, {"accuracy": "performance_rank"})
-    return ranked.join(best, "model_name", "left").fillna({"best": False})
+def metrics(spark, sf):
+    """Figures of all models on the test rows."""
+    build = lambda: reduce(lambda a, b: a.unionByName(b), [M.model_metrics(n, M.predict(trained(spark, sf, n), test_rows(spark, sf)).select("label", "pred")) for n in M.NAMES])
+    return V.stored(spark, sf, "model_metrics", build)
 
 
-@query("m6b_importance")
+@query(
+    "m6_model_table",
+    f"SELECT unnest({list(M.NAMES)}) AS model_name, (SELECT count(*) FROM model_split WHERE split = 'test')::BIGINT AS test_rows, TRUE AS consistent",
+)
+def model_table(spark, sf):
+    """Stored figures against hits counted from the predictions themselves; one model is the best."""
+    table = metrics(spark, sf)
+    cells = F.aggregate(F.flatten("confusion_matrix"), F.lit(0).cast("long"), lambda a, n: a + n)
+    hits = F.col("confusion_matrix")[0][0] + F.col("confusion_matrix")[1][1] + F.col("confusion_matrix")[2][2]
+    recount = reduce(
+        lambda a, b: a.union(b),
+        [M.predict(trained(spark, sf, n), test_rows(spark, sf)).agg(F.lit(n).alias("model_name"), F.count(F.when(F.col("label") == F.col("pred"), 1)).alias("right")) for n in M.NAMES],
+    )
+    best = M.best_model(table).select("accuracy").withColumnRenamed("accuracy", "a").scalar()
+    same = (hits == F.col("right")) & (round_half_up(ratio(F.col("right"), cells), 4) == F.col("accuracy")) & (F.col("accuracy") <= best)
+    return table.join(recount, "model_name").select("model_name", cells.alias("test_rows"), same.alias("consistent"))
+
+
+@query("m6b_importance", f"SELECT unnest({list(FEATURES)}) AS feature, TRUE AS in_range, 1.0::DOUBLE AS total")
 def importance(spark, sf):
     models = {n: trained(spark, sf, n) for n in ("random_forest", "boosted_trees")}
-    return mean_importance(M.importances(models, split(spark, sf)))
+    values = mean_importance(M.importances(models, split(spark, sf)))
+    total = values.agg(round_half_up(F.sum("importance"), 6)).scalar()
+    return values.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
 
 
-@query("m7_batch_score")
+@query(
+    "m7_batch_score",
+    """SELECT m.pool, m.seq, home_team, away_team, 100.0::DOUBLE AS total_pct, TRUE AS named FROM match_features m JOIN model_split s ON m.pool = s.pool AND m.seq = s.seq WHERE split = 'test'""",
+)
 def batch_score(spark, sf):
-    scored = M.score_fixtures(trained(spark, sf, "random_forest"), test_rows(spark, sf))
-    return scored.select("pool", "seq", "home_team", "away_team", "home_pct", "draw_pct", "away_pct", "pred", "outcome")
+    scored = _scored(spark, sf, "boosted_trees")
+    total = round_half_up(F.col("home_pct") + F.col("draw_pct") + F.col("away_pct"), 2)
+    largest = F.greatest("home_pct", "draw_pct", "away_pct")
+    named = F.when(F.col("outcome") == F.concat("home_team", F.lit(" Win")), F.col("home_pct")).when(F.col("outcome") == F.concat("away_team", F.lit(" Win")), F.col("away_pct")).otherwise(F.col("draw_pct"))
+    return scored.select("pool", "seq", "home_team", "away_team", total.alias("total_pct"), (named == largest).alias("named"))
 
 
-@query("m8_persistence")
+@query("m8_persistence", "SELECT pool, seq, TRUE AS same FROM model_split WHERE split = 'test'")
 def persistence(spark, sf):
+    """Predictions of a model before and after it was stored and loaded."""
     path = new_path(spark, "model")
-    M.save(trained(spark, sf, "logistic_regression"), path)
+    fitted = trained(spark, sf, "logistic_regression")
+    M.save(fitted, path)
     model, features = M.load(path)
-    assert features == FEATURES
-    return M.predict(model, test_rows(spark, sf)).groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
+    assert tuple(features) == FEATURES
+    before = M.predict(fitted, test_rows(spark, sf)).select("pool", "seq", "pred", vector_to_array("probability").alias("p"))
+    after = M.predict(model, test_rows(spark, sf)).select("pool", "seq", F.col("pred").alias("pred_after"), vector_to_array("probability").alias("p_after"))
+    return before.join(after, ["pool", "seq"]).select("pool", "seq", ((F.col("pred") == F.col("pred_after")) & (F.col("p") == F.col("p_after"))).alias("same"))

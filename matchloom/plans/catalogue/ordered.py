@@ -32,9 +32,9 @@ def global_rank(spark, sf):
 
 @query("w2b_scaled_rank", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, rank() OVER (ORDER BY l_quantity) AS quantity_rank FROM lineitem")
 def scaled_rank(spark, sf):
-    # Few distinct values with many ties each, cut into several value ranges.
+    # Few distinct values with many ties each.
     lines = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return global_ranks(lines, {"l_quantity": "quantity_rank"}, descending=False, per_bucket=8)
+    return global_ranks(lines, {"l_quantity": "quantity_rank"}, descending=False)
 
 
 _RANKED = {"qty": "qty_rank", "lines": "lines_rank", "parts": "parts_rank", "biggest": "biggest_rank", "discounted": "discounted_rank"}

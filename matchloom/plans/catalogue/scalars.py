@@ -10,6 +10,7 @@ from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.operators import columns as C
 from matchloom.operators.aggregates import count_if
 from matchloom.operators.clean import drop_nulls, first_per_key
+from matchloom.operators.features import FEATURES
 from matchloom.operators.reshape import to_long
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import rnd, stage_category, weight
@@ -121,19 +122,22 @@ def flag(spark, sf):
     )
 
 
+# Differences of both sides: metric of the features, column of the rankings.
+_DIFFS = {"elo": "elo", "ranking": "rank", "win_percentage": "win_pct", "player_strength": "player_strength", "form": "form", "goals_scored": "avg_goals_scored", "goals_conceded": "avg_goals_conceded"}
+
+
 @query(
     "p10_diffs",
-    f"""SELECT c.pool, c.seq, {rnd('(h.avg_overall - a.avg_overall)', 3)} AS overall_diff, {rnd('(h.avg_attack - a.avg_attack)', 3)} AS attack_diff,
-    (ra.rank - rh.rank)::INTEGER AS rank_diff
-    FROM contest c JOIN squad_latest h ON c.home = h.country JOIN squad_latest a ON c.away = a.country
-    JOIN ranks_latest rh ON c.home = rh.actor JOIN ranks_latest ra ON c.away = ra.actor""",
+    "SELECT c.pool, c.seq, "
+    + ", ".join(f"{rnd(f'(a.{c} - h.{c})' if m == 'ranking' else f'(h.{c} - a.{c})', 3)} AS {m}_diff" for m, c in _DIFFS.items())
+    + " FROM contest c JOIN team_rankings h ON c.home = h.team JOIN team_rankings a ON c.away = a.team",
 )
 def diffs(spark, sf):
-    dim = V.squad_latest(spark, sf).join(V.ranks_latest(spark, sf), F.col("country") == F.col("actor"))
-    side = lambda s: dim.select(F.col("actor").alias(s), F.col("avg_overall").alias(f"{s}_overall"), F.col("avg_attack").alias(f"{s}_attack"), F.col("rank").alias(f"{s}_rank"))
+    dim = V.team_rankings(spark, sf)
+    side = lambda s: dim.select(F.col("team").alias(s), *[F.col(c).alias(f"{s}_{m}") for m, c in _DIFFS.items()])
     both = V.contest(spark, sf).select("pool", "seq", "home", "away").join(side("home"), "home").join(side("away"), "away")
-    out = C.difference_features(both, ["overall", "attack", "rank"], reversed_metrics=("rank",))
-    return out.select("pool", "seq", round_half_up(F.col("overall_diff"), 3).alias("overall_diff"), round_half_up(F.col("attack_diff"), 3).alias("attack_diff"), "rank_diff")
+    out = C.difference_features(both, list(_DIFFS), reversed_metrics=("ranking",))
+    return out.select("pool", "seq", *[round_half_up(F.col(f"{m}_diff"), 3).alias(f"{m}_diff") for m in _DIFFS])
 
 
 @query(
@@ -236,33 +240,22 @@ def winner(spark, sf):
     return V.contest(spark, sf).select("pool", "seq", won.alias("winner"))
 
 
-FEATURE_TEXT = {
-    "home_elo": "Rating of the home side.",
-    "away_elo": "Rating of the away side.",
-    "elo_diff": "Rating gap, home minus away.",
-    "ranking_diff": "Rank gap, positive when the home side ranks better.",
-    "form_diff": "Gap in recent points.",
-}
-FEATURE_TEXT_DEFAULT = "Input of the outcome model."
 _GROUPS = """CASE WHEN contains(feature, 'elo') THEN 'ELO' WHEN contains(feature, 'fifa') THEN 'FIFA' WHEN contains(feature, 'goal') THEN 'Goals'
     WHEN contains(feature, 'win') AND contains(feature, 'diff') THEN 'Win Gap' WHEN contains(feature, 'win') THEN 'Win Rate'
     WHEN contains(feature, 'form') THEN 'Form' WHEN contains(feature, 'player') THEN 'Player Strength'
     WHEN contains(feature, 'neutral') THEN 'Match Context' ELSE 'Other' END"""
-_MEASURED = ["home_elo", "elo_diff", "home_form", "form_diff", "goals_scored_diff", "home_win_percentage", "win_percentage_diff", "ranking_diff", "player_strength_diff", "neutral_match_flag"]
+_TEXTS = " ".join(f"WHEN '{name}' THEN '{text}'" for name, text in rules.FEATURE_DESCRIPTIONS.items())
 
 
 @query(
     "p21_feature_group",
-    f"""SELECT feature, {_GROUPS} AS feature_group,
-    CASE feature WHEN 'home_elo' THEN 'Rating of the home side.' WHEN 'elo_diff' THEN 'Rating gap, home minus away.'
-      WHEN 'ranking_diff' THEN 'Rank gap, positive when the home side ranks better.' WHEN 'form_diff' THEN 'Gap in recent points.'
-      ELSE 'Input of the outcome model.' END AS description, count(*) AS observations
-    FROM (SELECT {', '.join(f'{c}::DOUBLE AS {c}' for c in _MEASURED)} FROM match_features) UNPIVOT (value FOR feature IN ({', '.join(_MEASURED)})) GROUP BY feature""",
+    f"""SELECT feature, {_GROUPS} AS feature_group, CASE feature {_TEXTS} ELSE '{rules.DEFAULT_DESCRIPTION}' END AS description, count(*) AS observations
+    FROM (SELECT {', '.join(f'{c}::DOUBLE AS {c}' for c in FEATURES)} FROM match_features) UNPIVOT (value FOR feature IN ({', '.join(FEATURES)})) GROUP BY feature""",
 )
 def feature_groups(spark, sf):
-    long = to_long(V.match_features(spark, sf), [], {c: c for c in _MEASURED}, "feature")
-    text = F.coalesce(F.try_element_at(C.literal_map(FEATURE_TEXT), F.col("feature")), F.lit(FEATURE_TEXT_DEFAULT))
-    return long.groupBy("feature").agg(F.count("value").alias("observations")).select("feature", rules.feature_group(F.col("feature")).alias("feature_group"), text.alias("description"), "observations")
+    long = to_long(V.match_features(spark, sf), [], {c: c for c in FEATURES}, "feature")
+    counted = long.groupBy("feature").agg(F.count("value").alias("observations"))
+    return counted.select("feature", rules.feature_group(F.col("feature")).alias("feature_group"), rules.feature_description(F.col("feature")).alias("description"), "observations")
 
 
 @query(

@@ -12,14 +12,14 @@ from matchloom.sources import describe, readers, writers
 from matchloom.storage import new_path
 
 T = V.table
-CUSTOMER = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())])
 
 
-@query("s1_csv_scan", "SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS _corrupt_record FROM customer")
+@query("s1_csv_scan", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal, NULL::VARCHAR AS _corrupt_record FROM customer")
 def csv_scan(spark, sf):
     path = new_path(spark, "customer-csv")
-    T(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(path)
-    return readers.read_csv(spark, path, CUSTOMER)
+    customers = T(spark, sf, "customer")
+    customers.write.option("header", True).csv(path)
+    return readers.read_csv(spark, path, customers.schema)
 
 
 @query("s2_optional_source", "SELECT 'orders' AS source, count(*) AS n FROM orders UNION ALL SELECT 'returns', 0")
@@ -60,11 +60,12 @@ def json_matrix(spark, sf):
     return readers.read_reports(spark, path, multi_line=False)
 
 
-@query("s5_csv_sink", "SELECT s_suppkey AS c_custkey, s_name AS c_name, s_acctbal AS c_acctbal FROM supplier")
+@query("s5_csv_sink", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_sink(spark, sf):
     path = new_path(spark, "export-csv")
-    writers.write_csv(T(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal")), path)
-    return readers.read_csv(spark, path, CUSTOMER).drop(readers.CORRUPT)
+    suppliers = T(spark, sf, "supplier")
+    writers.write_csv(suppliers, path)
+    return readers.read_csv(spark, path, suppliers.schema).drop(readers.CORRUPT)
 
 
 @query(
@@ -91,15 +92,18 @@ def feature_store(spark, sf):
     return spark.read.schema(schema).parquet(path).filter(F.col("pool") == "BUILDING")
 
 
+CONTEST = ["pool", "d", "home", "away", "home_score", "away_score", "tournament", "neutral", "stage", "attendance", "seq"]
+
+
 @query(
     "s8_profile",
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values, min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value FROM contest"
-        for c in ("pool", "home", "tournament", "stage", "attendance", "home_score")
+        for c in CONTEST
     ),
 )
 def profile(spark, sf):
-    return profile_columns(V.contest(spark, sf), ["pool", "home", "tournament", "stage", "attendance", "home_score"])
+    return profile_columns(V.contest(spark, sf), CONTEST)
 
 
 TEXTS = {
@@ -110,21 +114,23 @@ TEXTS = {
     "actor": "Name of the team.",
     "elo_rating": "Rating after the last contest.",
 }
+# Stored tables and the kinds of their columns.
+TABLES = {
+    "title_odds": {"team": "string", "champion_count": "numeric", "championship_probability": "numeric"},
+    "contest": {c: "string" for c in ("pool", "home", "away", "tournament", "stage")} | {"d": "date", "neutral": "boolean"} | {c: "numeric" for c in ("home_score", "away_score", "attendance", "seq")},
+    "profile": {"actor": "string"} | {c: "numeric" for c in ("elo_rating", "form_score", "goals_scored_avg", "goals_conceded_avg", "win_pct", "total_matches", "rank", "rank_points", "avg_overall", "avg_attack", "avg_defense", "team_strength_score")},
+    "rank_hist": {"actor": "string", "ts": "date", "rank": "numeric", "points": "numeric"},
+}
 
 
 @query(
     "s9_dictionary",
-    """SELECT 'title_odds' AS dataset, 'team' AS column_name, 'string' AS data_type, 'Name of the team.' AS description, count(team) AS filled FROM title_odds
-    UNION ALL SELECT 'title_odds', 'champion_count', 'numeric', 'Finals won.', count(champion_count) FROM title_odds
-    UNION ALL SELECT 'title_odds', 'championship_probability', 'numeric', 'Finals won, percent of all.', count(championship_probability) FROM title_odds
-    UNION ALL SELECT 'contest', 'pool', 'string', '', count(pool) FROM contest UNION ALL SELECT 'contest', 'd', 'date', '', count(d) FROM contest
-    UNION ALL SELECT 'contest', 'stage', 'string', '', count(stage) FROM contest UNION ALL SELECT 'contest', 'neutral', 'boolean', '', count(neutral) FROM contest
-    UNION ALL SELECT 'contest', 'attendance', 'numeric', '', count(attendance) FROM contest""",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, '{c}' AS column_name, '{kind}' AS data_type, '{TEXTS.get(c, '')}' AS description, count({c}) AS filled FROM {t}" for t, columns in TABLES.items() for c, kind in columns.items()
+    ),
 )
 def dictionary(spark, sf):
-    odds = describe.described(V.title_odds(spark, sf), TEXTS)
-    games = describe.described(V.contest(spark, sf).select("pool", "d", "stage", "neutral", "attendance"), TEXTS)
-    return describe.data_dictionary({"title_odds": odds, "contest": games})
+    return describe.data_dictionary({t: describe.described(getattr(V, t)(spark, sf).select(*columns), TEXTS) for t, columns in TABLES.items()})
 
 
 @query("s10_class_distribution", "SELECT CASE WHEN home_score > away_score THEN 2 WHEN home_score < away_score THEN 0 ELSE 1 END AS label, count(*) AS n FROM contest GROUP BY 1")

@@ -58,6 +58,82 @@ RAW_COLUMNS = {
 }
 
 
+# Columns of the cup matches that the match summary keeps as they are.
+SUMMARY_EXTRAS = (
+    "Stadium",
+    "City",
+    "win_conditions",
+    "ht_home_goals",
+    "ht_away_goals",
+    "Referee",
+    "Assistant 1",
+    "Assistant 2",
+    "RoundID",
+    "MatchID",
+    "Home Team Initials",
+    "Away Team Initials",
+)
+
+# What the columns of the reporting tables mean.
+COLUMN_TEXTS = {
+    "metric_name": "Unique KPI identifier.",
+    "value": "KPI value for dashboard display.",
+    "category": "Business domain category for the KPI.",
+    "description": "Detailed explanation of the KPI.",
+    "team": "National team name.",
+    "elo": "ELO rating for the team.",
+    "form": "Recent form score.",
+    "rank": "FIFA ranking position.",
+    "rank_points": "FIFA ranking points.",
+    "win_pct": "Win percentage.",
+    "avg_goals_scored": "Average goals scored.",
+    "avg_goals_conceded": "Average goals conceded.",
+    "player_strength": "Average player strength.",
+    "team_strength_score": "Composite team strength score.",
+    "championship_probability": "Simulated championship probability percentage.",
+    "power_index": "Computed World Cup Power Index score.",
+    "power_rank": "Rank by power index.",
+    "champion_count": "Monte Carlo champion selection count.",
+    "simulation_runs": "Inferred number of simulations.",
+    "probability_rank": "Rank by championship probability.",
+    "top_10_flag": "Indicates top 10 forecasted teams.",
+    "championship_probability_share": "Champion probability as a fraction.",
+    "feature": "Model feature name.",
+    "importance": "Raw feature importance score.",
+    "importance_rank": "Rank by importance.",
+    "importance_pct": "Share of total importance.",
+    "importance_norm": "Normalized importance between 0 and 1.",
+    "feature_group": "Feature category grouping.",
+    "year": "Tournament year.",
+    "match_date": "Match date.",
+    "match_time": "Match kickoff time.",
+    "stage": "Competition stage.",
+    "stage_category": "Stage group for analytics.",
+    "Stadium": "Match stadium.",
+    "City": "Match city.",
+    "home": "Home team name.",
+    "away": "Away team name.",
+    "home_goals": "Home team goals.",
+    "away_goals": "Away team goals.",
+    "scoreline": "Formatted scoreline.",
+    "total_goals": "Total goals in match.",
+    "goal_difference": "Absolute goal difference.",
+    "winner_team": "Match winner or Draw.",
+    "margin_of_victory": "Winning margin.",
+    "home_win_flag": "Home win indicator.",
+    "away_win_flag": "Away win indicator.",
+    "draw_flag": "Draw indicator.",
+    "matches_played": "Number of matches in aggregation.",
+    "avg_goals_per_match": "Average goals per match.",
+    "home_wins": "Number of home wins.",
+    "away_wins": "Number of away wins.",
+    "draws": "Number of draws.",
+    "avg_attendance": "Average attendance.",
+    "total_attendance": "Total attendance.",
+    "average_margin": "Average victory margin.",
+}
+
+
 def read_raw(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
     """Columns by header name, as text. A file may hold them in another order or hold more of them."""
     path = f"{raw_dir}/{name}.csv"

@@ -31,7 +31,7 @@ def build_session(app: str = "matchloom", master: str | None = None, **conf: str
 
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
-    """Bring a session someone else created to the settings above."""
+    """Bring a session someone else created to the settings above. They stay: results that are read later need them."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -15,17 +16,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(wanted).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asks the file system that owns the path, local or not."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def read_optional(spark: SparkSession, path: str, schema: StructType, kind: str = "parquet") -> DataFrame:
     """The table, or an empty one of that schema when there is no such path."""
-    if not path_exists(spark, path):
+    try:
+        table = spark.read.schema(schema).format(kind).option("header", True).load(path)
+        table.schema  # noqa: B018  looks the path up
+        return table
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).format(kind).option("header", True).load(path)
 
 
 def first_non_empty(candidates: list[tuple[DataFrame, dict[str, str]]]) -> DataFrame:

@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A report meant for people is one file; beyond this many rows it stays in parts.
-SINGLE_FILE_ROWS = 100_000
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header, replacing what is there; a single file only when the table is small."""
-    small = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with header, replacing what is there. ``single_file`` is for tables that are reports by construction."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_feature_store(df: DataFrame, path: str, partition: str) -> None:
@@ -21,9 +16,10 @@ def write_feature_store(df: DataFrame, path: str, partition: str) -> None:
 
 
 def nested_summary(table: DataFrame, total: int | F.Column, key: str, count: str, percent: str, top: int = 10) -> DataFrame:
-    """One record: total, best ``top`` rows, all rows, both best first. For frequency tables of report size."""
-    if table.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"a summary document holds at most {SINGLE_FILE_ROWS} rows")
+    """One record: total, best ``top`` rows, all rows, both best first.
+
+    The document is one array, so it is for frequency tables with a row per actor, which don't grow with the facts.
+    """
     entry = F.struct((-F.col(count)).alias("__o"), F.col(key), F.col(count), F.col(percent))
     ordered = F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e[key].alias(key), e[count].alias(count), e[percent].alias(percent)))
     one = table.agg(ordered.alias("all_results"))

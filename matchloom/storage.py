@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+_LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
 _STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
 
 
@@ -27,8 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="matchloom-")
-    return _LOCAL_DIRS[app]
+        _LOCAL_DIRS[app] = tempfile.TemporaryDirectory(prefix="matchloom-", ignore_cleanup_errors=True)  # goes with the process
+    return _LOCAL_DIRS[app].name
 
 
 def new_path(spark: SparkSession, label: str) -> str:

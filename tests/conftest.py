@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -18,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        os.environ.get("TEST_MASTER", "local[8]"),
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__ui__enabled="false",

@@ -45,9 +45,10 @@ def raw_dir(tmp_path_factory):
 
 
 def test_run(spark, raw_dir, tmp_path):
-    groups = spark.createDataFrame([(g, s, t) for g, ts in (("A", ["Spain", "United States", "Iran", "Perú"]), ("B", ["Japan", "Ghana", "Chile", "Nowhere"])) for s, t in enumerate(ts, 1)], "grp string, seed int, actor string")
+    counts = [("Spain", 120), ("United States", 50), ("Perú", 20), ("Nowhere", 10)]
+    odds = spark.createDataFrame([(t, n, n / 2) for t, n in counts], "team string, champion_count long, championship_probability double")
     quick = Settings(max_iter=20, forest_trees=4, forest_depth=4, boost_rounds=2)
-    out = batch.run(spark, raw_dir, str(tmp_path / "out"), groups, n_trials=200, settings=quick, extra=1)
+    out = batch.run(spark, raw_dir, str(tmp_path / "out"), odds, settings=quick)
     features = out["match_features"]
     assert features.count() == 300
     assert features.filter("home_team = 'USA' or away_team = 'IR Iran'").isEmpty()
@@ -58,7 +59,15 @@ def test_run(spark, raw_dir, tmp_path):
     assert "Soviet Union" not in {r.team for r in out["team_rankings_dashboard"].collect()}
     figures = {r.metric_name: r.value for r in out["executive_summary"].collect()}
     assert figures["total_matches"] == "20" and figures["total_tournaments"] == "2" and figures["simulation_runs"] == "200"
-    assert [tuple(r) for r in out["unmatched_teams"].collect()] == [("B", "Nowhere")]
+    assert [tuple(r) for r in out["unmatched_teams"].collect()] == [("Nowhere",)]
     assert out["evaluation_report"].count() == 3 and out["best_model"].count() == 1
     assert out["historical_match_summary"].filter("match_date is null or match_time <> '15:00'").isEmpty()
     assert spark.read.parquet(str(tmp_path / "out/clean/former_names")).count() == 1
+    assert {r.dataset: r.n_rows for r in out["cleaning_report"].collect()} == {"all_matches": 300, "fifa_mens_rank": 72, "WorldCupMatches": 20, "player_aggregates": 6, "former_names": 1}
+    assert {"avg_pace", "avg_passing", "avg_dribbling"} <= set(profile.columns)
+    assert {"importance_rank", "importance_pct", "importance_norm", "feature_group", "description"} <= set(out["feature_importance"].columns) and out["feature_importance"].count() == 22
+    assert {"simulation_runs", "probability_rank", "top_10_flag", "championship_probability_share"} <= set(out["championship_probabilities"].columns)
+    assert {*cleaning.SUMMARY_EXTRAS, "match_date", "match_time", "stage_category", "result"} <= set(out["historical_match_summary"].columns)
+    told = out["data_dictionary"].collect()
+    assert {r.dataset for r in told} == {"executive_summary", "team_rankings", "team_rankings_dashboard", "dashboard_metadata", "championship_probabilities", "feature_importance", "historical_match_summary", "tournament_statistics"}
+    assert all(r.description for r in told if r.column_name in cleaning.COLUMN_TEXTS)

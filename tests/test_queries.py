@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from compare import difference
 
@@ -33,3 +35,26 @@ def test_entry_point(spark):
 
 def test_checks_belong_to_queries():
     assert set(registry.CHECKS) <= set(registry.QUERIES)
+
+
+def test_executors_get_the_package(tmp_path):
+    """From an empty folder, without PYTHONPATH, Python workers still find the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = Path(__file__).resolve().parents[1]
+    code = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("entry", {str(root / "__spark_entry__.py")!r})
+module = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(module)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+queries = module.queries()
+assert queries["w6_elo_final"](spark, "/root/testdata/sf0.001").count() > 0
+assert queries["p15_normalize_id"](spark, "/root/testdata/sf0.001").where("normalized <> ''").count() > 0
+"""
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=bare, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -32,11 +32,11 @@ def loop(games):
     return out, state
 
 
-@pytest.mark.parametrize("chunk_rows", [10_000, 200, 64])
-def test_equals_loop(spark, games, chunk_rows):
+@pytest.mark.parametrize("chunks", [1, 3, 8])
+def test_equals_loop(spark, games, chunks):
     want, want_final = loop(games)
     df = spark.createDataFrame(games, "pool string, seq bigint, home string, away string, s double, k double").repartition(7, "away")
-    rated = sequential_rating(df, ["seq"], "s", "k", chunk_rows=chunk_rows).cache()
+    rated = sequential_rating(df, ["seq"], "s", "k", chunks=chunks).cache()
     got = {(r.pool, r.seq): (r.elo_home, r.elo_away) for r in rated.collect()}
     assert got.keys() == want.keys()
     assert max(abs(x - y) for key in want for x, y in zip(got[key], want[key])) < 1e-7
