@@ -13,7 +13,7 @@ gives an empty result. Other columns are not read. Texts with equal digests but
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import located, plain, settings
@@ -30,6 +30,10 @@ STREAM = {
 }
 
 
+def digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = 3) -> DataFrame:
     """One row per document: __at, doc_id, keep_id, group_size, kept, text_sha256. ``docs`` may have come from ``located``.
 
@@ -39,7 +43,7 @@ def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = docs if "__at" in docs.columns else located(docs)
     source = rows.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), "__at")
     text = F.coalesce("text", F.lit(""))
-    landed = source.select("doc_id", F.unhex(F.sha2(plain(F.col("text")), 256)).alias("digest"), F.length(text).alias("points"), "__at")
+    landed = source.select("doc_id", digest(plain(F.col("text"))).alias("digest"), F.length(text).alias("points"), "__at")
     folder = new_path(spark, "landed")
     landed.write.parquet(folder)
     landed = spark.read.schema(landed.schema).parquet(folder)

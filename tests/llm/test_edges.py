@@ -58,9 +58,9 @@ def test_exact_copies_of_nothing(documents):
 
 def test_exact_copies_confirm_bytes(spark, documents, monkeypatch):
     """With a digest that all texts share, full bytes keep different texts apart."""
-    monkeypatch.setattr(stream_dedup.F, "sha2", lambda c, n: F.sha2(F.lit("same"), n) if not isinstance(c, str) else None)
+    monkeypatch.setattr(stream_dedup, "digest", lambda text: F.unhex(F.lit("00")))
     rows = stream_dedup.exact_copies(documents((1, "a"), (2, "b"), (3, "b "), (4, "a"))).collect()
-    assert {r.doc_id: r.keep_id for r in rows} == {1: 3, 4: 1, 2: 3, 3: 3} or {r.doc_id: (r.keep_id, r.group_size) for r in rows} == {1: (1, 2), 4: (1, 2), 2: (3, 2), 3: (3, 2)}
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in rows} == {1: (1, 2, True), 4: (1, 2, False), 2: (3, 2, False), 3: (3, 2, True)}
 
 
 # --- shards
@@ -340,7 +340,7 @@ def test_vectors(spark):
     points = [(i, (centres[i % 12] + rng.normal(size=8) * 0.12).tolist()) for i in range(150)]
     points += [(200, points[3][1]), (201, points[3][1]), (202, [2 * x for x in points[3][1]]), (203, None), (204, []), (205, [0.0] * 8), (206, [1.0] * 7 + [float("nan")]), (207, [1.0] * 7 + [None]), (208, [1.0] * 7 + [float("inf")]), (209, [1.0, 2.0]), (None, points[5][1])]
     table = spark.createDataFrame([(i, v, "x") for i, v in points], "vec_id long, embedding array<double>, vector string")
-    out = {r.vec_id: r for r in vector_index.near_vectors(table, words=4, block=16).collect()}
+    out = {r.vec_id: r for r in vector_index.near_vectors(table, words=4, block=16, recall=1.0).collect()}
     fine = {i: np.array(v) / np.linalg.norm(v) for i, v in points if i is not None and i < 203}
     links = {i: {j for j in fine if j != i and fine[i] @ fine[j] >= 0.95} for i in fine}
     low = {i: i for i in fine}
