@@ -37,7 +37,7 @@ from matchloom.storage import materialize
 Batches = Iterator[pa.RecordBatch]
 COORDINATES = 64
 # A node ends in comparisons when its largest component and the rest make at most this many pairs of blocks.
-BLOCKS = 4
+BLOCKS = 8
 # Joins of texts with the few ids that are needed get a Bloom filter of bounded size before the shuffle.
 EARLY_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
@@ -230,7 +230,7 @@ def _blocks(rows: DataFrame, node: list[str], size: Column, most: int) -> DataFr
     return rows.withColumn("block", F.pmod(F.xxhash64("id", *node), count))
 
 
-def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 200, depth: int = 12) -> DataFrame:
+def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 300, depth: int = 12) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     ``small``: documents of a node that is compared exhaustively. Nodes left at ``depth`` are compared in all pairs of
