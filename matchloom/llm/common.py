@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from matchloom.storage import materialize
 
 # A Python worker gets Arrow batches of about this size, however long the texts are.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 # ASCII white space, as the contracts define it: space, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 

@@ -29,7 +29,7 @@ from matchloom.storage import materialize
 WINDOW = 24
 UNKNOWN = "und"
 # Runs whose result a worker remembers; a bound on its memory that doesn't change results.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -190,8 +190,8 @@ class Reader:
         owner_of = np.array(owner)
         out = np.zeros((len(runs), len(self.network.languages) + 1))
         order = np.argsort([len(p) for p in pieces], kind="stable")
-        for at in range(0, len(order), 4096):
-            part = order[at : at + 4096]
+        for at in range(0, len(order), 1024):
+            part = order[at : at + 1024]
             bytes_, lengths = padded([pieces[i] for i in part])
             found, (mask, *_) = self.network.label(bytes_, lengths)
             sums = (found * mask[:, :, None]).sum(axis=1)
