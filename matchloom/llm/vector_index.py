@@ -4,9 +4,11 @@ Unit vectors are halved; each half has a codebook of its own, fitted by k-means
 code words of a vector name its cell in the product grid. To find the neighbours of a vector, cells are visited in
 the order of a lower bound on the distance to anything inside them: a half's bound is the distance to the bisector
 between its nearest code word and the cell's. A multi-sequence traversal over both sorted lists yields the cells in that
-order and stops at a radius; the radius is the least that reaches the target recall for a sample of queries, measured
-against all vectors. Within 2 - 2 * threshold (the squared distance at the threshold) nothing can be missed, so the
-radius is never larger. What a cell holds is verified by cosine in double precision.
+order and stops at 2 - 2 * threshold, the squared distance at the threshold. Nothing beyond that can be a link, so no
+link is missed, whatever the table holds. What a cell holds is verified by cosine in double precision.
+
+Bounds of that width exclude few cells, so small cells would only multiply the visits: the codebooks get as many words
+as make cells of about a block, and a vector is sent once to each cell it can have a link in.
 
 Equal vectors are one representative with a count, so copies cost nothing. A cell with many vectors is cut into
 blocks of bounded size, each the work of one step of a task. A block returns link counts and a spanning forest of its
@@ -21,6 +23,7 @@ empty result.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,7 +35,8 @@ from matchloom.llm.common import batch_settings, components, partitions
 from matchloom.storage import materialize
 
 Batches = Iterator[pa.RecordBatch]
-BINS = 400
+# What rounding can add to a squared distance of unit vectors, with a wide margin.
+ROUNDING = 1e-12
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -73,7 +77,7 @@ class Index:
             squares = (points**2).sum(1)[:, None] - 2 * points @ book.T + (book**2).sum(1)
             nearest = squares.argmin(1)
             apart = squares - squares[np.arange(len(points)), nearest][:, None]
-            bound = np.maximum(apart, 0) / (2 * np.maximum(gaps[nearest], 1e-12))
+            bound = np.maximum(apart - ROUNDING, 0) / (2 * np.maximum(gaps[nearest], 1e-12))
             bound[np.arange(len(points)), nearest] = 0
             out.append((nearest, bound**2))
         return out
@@ -97,21 +101,13 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, radius: float) -> Iter
                 heapq.heappush(heap, (float(first[a[x]] + second[b[y]]), x, y))
 
 
-def _measure(index: Index, queries: np.ndarray, query_ids: np.ndarray, threshold: float, width: int) -> Callable[[Batches], Batches]:
-    """(kind, place, n): vectors in each cell; links of the queries by the bound of the cell that has the other end."""
-    limit = 2 - 2 * threshold
-    bounds = index.halves(queries)
+def _measure(index: Index, width: int) -> Callable[[Batches], Batches]:
+    """(cell, n): vectors in each cell."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            units, ids = unit(matrix(batch.column("vector"), width)), batch.column("id").to_numpy()
-            halves = index.halves(units)
-            cells, counts = np.unique(index.cells(halves), return_counts=True)
-            q, r = np.nonzero((queries @ units.T >= threshold) & (query_ids[:, None] != ids[None]))
-            cost = bounds[0][1][q, halves[0][0][r]] + bounds[1][1][q, halves[1][0][r]]
-            bins, found = np.unique(np.minimum(np.ceil(cost / limit * BINS), BINS).astype(np.int64), return_counts=True)
-            kinds = np.repeat([0, 1], [len(cells), len(bins)])
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(np.concatenate([cells, bins]).astype(np.int64)), pa.array(np.concatenate([counts, found]))], ["kind", "place", "n"])
+            cells, counts = np.unique(index.cells(index.halves(unit(matrix(batch.column("vector"), width)))), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int64)), pa.array(counts.astype(np.int64))], ["cell", "n"])
 
     return run
 
@@ -221,14 +217,13 @@ def near_vectors(
     vector_column: str = "embedding",
     words: int = 32,
     sample: int = 20_000,
-    queries: int = 256,
-    recall: float = 0.999,
+    recall: float = 1.0,
     block: int = 2048,
 ) -> DataFrame:
     """One row per row of ``table``: vec_id, n_links, component_id, kept.
 
-    ``sample`` bounds the vectors the codebooks are fitted on and ``queries`` those the radius is measured with;
-    everything else covers all vectors. ``words``: code words per half; let it grow with the fourth root of the table.
+    ``sample`` bounds the vectors the codebooks are fitted on; everything else covers all vectors. ``words``: code words
+    per half at most. Every link is found, which meets any ``recall``.
     """
     spark = table.sparkSession
     batch_settings(spark)
@@ -248,15 +243,14 @@ def near_vectors(
     drawn = named.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
     units = unit(np.array([r["vector"] for r in drawn]))
     half = dimension // 2
+    words = min(words, math.ceil(math.sqrt(named.count() / block)))
     index = Index(codebook(units[:, :half], words), codebook(units[:, half:], words))
-    asked, asked_ids = units[:queries], np.array([r["id"] for r in drawn[:queries]])
-    measured = named.mapInArrow(_measure(index, asked, asked_ids, threshold, dimension), "kind long, place long, n long").groupBy("kind", "place").agg(F.sum("n").alias("n")).collect()
-    sizes = {r["place"]: r["n"] for r in measured if r["kind"] == 0}
-    radius = _radius({r["place"]: r["n"] for r in measured if r["kind"] == 1}, recall, 2 - 2 * threshold)
+    measured = named.mapInArrow(_measure(index, dimension), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    sizes = {r["cell"]: r["n"] for r in measured}
     blocks = {cell: -(-n // block) for cell, n in sizes.items()}
 
     schema = "cell int, mine int, other int, role int, id long, copies long, vector binary"
-    visits = named.select("id", "copies", "vector").mapInArrow(_visit(index, radius, blocks, dimension), schema)
+    visits = named.select("id", "copies", "vector").mapInArrow(_visit(index, 2 - 2 * threshold + ROUNDING, blocks, dimension), schema)
     visits = visits.repartition(partitions(spark), "cell", "mine", "other").sortWithinPartitions("cell", "mine", "other", "role", "id")
     links = materialize(visits.mapInArrow(_verify(threshold, dimension), "kind long, id long, value long"), "links")
     counts = links.where("kind = 0").groupBy("id").agg(F.sum("value").alias("n"))
@@ -265,15 +259,3 @@ def near_vectors(
     known = known.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     linked = rows.where("h1 IS NOT NULL").select("vec_id", "h1", "h2").join(known, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     return linked.union(unlinked).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
-
-
-def _radius(costs: dict[int, int], recall: float, limit: float) -> float:
-    """The least bound that holds ``recall`` of the links, with half as much again; the full one if links are few."""
-    total, seen = sum(costs.values()), 0
-    if total < 200:
-        return limit
-    for place in sorted(costs):
-        seen += costs[place]
-        if seen >= recall * total:
-            return min(limit, 1.5 * (place + 1) / BINS * limit)
-    return limit

@@ -354,6 +354,27 @@ def test_vectors(spark):
     assert vector_index.near_vectors(table.limit(0)).collect() == []
 
 
+def test_vectors_beside_a_hot_group(spark):
+    """A third of the rows in one tight group: the links of all others, near the threshold and across cells, are found too."""
+    rng = np.random.default_rng(6)
+    shift = lambda v, size: v + size * (d := rng.normal(size=v.shape)) / np.linalg.norm(d, axis=-1, keepdims=True)
+    units = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    hot = units(rng.normal(size=16)) + 1e-5 * rng.normal(size=(600, 16))
+    base = units(rng.normal(size=(600, 16)))
+    near = shift(base, 0.31)  # most at a cosine between 0.95 and 0.96
+    points = np.concatenate([hot, base, near])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    out = {r.vec_id: r for r in vector_index.near_vectors(table, block=64).collect()}
+    fine = units(points)
+    hits = fine @ fine.T >= 0.95
+    assert hits[600:1200, 1200:].diagonal().sum() > 200
+    np.fill_diagonal(hits, False)
+    low = np.arange(len(fine))
+    for _ in range(100):
+        low = np.minimum(low, np.where(hits, low[None], len(low)).min(axis=1))
+    assert [(out[i].n_links, out[i].component_id, out[i].kept) for i in range(len(fine))] == [(int(n), int(c), c == i) for i, (n, c) in enumerate(zip(hits.sum(axis=1), low))]
+
+
 def test_traversal_is_in_order():
     rng = np.random.default_rng(0)
     a, b = rng.random(6), rng.random(5)
