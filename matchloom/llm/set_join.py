@@ -3,7 +3,8 @@
 A document is the set of its word shingles. Each of several independent trees branches on minwise tokens: a node picks
 one or two of the 64 minwise hashes by its own seed, 1 / threshold on average, and a document goes to one child for each
 pick, named by the token that is its minimum there. So pairs below the threshold get fewer with depth, while those above
-don't. Small nodes are compared exhaustively; large ones branch on. The number of trees follows from the target recall.
+don't. Small nodes are compared exhaustively; large ones branch on, down to the level the number of trees was computed for
+from the target recall. All that is left there is compared exhaustively too.
 
 What keeps the work in proportion to the table:
 
@@ -46,17 +47,39 @@ EARLY_FILTER = {
 }
 
 
-def trees_for(recall: float, similarity: float, depth: int = 4) -> int:
-    """Trees until a pair at the threshold is found ``depth`` levels down with probability ``recall``.
+def recall_at(trees: int, similarity: float, depth: int) -> float:
+    """Probability that a pair of this similarity is found ``depth`` levels down in one of the trees.
 
-    The root has one pick. A node below has 1 / similarity of them on average: one, and with probability ``more`` a second.
-    With fewer a pair at the threshold would be lost with depth, with more those below it would multiply.
+    All trees draw from the same minima, so the chances are summed over the number of minima in which the pair agrees;
+    given those, trees are independent. The root has one pick, a coordinate of its own for each tree. A node below has
+    1 / similarity of them on average: one, and with probability ``more`` a second. With fewer a pair at the threshold would
+    be lost with depth, with more those below it would multiply. Pairs beneath the minwise margin count as lost.
     """
-    found, more = 1.0, 1 / similarity - 1
-    for _ in range(depth - 1):
-        hit = similarity * found
-        found = 1 - (1 - more) * (1 - hit) - more * (1 - hit) ** 2
-    return min(COORDINATES, max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity * found))))
+    total, more = 0.0, 1 / similarity - 1
+    for agree in range(least_agreement(similarity), COORDINATES + 1):
+        found = 1.0
+        for _ in range(depth - 1):
+            hit = agree / COORDINATES * found
+            found = 1 - (1 - more) * (1 - hit) - more * (1 - hit) ** 2
+        roots = range(max(0, trees - (COORDINATES - agree)), min(agree, trees) + 1)
+        missed = sum(math.comb(trees, k) * math.comb(COORDINATES - trees, agree - k) * (1 - found) ** k for k in roots) / math.comb(COORDINATES, agree)
+        total += math.comb(COORDINATES, agree) * similarity**agree * (1 - similarity) ** (COORDINATES - agree) * (1 - missed)
+    return total
+
+
+def least_agreement(similarity: float) -> int:
+    """Minima in which a pair at the threshold agrees at least, with a margin of 4.5 standard deviations."""
+    return max(1, math.floor(COORDINATES * (similarity - 4.5 * math.sqrt(similarity * (1 - similarity) / COORDINATES))))
+
+
+def trees_for(recall: float, similarity: float, depth: int = 3) -> int:
+    """Trees until a pair at the threshold is found ``depth`` levels down with probability ``recall``; the most if none are enough."""
+    return next((n for n in range(1, COORDINATES) if recall_at(n, similarity, depth) >= recall), COORDINATES)
+
+
+def deepest(recall: float, similarity: float, depth: int) -> int:
+    """The deepest level up to ``depth`` at which trees can reach ``recall``."""
+    return next((level for level in range(depth, 1, -1) if recall_at(COORDINATES, similarity, level) >= recall), 1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -230,11 +253,11 @@ def _blocks(rows: DataFrame, node: list[str], size: Column, most: int) -> DataFr
     return rows.withColumn("block", F.pmod(F.xxhash64("id", *node), count))
 
 
-def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 300, depth: int = 12) -> DataFrame:
+def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 300, depth: int = 3) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    ``small``: documents of a node that is compared exhaustively. Nodes left at ``depth`` are compared in all pairs of
-    blocks, so that none is given up.
+    ``small``: documents of a node that is compared exhaustively. Nodes left at ``depth``, or at the deepest level at which
+    trees can reach ``recall``, are compared block by block, so that none is given up.
     """
     spark = docs.sparkSession
     batch_settings(spark)
@@ -244,19 +267,18 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     classes = materialize(classes, "classes")
     lows = classes.groupBy("id").agg(F.any_value("low").alias("low"))
 
+    depth = deepest(recall, percent / 100, depth)
     join = _Join(source, lows, words, percent, small)
-    roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(trees_for(recall, percent / 100))]
+    roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(trees_for(recall, percent / 100, depth))]
     frontier = lows.select("id", F.explode(F.array(*roots)).alias("node"))
     links = join.roots(frontier)
     known = components(links)
     frontier, groups = join.large, []
     for level in range(1, depth + 1):
-        frontier, ready, more = join.branch(frontier, known, level)
+        frontier, ready, more = join.branch(frontier, known, level, last=level == depth)
         groups.append(ready)
         if not more:
             break
-    else:
-        groups.append(join.all_pairs(frontier))
     ready = groups[0]
     for more in groups[1:]:
         ready = ready.union(more)
@@ -274,8 +296,7 @@ class _Join:
 
     def __init__(self, source: DataFrame, lows: DataFrame, words: int, percent: int, small: int) -> None:
         self.source, self.lows, self.words, self.percent, self.small = source, lows, words, percent, small
-        s = percent / 100
-        self.least = max(1, math.floor(COORDINATES * (s - 4.5 * math.sqrt(s * (1 - s) / COORDINATES))))
+        self.least = least_agreement(percent / 100)
         self.parts = partitions(source.sparkSession)
 
     def roots(self, frontier: DataFrame) -> DataFrame:
@@ -293,8 +314,11 @@ class _Join:
         groups = groups.select(F.xxhash64("ids").alias("g"), "ids").groupBy("g", "ids").agg(F.lit(1).alias("one"))
         return groups.select("g", F.explode("ids").alias("id"))
 
-    def branch(self, frontier: DataFrame, known: DataFrame, level: int) -> tuple[DataFrame, DataFrame, bool]:
-        """Children of the nodes that have more to find: those to branch on, groups of those to compare, and if any branch on."""
+    def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: bool) -> tuple[DataFrame, DataFrame, bool]:
+        """Children of the nodes that have more to find: those to branch on, groups of those to compare, and if any branch on.
+
+        At the last level all are compared: every pair but those inside the largest component known.
+        """
         node, low = F.col("node"), F.col("low")
         if level > 1:
             first, second, chance = (F.pmod(F.xxhash64(node, F.lit(level), F.lit(i)), F.lit(n)).cast("int") for i, n in enumerate((COORDINATES, COORDINATES, 1000)))
@@ -309,7 +333,7 @@ class _Join:
         sizes = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("label", "n").alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
         blocks_of = lambda rows: F.ceil(rows / F.lit(self.small))
         few = blocks_of(F.col("most")) * blocks_of(F.col("n") - F.col("most")) <= BLOCKS
-        sizes = materialize(sizes.withColumn("ready", few), "sizes")
+        sizes = materialize(sizes.withColumn("ready", F.lit(True) if last else few), "sizes")
         rows = labelled.join(sizes, "node")
         deeper, more = rows.where("NOT ready").select("node", "id"), not sizes.where("NOT ready").isEmpty()
         done = rows.where("ready")
@@ -321,14 +345,6 @@ class _Join:
         members = against.union(among)
         return deeper, self._distinct(members), more
 
-    def all_pairs(self, frontier: DataFrame) -> DataFrame:
-        """Groups that hold every pair of the documents of a node."""
-        sizes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-        rows = frontier.join(sizes, "node").withColumn("blocks", F.ceil(F.col("n") / (self.small // 2)).cast("long"))
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        members = rows.groupBy("node", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")).agg(F.collect_set("id").alias("ids"))
-        return self._distinct(members.select("ids"))
-
     def links(self, groups: DataFrame) -> DataFrame:
         """Links inside groups, confirmed on full sets."""
         rows = groups.join(self.lows, "id").select("g", "id", "low").repartition(self.parts, "g").sortWithinPartitions("g", "id")

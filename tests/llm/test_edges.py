@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import inspect
 import io
 import math
 import re
@@ -318,6 +319,34 @@ def test_trees_reach_the_recall():
     assert set_join.COORDINATES > set_join.trees_for(0.9999, 0.75) > set_join.trees_for(0.99, 0.75) >= 1
 
 
+def found_share(trees, depth, pairs, seed):
+    """Share of pairs at similarity 0.75 that trees over shared minima find ``depth`` levels down, node by node."""
+    rng = np.random.default_rng(seed)
+    a, b = set_join._coefficients()
+    found = 0
+    for _ in range(pairs):
+        words = rng.integers(0, 1 << 63, 320, dtype=np.uint64)
+        same = set_join.minima(words[:280], a, b) == set_join.minima(words[40:], a, b)  # 240 of 320 shared
+
+        def below(levels):
+            picks = rng.integers(set_join.COORDINATES, size=2 if rng.random() < 1 / 3 else 1)
+            return levels == 0 or any(same[p] and below(levels - 1) for p in picks)
+
+        found += same.sum() >= set_join.least_agreement(0.75) and any(same[t] and below(depth - 1) for t in range(trees))
+    return found / pairs
+
+
+def test_recall_at_the_depth_that_is_used():
+    """The computed recall is that of trees that share their minima, and the trees of near_copies reach the target at its depth."""
+    for trees, depth in ((4, 3), (8, 8)):
+        assert abs(found_share(trees, depth, 2000, 1) - set_join.recall_at(trees, 0.75, depth)) < 0.03
+    depth = inspect.signature(set_join.near_copies).parameters["depth"].default
+    assert set_join.recall_at(set_join.trees_for(0.9999, 0.75, depth), 0.75, depth) >= 0.9999
+    assert found_share(set_join.trees_for(0.9999, 0.75, depth), depth, 3000, 2) >= 0.999
+    low = set_join.deepest(0.9999, 0.75, 12)
+    assert set_join.recall_at(set_join.trees_for(0.9999, 0.75, low), 0.75, low) >= 0.9999 > set_join.recall_at(set_join.COORDINATES, 0.75, low + 1)
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(i, i + 1) for i in range(500, 560)] + [(7, 7)]
