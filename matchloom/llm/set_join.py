@@ -304,7 +304,7 @@ class _Join:
         nodes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
         nodes = materialize(nodes, "nodes")
         rows = _blocks(frontier.join(nodes, "node"), ["node"], F.col("n"), self.small)
-        self.large = frontier.join(nodes.where(F.col("n") > self.small + 1).select("node"), "node").select("node", "id")
+        self.large = frontier.join(nodes.where(F.col("n") > self.small).select("node"), "node").select("node", "id")
         members = rows.groupBy("node", "block").agg(F.collect_set("id").alias("ids"), F.min("first").alias("first"))
         return materialize(self.links(self._distinct(members.select(F.array_union("ids", F.array("first")).alias("ids")))), "links")
 

@@ -319,6 +319,20 @@ def test_trees_reach_the_recall():
     assert set_join.COORDINATES > set_join.trees_for(0.9999, 0.75) > set_join.trees_for(0.99, 0.75) >= 1
 
 
+def test_root_of_one_more_than_a_block(spark, documents):
+    """A root node that is cut into two blocks is branched on, or pairs across them would be compared nowhere in its tree."""
+    rows = [(i, f"a b c d e{i}") for i in range(8)]
+    docs = documents(*rows).select("doc_id", "text")
+    lows = spark.createDataFrame([(i, [i * 64 + c for c in range(64)]) for i in range(8)], "id long, low array<int>")
+    frontier = lows.select("id", F.when(F.col("id") < 7, 1).otherwise(2).cast("long").alias("node"))
+    join = set_join._Join(docs, lows, 5, 75, small=6)
+    join.roots(frontier)
+    assert sorted(r.id for r in join.large.collect()) == list(range(7))
+    join = set_join._Join(docs, lows, 5, 75, small=7)
+    join.roots(frontier)
+    assert join.large.isEmpty()
+
+
 def found_share(trees, depth, pairs, seed):
     """Share of pairs at similarity 0.75 that trees over shared minima find ``depth`` levels down, node by node."""
     rng = np.random.default_rng(seed)
