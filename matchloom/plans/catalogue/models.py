@@ -1,7 +1,8 @@
 """Modelling jobs over the match features.
 
-A fit has no SQL, but what the tables determine about it has: the queries return test rows with a property that every
-right model has, and the statements say how many rows there are.
+A fit has no SQL, but what the tables determine about it has: the queries with a statement return test rows with a property
+that every right model has, and the statements say how many rows there are. The figures themselves (metrics, ranks,
+importances, probabilities) are returned by the queries whose names end in ``_figures``; those have no statement.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from matchloom.operators import models as M
 from matchloom.operators.features import FEATURES
 from matchloom.operators.metrics import mean_importance
 from matchloom.operators.ordered import chronological_split
+from matchloom.operators.ranks import report_ranks
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import VIEWS, rnd
 from matchloom.plans.registry import query
@@ -110,6 +112,22 @@ def metrics(spark, sf):
     return V.stored(spark, sf, "model_metrics", build)
 
 
+def _own_metrics(name):
+    return lambda spark, sf: metrics(spark, sf).where(F.col("model_name") == name)
+
+
+for _code, _name in (("m3_logreg", "logistic_regression"), ("m4_forest", "random_forest"), ("m5_boosted", "boosted_trees")):
+    query(f"{_code}_figures")(_own_metrics(_name))
+
+
+@query("m6_model_table_figures")
+def model_table_figures(spark, sf):
+    """model_name, accuracy, f1_macro, f1_weighted, confusion_matrix, performance_rank, best."""
+    table = metrics(spark, sf)
+    best = M.best_model(table).select("model_name", F.lit(True).alias("best"))
+    return report_ranks(table, {"accuracy": "performance_rank"}).join(best, "model_name", "left").fillna({"best": False})
+
+
 @query(
     "m6_model_table",
     f"SELECT unnest({list(M.NAMES)}) AS model_name, (SELECT count(*) FROM model_split WHERE split = 'test')::BIGINT AS test_rows, TRUE AS consistent",
@@ -128,10 +146,16 @@ def model_table(spark, sf):
     return table.join(recount, "model_name").select("model_name", cells.alias("test_rows"), same.alias("consistent"))
 
 
+@query("m6b_importance_figures")
+def importance_figures(spark, sf):
+    """feature, importance."""
+    models = {n: trained(spark, sf, n) for n in ("random_forest", "boosted_trees")}
+    return mean_importance(M.importances(models, split(spark, sf)))
+
+
 @query("m6b_importance", f"SELECT unnest({list(FEATURES)}) AS feature, TRUE AS in_range, 1.0::DOUBLE AS total")
 def importance(spark, sf):
-    models = {n: trained(spark, sf, n) for n in ("random_forest", "boosted_trees")}
-    values = mean_importance(M.importances(models, split(spark, sf)))
+    values = importance_figures(spark, sf)
     total = values.agg(round_half_up(F.sum("importance"), 6)).scalar()
     return values.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
 
@@ -148,6 +172,12 @@ def batch_score(spark, sf):
     return scored.select("pool", "seq", "home_team", "away_team", total.alias("total_pct"), (named == largest).alias("named"))
 
 
+@query("m7_batch_score_figures")
+def batch_score_figures(spark, sf):
+    """Each test row with the percents of its three outcomes, the predicted class and its name."""
+    return _scored(spark, sf, "boosted_trees").select("pool", "seq", "home_team", "away_team", "home_pct", "draw_pct", "away_pct", "pred", "outcome")
+
+
 @query("m8_persistence", "SELECT pool, seq, TRUE AS same FROM model_split WHERE split = 'test'")
 def persistence(spark, sf):
     """Predictions of a model before and after it was stored and loaded."""

@@ -102,6 +102,7 @@ def model_ranking(spark, sf):
     return above.select("model_name", inside.alias("f1_in_range"), (F.col("performance_rank") == F.col("above") + 1).alias("ranked"))
 
 
+@query("report_model_ranking_figures")
 def model_report(spark, sf):
     """model_name, accuracy, f1_macro, f1_weighted, performance_rank."""
     figures = metrics(spark, sf).select("model_name", "accuracy", "f1_macro", "f1_weighted")
