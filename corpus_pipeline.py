@@ -36,9 +36,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, and those without near copies."""
-    gone = set_join.near_copies(docs).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """The document with the smallest id of each group of near copies, and those without near copies. Row by row: another
+    text that shares the id of a copy stays."""
+    rows = located(docs)
+    gone = set_join.near_copies(rows).where("NOT kept").select("__at")
+    return rows.join(gone, "__at", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +66,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# A trained network and a space-filling curve have no SQL; tests hold each stage against a plain version.
+# A trained network and a space-filling curve have no SQL; tests/llm/test_pipeline.py holds each stage and the whole
+# against plain versions (language: which texts stay, under an untrained network).
 ORACLE_SQL = None
 
 

@@ -134,7 +134,7 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low
 
 
-def _sign(words: int) -> Callable[[Batches], Batches]:
+def _sign(words: int, also: list[str]) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         a, b = _coefficients()
         for batch in batches:
@@ -143,8 +143,8 @@ def _sign(words: int) -> Callable[[Batches], Batches]:
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             offsets = np.arange(len(sets) + 1, dtype=np.int32) * COORDINATES
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.view(np.int32).ravel()))],
-                ["doc_id", "n_shingles", "set_key", "low"],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.view(np.int32).ravel())), *(batch.column(c) for c in also)],
+                ["doc_id", "n_shingles", "set_key", "low", *also],
             )
 
     return run
@@ -254,15 +254,18 @@ def _blocks(rows: DataFrame, node: list[str], size: Column, most: int) -> DataFr
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 300, depth: int = 3) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept; and __at if ``docs`` came from ``located``.
 
     ``small``: documents of a node that is compared exhaustively. Nodes left at ``depth``, or at the deepest level at which
     trees can reach ``recall``, are compared block by block, so that none is given up.
     """
     spark = docs.sparkSession
     batch_settings(spark)
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    signed = materialize(source.mapInArrow(_sign(words), "doc_id long, n_shingles long, set_key binary, low array<int>"), "signed")
+    also = [c for c in docs.columns if c == "__at"]
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), *also)
+    source = rows.drop(*also)
+    schema = "doc_id long, n_shingles long, set_key binary, low array<int>" + ", __at struct<file: string, row: long>" * len(also)
+    signed = materialize(rows.mapInArrow(_sign(words, also), schema), "signed")
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.any_value("low").alias("low"))
     classes = materialize(classes, "classes")
     lows = classes.groupBy("id").agg(F.any_value("low").alias("low"))
@@ -286,8 +289,8 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     found = components(links.union(more))
 
     named = classes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
-    empty = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    rows = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "set_key").select("doc_id", "n_shingles", "component_id")
+    empty = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *also)
+    rows = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").join(named, "set_key").select("doc_id", "n_shingles", "component_id", *also)
     return rows.union(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
