@@ -15,17 +15,16 @@ from matchloom.llm.common import located
 from matchloom.llm.queries import MIX_SEED, MIX_WEIGHTS, mix_levels, table
 from matchloom.storage import materialize
 
-# Texts without letters, and those in which no learned language leads clearly, are rejected.
-LEAST_SCORE = 0.4
 # Share of the tokens that reach the mixture which the budget takes; every document is used once at most.
 MIX_PERCENT = 90
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the network knows. A null text has none and goes."""
+    """Documents that have a language: all but those without letters. A null text has none and goes. No score is too low,
+    since short clean texts, and clean ones in several languages, have low ones."""
     predict = language.predictor(language.learn(docs))
     marked = docs.withColumn("__language", predict(F.col("text")))
-    return marked.where((F.col("__language.lang") != language.UNKNOWN) & (F.col("__language.score") >= LEAST_SCORE)).select(*docs.columns)
+    return marked.where(F.col("__language.lang") != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

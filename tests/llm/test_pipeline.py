@@ -75,6 +75,13 @@ def test_language(spark, documents):
     assert of(run_stage(spark, "language", clashing(documents(*rows)))) == of(r for r in rows if has_letter(r[1]))
 
 
+def test_language_keeps_low_scores(spark, documents, monkeypatch):
+    """With many languages no mean probability is high; the texts are clean all the same."""
+    monkeypatch.setattr(language, "learn", lambda docs: language.Network.fresh([f"l{i}" for i in range(12)], 4, 1))
+    rows = [(i, t) for i, t in enumerate(["clean text", "no", "ja und yes et si", "1"])]
+    assert of(run_stage(spark, "language", documents(*rows))) == of(rows[:3])
+
+
 def test_exact(spark, documents):
     rows = [r for r in EXACT if r != (2, "ab")]
     assert len(exact_kept(rows)) == len({key for *_, key in exact_groups(rows)})
