@@ -52,9 +52,10 @@ class Store:
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def report(self, name: str, df: DataFrame) -> DataFrame:
+    def report(self, name: str, df: DataFrame, single_file: bool = True) -> DataFrame:
+        """``single_file`` is for tables that don't grow with the facts."""
         table = self.put(name, df)
-        write_csv(table, f"{self.folder}/csv/{name}", single_file=True)
+        write_csv(table, f"{self.folder}/csv/{name}", single_file=single_file)
         return table
 
 
@@ -142,7 +143,7 @@ def reports(store: Store, raw: dict[str, DataFrame], out: dict[str, DataFrame])
     )
     extras = [c for c in (*cleaning.SUMMARY_EXTRAS, "played", "match_time") if c in cup.columns]
     summary = match_summary(cup, extras).drop("match_date").withColumnRenamed("played", "match_date")
-    summary = store.report("historical_match_summary", summary)
+    summary = store.report("historical_match_summary", summary, single_file=False)
     statistics = store.report("tournament_statistics", stage_rollup(summary))
     executive = store.report("executive_summary", executive_summary(summary, power, odds))
     tables = {"executive_summary": executive, "team_rankings": power, "team_rankings_dashboard": dashboard, "dashboard_metadata": metadata, "championship_probabilities": enriched, "feature_importance": out["feature_importance"], "historical_match_summary": summary, "tournament_statistics": statistics}
