@@ -212,3 +212,64 @@ def op3_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     predict = predictor(learn(docs))
     read = docs.select("doc_id", predict(F.col("text")).alias("found"))
     return read.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@query()
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.order_minhash import compare_next
+
+    return compare_next(table(spark, sf_dir, "documents"))
+
+
+LLOYD_CLUSTERS, LLOYD_ROUNDS = 8, 10
+
+
+def _lloyd_sql() -> str:
+    """Each round is a pair of tables: a, the assignment, and c, the centroids it moves."""
+    distance = "list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    steps = []
+    for r in range(LLOYD_ROUNDS + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT row_, x, arg_min(j, d * {LLOYD_CLUSTERS} + j) AS j, min(d) AS d FROM (SELECT row_, x, j, {distance} AS d FROM v, c{r}) GROUP BY row_, x)")
+        if r < LLOYD_ROUNDS:
+            steps.append(
+                f"m{r} AS (SELECT j, k, sum(e) AS s, count(*) AS n FROM (SELECT j, unnest(x) AS e, generate_subscripts(x, 1) AS k FROM a{r}) GROUP BY j, k), "
+                f"n{r} AS (SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY k) AS moved FROM m{r} GROUP BY j), "
+                f"c{r + 1} AS MATERIALIZED (SELECT j, coalesce(moved, c) AS c FROM c{r} LEFT JOIN n{r} USING (j))"
+            )
+    return ",\n".join(steps)
+
+
+@query(f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row_, vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS j, x AS c FROM v QUALIFY j < {LLOYD_CLUSTERS}),
+{_lloyd_sql()},
+s AS (SELECT j, sum(d)::BIGINT AS cluster_inertia FROM a{LLOYD_ROUNDS} GROUP BY j)
+SELECT vec_id, a.j::INTEGER AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM a{LLOYD_ROUNDS}) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{LLOYD_ROUNDS} a JOIN v USING (row_) JOIN s USING (j) JOIN c{LLOYD_ROUNDS} c ON c.j = a.j
+""")
+def op12_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd_columns(table(spark, sf_dir, "embeddings"))
+
+
+def lloyd_columns(vectors: DataFrame) -> DataFrame:
+    """What the query returns of a table of vectors."""
+    from matchloom.llm.sharded_lloyd import cluster
+    from matchloom.storage import materialize
+
+    order = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
+    found, centroids = cluster(vectors, order, LLOYD_CLUSTERS, LLOYD_ROUNDS)
+    found = materialize(found, "clustered")
+    schema = "cluster int, centroid string"
+    named = vectors.sparkSession.createDataFrame([(j, ",".join(map(str, c))) for j, c in enumerate(centroids)], schema)  # a row per cluster
+    sums = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    whole = found.agg(F.sum("distance").alias("inertia"))
+    sums = sums.join(named, "cluster").select("cluster", "cluster_inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+    return found.join(F.broadcast(sums), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", F.lit(whole.first()["inertia"]).cast("long").alias("inertia"), "centroid_sha256")
+
+
+@query()
+def op13_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from matchloom.llm.spectrum_whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
