@@ -48,18 +48,35 @@ def plain(text: Column) -> Column:
     return text
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores that no column's name starts with, two at least: names made with it clash with none."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
+PLACE = "row_place"
+
+
+def place_of(docs: DataFrame) -> str | None:
+    """The column of a frame that ``located`` made."""
+    return next((f.name for f in docs.schema if f.metadata.get(PLACE)), None)
+
+
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct ``__at`` that names each row: file and row number.
+    """``docs`` with a struct that names each row: file and row number. ``place_of`` tells the column's name.
 
     A frame that isn't a plain file scan is written below the checkpoint folder first.
     """
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    name = f"{free_prefix(docs.columns)}at"
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(name, metadata={PLACE: True})
     try:
-        found = docs.select("*", at.alias("__at"))
+        found = docs.select("*", at)
         found.schema  # noqa: B018  resolves the columns
         return found
     except AnalysisException:
-        return materialize(docs, "located").select("*", at.alias("__at"))
+        return materialize(docs, "located").select("*", at)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -95,38 +95,47 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     slice_digits: int = 3,
+    prefix: str = "__",
 ) -> DataFrame:
-    """``docs`` with __level columns, __epoch, __tokens and __taken (tokens of the prefix), a row per epoch that takes some."""
-    names = [f"__{level}" for level in levels]
-    tagged = docs.withColumns({f"__{k}": F.coalesce(v.cast("string"), F.lit(NONE)) for k, v in levels.items()})
-    tagged = tagged.withColumn("__tokens", tokens(F.col(text_column))).where("__tokens > 0")
-    tagged = tagged.withColumn("__id", F.col(id_column))
-    narrow = materialize(tagged.select(*names, "__id", "__tokens"), "tagged")
-    leaves = narrow.groupBy(*names).agg(F.sum("__tokens").alias("supply"))
-    plan = budgets(leaves, names, {tuple(p): w for p, w in weights.items()}, percent, epochs)
+    """``docs`` with a column for each level, epoch, tokens and taken (tokens of the prefix), a row per epoch that takes some.
+
+    ``prefix`` goes before the names of these columns; ``free_prefix`` gives one that clashes with none of ``docs``.
+    """
+    names = [f"{prefix}{level}" for level in levels]
+    count, id_, epoch_, taken_ = (f"{prefix}{c}" for c in ("tokens", "id", "epoch", "taken"))
+    keys = list(levels)  # names of the narrow tables, which have no columns of ``docs``
+    tagged = docs.withColumns({n: F.coalesce(v.cast("string"), F.lit(NONE)) for n, v in zip(names, levels.values())})
+    tagged = tagged.withColumn(count, tokens(F.col(text_column))).where(F.col(count) > 0).withColumn(id_, F.col(id_column))
+    narrow = materialize(tagged.select(*[F.col(n).alias(f"l_{k}") for n, k in zip(names, keys)], F.col(id_).alias("id"), F.col(count).alias("tokens")), "tagged")
+    keys = [f"l_{k}" for k in keys]
+    leaves = narrow.groupBy(*keys).agg(F.sum("tokens").alias("supply"))
+    plan = budgets(leaves, keys, {tuple(p): w for p, w in weights.items()}, percent, epochs)
     plan = plan.withColumn("full", F.expr("budget DIV supply")).withColumn("left", F.expr("budget % supply"))
     plan = materialize(plan, "plan")
 
-    def order(epoch: Column) -> Column:
-        return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("__id").cast("string"), F.lit("\\N")), F.col("__tokens").cast("string")))
+    def order(epoch: Column, id_: Column, count: Column) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(id_.cast("string"), F.lit("\\N")), count.cast("string")))
 
     # Where the last epoch of each leaf ends.
-    last = narrow.join(plan, names).where("left > 0").withColumn("place", order(F.col("full")))
+    last = narrow.join(plan, keys).where("left > 0").withColumn("place", order(F.col("full"), F.col("id"), F.col("tokens")))
     last = last.withColumn("slice", F.substring("place", 1, slice_digits))
-    sums = last.groupBy(*names, "slice", "left").agg(F.sum("__tokens").alias("size"))
-    before = Window.partitionBy(*names).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = last.groupBy(*keys, "slice", "left").agg(F.sum("tokens").alias("size"))
+    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    cut = sums.where("start < left AND left <= start + size").select(*names, "slice", "start")
-    places = last.join(cut, [*names, "slice"]).groupBy(*names, "left", "start", "place").agg(F.sum("__tokens").alias("size"), F.count(F.lit(1)).alias("copies"))
-    inside = Window.partitionBy(*names).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    cut = sums.where("start < left AND left <= start + size").select(*keys, "slice", "start")
+    places = last.join(cut, [*keys, "slice"]).groupBy(*keys, "left", "start", "place").agg(F.sum("tokens").alias("size"), F.count(F.lit(1)).alias("copies"))
+    inside = Window.partitionBy(*keys).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     places = places.withColumn("start", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    ends = places.where("start < left AND left <= start + size").select(*names, F.col("place").alias("end"), F.expr("(left - start) DIV copies").alias("part"))
-    plan = plan.join(ends, names, "left")
-
-    chosen = tagged.join(plan, names).withColumn("__epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full"))))
-    place = order(F.col("__epoch"))
-    taken = F.when(F.col("__epoch") < F.col("full"), F.col("__tokens")).when(place < F.col("end"), F.col("__tokens")).when(place == F.col("end"), F.col("part")).otherwise(0)
-    return chosen.withColumn("__taken", taken).where("__taken > 0").select(*docs.columns, *names, "__epoch", "__tokens", "__taken")
+    ends = places.where("start < left AND left <= start + size").select(*keys, F.col("place").alias("end"), F.expr("(left - start) DIV copies").alias("part"))
+    # Written, so that its size is known: a row per leaf, which Spark sends to the documents, not the other way round.
+    plan = materialize(plan.join(ends, keys, "left").select(*keys, F.struct("full", "end", "part").alias("leaf")), "cuts")
+    plan = plan.withColumnsRenamed({**dict(zip(keys, names)), "leaf": f"{prefix}leaf"})
+
+    leaf = F.col(f"{prefix}leaf")
+    chosen = tagged.join(plan, names).withColumn(epoch_, F.explode(F.sequence(F.lit(0).cast("long"), leaf["full"])))
+    place = order(F.col(epoch_), F.col(id_), F.col(count))
+    taken = F.when(F.col(epoch_) < leaf["full"], F.col(count)).when(place < leaf["end"], F.col(count)).when(place == leaf["end"], leaf["part"]).otherwise(0)
+    return chosen.withColumn(taken_, taken).where(F.col(taken_) > 0).select(*docs.columns, *names, epoch_, count, taken_)
 
 
 def cut_text(text: Column, taken: Column, whole: Column) -> Column:

@@ -29,12 +29,13 @@ FIRST = {"assign": "(?i)(password|passwd|secret|token|api_?key)", "access": "AKI
 # Tokens that look random: long, with a digit and letters of both cases.
 TOKEN = "[A-Za-z0-9+/_-]+"
 TOKEN_FIRST = "[A-Za-z0-9+/_-]{20}"
-MARK = "\x01"
+# Stands between the pieces of a text; a text's own is replaced by a character of the same length that no pattern has.
+MARK, OWN = "\x01", "\x02"
 
 
 def spans(text: Column, pattern: str, group: int, least: int) -> Column:
     """array<struct<start, end, value>> in code points: leftmost matches, those with a long enough value."""
-    pieces = F.split(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(" ")), pattern, f"{MARK}$0{MARK}"), MARK)
+    pieces = F.split(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(OWN)), pattern, f"{MARK}$0{MARK}"), MARK)
     empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(False).alias("inside"), empty.alias("found"))
 

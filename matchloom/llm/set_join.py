@@ -1,20 +1,26 @@
 """Near-duplicate texts by a chosen-path set similarity join.
 
-A document is the set of its word shingles. Each of several independent trees branches on minwise tokens: a node picks
-one or two of the 64 minwise hashes by its own seed, 1 / threshold on average, and a document goes to one child for each
-pick, named by the token that is its minimum there. So pairs below the threshold get fewer with depth, while those above
-don't. Small nodes are compared exhaustively; large ones branch on, down to the level the number of trees was computed for
-from the target recall. All that is left there is compared exhaustively too.
+A document is the set of its word shingles. Each of several trees branches on minwise tokens: a node picks one or two of
+the 128 minwise hashes by its own seed, 1 / threshold on average, and a document goes to one child for each pick, named by
+the token that is its minimum there. So pairs below the threshold get fewer with depth, while those above don't. Small
+nodes are compared exhaustively, large ones branch on for as long as they are large.
+
+The longer a path, the more trees a pair needs: trees are first planned for few levels, and documents that were in deeper
+nodes get as many further trees as the depth that was reached asks for.
 
 What keeps the work in proportion to the table:
 
 * Documents with equal sets are one class, whose smallest id takes part.
 * A large root node is also compared in blocks that share its smallest id. That joins groups of near copies of any size,
   and a node whose documents are all of one known component has nothing left to find and ends.
-* A node ends in exhaustive comparisons, block by block, once its largest component and the others are few blocks.
+* A node ends once all but its largest known component are at most a block: these are compared with each other and with
+  that component's blocks, so every document of the node is compared with a block at most.
 * Blocks are compared by minwise agreement first, with a margin of 4.5 standard deviations, and only documents that
   have a possible partner there are compared on their full sets. A block returns a spanning forest of its links.
 
+The minima come from one permutation: a set's sorted hashes fall into 128 ranges, and the smallest of each is its minimum;
+an empty range takes that of another one, the first that isn't empty in an order of its own.
+
 Defined results. A null or blank text has no shingles and is linked with nothing, nor is a row without id: it has a null
 component and is kept. Rows that share an id are one document; each row finds its exact copies, and the greatest text
 stands for the id in comparisons. Extra columns are not read. An empty table gives an empty result.
@@ -25,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +39,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import batch_settings, components, partitions, settings
+from matchloom.llm.common import batch_settings, components, partitions, place_of, settings
 from matchloom.storage import materialize
 
 Batches = Iterator[pa.RecordBatch]
-COORDINATES = 64
-# A node ends in comparisons when its largest component and the rest make at most this many pairs of blocks.
-BLOCKS = 8
+COORDINATES = 128
+# Levels a round of the recursion goes down before nodes are measured again.
+STEPS = 2
+# Tries of an empty range to find one that isn't.
+TRIES = 1024
 # Joins of texts with the few ids that are needed get a Bloom filter of bounded size before the shuffle.
 EARLY_FILTER = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
@@ -121,30 +130,47 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
-def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(5)
-    return rng.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
-
-
-def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    short = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    low = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(short), 1024):
-        low = np.minimum(low, (short[at : at + 1024, None] * a + b).min(axis=0))
+def _donors() -> np.ndarray:
+    """For each range the ranges it tries when it is empty."""
+    return (_mix(np.arange(COORDINATES * TRIES, dtype=np.uint64) + np.uint64(1)) & np.uint64(COORDINATES - 1)).astype(np.int64).reshape(COORDINATES, TRIES)
+
+
+def minima(sets: list[np.ndarray], donors: np.ndarray) -> np.ndarray:
+    """A row of minwise tokens for each sorted set; zeros for an empty one."""
+    counts = np.array([len(s) for s in sets], np.int64)
+    low, filled = np.zeros((len(sets), COORDINATES), np.uint32), np.zeros((len(sets), COORDINATES), bool)
+    if not counts.sum():
+        return low
+    flat = np.concatenate(sets)
+    place = np.repeat(np.arange(len(sets)) * COORDINATES, counts) + (flat >> np.uint64(64 - COORDINATES.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))  # sets are sorted, so the first of a range is its minimum
+    low.flat[place[first]] = (flat[first] >> np.uint64(16)).astype(np.uint32)
+    filled.flat[place[first]] = True
+    row, at = np.nonzero(~filled & (counts > 0)[:, None])
+    for attempt in range(TRIES):
+        if not len(row):
+            break
+        donor = donors[at, attempt]
+        found = filled[row, donor]
+        low[row[found], at[found]] = low[row[found], donor[found]]
+        row, at = row[~found], at[~found]
+    low[row, at] = low[row, filled[row].argmax(axis=1)]
     return low
 
 
 def _sign(words: int, also: list[str]) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        a, b = _coefficients()
+        donors = _donors()
         for batch in batches:
             sets = shingle_sets(batch.column("text"), words)
-            low = np.stack([minima(s, a, b) for s in sets]) if sets else np.zeros((0, COORDINATES), np.uint32)
+            low = minima(sets, donors)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            checks = [c.tobytes() for c in low.astype(np.uint8)]
             offsets = np.arange(len(sets) + 1, dtype=np.int32) * COORDINATES
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.view(np.int32).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.view(np.int32).ravel())), *(batch.column(c) for c in also)],
-                ["doc_id", "n_shingles", "set_key", "low", *also],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(checks, pa.binary()), *(batch.column(c) for c in also)],
+                ["doc_id", "n_shingles", "set_key", "low", "check", *also],
             )
 
     return run
@@ -178,20 +204,21 @@ def _parts(linked: np.ndarray) -> np.ndarray:
 
 
 def _possible(least: int) -> Callable[[Batches], Batches]:
-    """Of each group the parts whose minima agree in at least ``least`` places, as groups named by their members."""
+    """Of each group the parts whose minima agree in at least ``least`` places, as groups named by their members.
+
+    The last byte of each minimum is enough: different ones agree in one of 256.
+    """
 
     def run(batches: Batches) -> Batches:
         out: list[tuple[int, int]] = []
 
-        def lows(batch: pa.RecordBatch) -> list:
-            return list(np.asarray(batch.column("low").flatten()).reshape(-1, COORDINATES))
-
-        for _, ids, held in _groups(batches, lows):
+        for _, ids, held in _groups(batches, lambda batch: batch.column("check").to_pylist()):
             order = np.argsort(ids, kind="stable")
-            low, sorted_ids = np.stack(held)[order], np.array(ids)[order]
-            agree = np.zeros((len(low), len(low)), np.int16)
-            for c in range(COORDINATES):
-                agree += low[:, c, None] == low[None, :, c]
+            sorted_ids = np.array(ids)[order]
+            check = np.frombuffer(b"".join(held), np.uint8).reshape(-1, COORDINATES)[order]
+            agree = np.zeros((len(check), len(check)), np.uint8)
+            for c in check.T:
+                agree += c[:, None] == c[None]
             part = _parts(agree >= least)
             for first in np.flatnonzero(np.bincount(part, minlength=len(part)) > 1):
                 members = sorted_ids[part == first]
@@ -254,39 +281,36 @@ def _blocks(rows: DataFrame, node: list[str], size: Column, most: int) -> DataFr
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 75, recall: float = 0.9999, small: int = 300, depth: int = 3) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept; and __at if ``docs`` came from ``located``.
+    """One row per document: doc_id, n_shingles, component_id, kept; and __at, its place, if ``docs`` came from ``located``.
 
-    ``small``: documents of a node that is compared exhaustively. Nodes left at ``depth``, or at the deepest level at which
-    trees can reach ``recall``, are compared block by block, so that none is given up.
+    ``small``: documents of a node that is compared exhaustively. ``depth``: levels the first trees are planned for. Nodes
+    branch on below it while they are large; what is left at a level at which no number of trees could reach ``recall`` is
+    compared block by block, so that none is given up.
     """
     spark = docs.sparkSession
     batch_settings(spark)
-    also = [c for c in docs.columns if c == "__at"]
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), *also)
+    place = place_of(docs)
+    also = ["__at"] * bool(place)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), *[F.col(place).alias(c) for c in also])
     source = rows.drop(*also)
-    schema = "doc_id long, n_shingles long, set_key binary, low array<int>" + ", __at struct<file: string, row: long>" * len(also)
+    schema = "doc_id long, n_shingles long, set_key binary, low array<int>, check binary" + ", __at struct<file: string, row: long>" * len(also)
     signed = materialize(rows.mapInArrow(_sign(words, also), schema), "signed")
-    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.any_value("low").alias("low"))
-    classes = materialize(classes, "classes")
-    lows = classes.groupBy("id").agg(F.any_value("low").alias("low"))
+    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.any_value(F.struct("low", "check")).alias("s"))
+    classes = materialize(classes.select("set_key", "id", "s.low", "s.check"), "classes")
+    lows = classes.groupBy("id").agg(F.any_value(F.struct("low", "check")).alias("s")).select("id", "s.low", "s.check")
 
-    depth = deepest(recall, percent / 100, depth)
     join = _Join(source, lows, words, percent, small)
-    roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(trees_for(recall, percent / 100, depth))]
-    frontier = lows.select("id", F.explode(F.array(*roots)).alias("node"))
-    links = join.roots(frontier)
-    known = components(links)
-    frontier, groups = join.large, []
-    for level in range(1, depth + 1):
-        frontier, ready, more = join.branch(frontier, known, level, last=level == depth)
-        groups.append(ready)
-        if not more:
+    last = deepest(recall, percent / 100, 1000)
+    ids, links, start, trees = lows.select("id", "low"), [], 0, trees_for(recall, percent / 100, min(depth, last))
+    while True:
+        roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(start, trees)]
+        found, reached, deep = join.grow(ids.select("id", F.explode(F.array(*roots)).alias("node")), depth, last)
+        links += found
+        start, trees = trees, trees_for(recall, percent / 100, reached)
+        if trees <= start:
             break
-    ready = groups[0]
-    for more in groups[1:]:
-        ready = ready.union(more)
-    more = join.links(ready)
-    found = components(links.union(more))
+        ids, depth = lows.join(deep, "id", "left_semi").select("id", "low"), reached
+    found = components(reduce(DataFrame.union, links))
 
     named = classes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
     empty = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *also)
@@ -317,40 +341,65 @@ class _Join:
         groups = groups.select(F.xxhash64("ids").alias("g"), "ids").groupBy("g", "ids").agg(F.lit(1).alias("one"))
         return groups.select("g", F.explode("ids").alias("id"))
 
-    def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: bool) -> tuple[DataFrame, DataFrame, bool]:
-        """Children of the nodes that have more to find: those to branch on, groups of those to compare, and if any branch on.
+    def grow(self, frontier: DataFrame, depth: int, last: int) -> tuple[list[DataFrame], int, DataFrame]:
+        """Trees from their root nodes down: the links found, the level reached, and the ids that were below ``depth``."""
+        links = self.roots(frontier)
+        known = components(links)
+        frontier, level, groups, deep = self.large, 1, [], []
+        while True:
+            frontier, ready, more = self.branch(frontier, known, level, last)
+            groups.append(ready)
+            if not more:
+                break
+            level = min(level + STEPS, last)
+            if level > depth:
+                deep.append(frontier.select("id"))
+        more = materialize(self.links(reduce(DataFrame.union, groups)), "links")
+        return [links, more], level, reduce(DataFrame.union, deep or [frontier.select("id")]).distinct()
+
+    def children(self, frontier: DataFrame, level: int) -> DataFrame:
+        """Rows of ``frontier`` in the nodes one level down."""
+        node, low = F.col("node"), F.col("low")
+        first, second, chance = (F.pmod(F.xxhash64(node, F.lit(level), F.lit(i)), F.lit(n)).cast("int") for i, n in enumerate((COORDINATES, COORDINATES, 1000)))
+        below = [F.xxhash64(node, pick, low[pick]) for pick in (first, second)]
+        picked = F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*below))).otherwise(F.array(below[0]))
+        return frontier.select("id", "low", F.explode(picked).alias("node"))
+
+    def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: int) -> tuple[DataFrame, DataFrame, bool]:
+        """Of nodes that have more to find: those to branch on, groups of those to compare, and if any branch on.
 
-        At the last level all are compared: every pair but those inside the largest component known.
+        Below the roots rows first go down to this level. At the last one all are compared: every pair but those inside
+        the largest component known.
         """
-        node, low = F.col("node"), F.col("low")
+        rows = frontier
         if level > 1:
-            first, second, chance = (F.pmod(F.xxhash64(node, F.lit(level), F.lit(i)), F.lit(n)).cast("int") for i, n in enumerate((COORDINATES, COORDINATES, 1000)))
-            children = [F.xxhash64(node, pick, low[pick]) for pick in (first, second)]
-            picked = F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*children))).otherwise(F.array(children[0]))
-            children = frontier.join(self.lows, "id").select("id", F.explode(picked).alias("node"))
-        else:
-            children = frontier
-        labelled = children.join(known, "id", "left").select("node", "id", F.coalesce("component_id", "id").alias("label"))
+            rows = frontier.join(self.lows.select("id", "low"), "id")
+            for step in range(max(2, level - STEPS + 1), level + 1):
+                rows = self.children(rows, step)
+        labelled = rows.join(known, "id", "left").select("node", "id", F.coalesce("component_id", "id").alias("label"))
         labelled = materialize(labelled, "children")
         sizes = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node")
         sizes = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("label", "n").alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-        blocks_of = lambda rows: F.ceil(rows / F.lit(self.small))
-        few = blocks_of(F.col("most")) * blocks_of(F.col("n") - F.col("most")) <= BLOCKS
-        sizes = materialize(sizes.withColumn("ready", F.lit(True) if last else few), "sizes")
+        few = F.col("n") - F.col("most") <= self.small
+        sizes = materialize(sizes.withColumn("ready", F.lit(True) if level >= last else few), "sizes")
         rows = labelled.join(sizes, "node")
         deeper, more = rows.where("NOT ready").select("node", "id"), not sizes.where("NOT ready").isEmpty()
         done = rows.where("ready")
+        # A node of one block is one group; else the others, block by block, against the largest component's blocks and each other.
+        whole = done.where(F.col("n") <= self.small).groupBy("node").agg(F.collect_set("id").alias("ids")).select("ids")
+        done = done.where(F.col("n") > self.small)
         others = _blocks(done.where("label <> main"), ["node"], F.col("n") - F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("others"))
         main = _blocks(done.where("label = main"), ["node"], F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("ids"))
         against = main.drop("block").join(others, "node").select(F.array_union("ids", "others").alias("ids"))
-        again = others.select("node", F.col("block").alias("other"), F.col("others").alias("ids"))
-        among = others.join(again, "node").where("block < other").select(F.array_union("ids", "others").alias("ids"))
-        members = against.union(among)
+        members = whole.union(against)
+        if level >= last:
+            again = others.select("node", F.col("block").alias("other"), F.col("others").alias("ids"))
+            members = members.union(others.join(again, "node").where("block < other").select(F.array_union("ids", "others").alias("ids")))
         return deeper, self._distinct(members), more
 
     def links(self, groups: DataFrame) -> DataFrame:
         """Links inside groups, confirmed on full sets."""
-        rows = groups.join(self.lows, "id").select("g", "id", "low").repartition(self.parts, "g").sortWithinPartitions("g", "id")
+        rows = groups.join(self.lows.select("id", "check"), "id").select("g", "id", "check").repartition(self.parts, "g").sortWithinPartitions("g", "id")
         possible = materialize(rows.mapInArrow(_possible(self.least), "g long, id long").distinct(), "possible")
         # Few documents have a possible partner: Spark filters the others out before the texts' shuffle.
         wanted = possible.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id")

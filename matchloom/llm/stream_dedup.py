@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import located, plain, settings
+from matchloom.llm.common import located, place_of, plain, settings
 from matchloom.storage import materialize, new_path
 
 # Native memory for all state stores of an executor; the rest of the state is on disk.
@@ -35,13 +35,13 @@ def digest(text: Column) -> Column:
 
 
 def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = 3) -> DataFrame:
-    """One row per document: __at, doc_id, keep_id, group_size, kept, text_sha256. ``docs`` may have come from ``located``.
+    """One row per document: __at (its place), doc_id, keep_id, group_size, kept, text_sha256. ``docs`` may have come from ``located``.
 
     ``batches``: micro-batches the stream is cut into; it doesn't change the result.
     """
     spark = docs.sparkSession
-    rows = docs if "__at" in docs.columns else located(docs)
-    source = rows.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), "__at")
+    rows = docs if place_of(docs) else located(docs)
+    source = rows.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(place_of(rows)).alias("__at"))
     text = F.coalesce("text", F.lit(""))
     landed = source.select("doc_id", digest(plain(F.col("text"))).alias("digest"), F.length(text).alias("points"), "__at")
     folder = new_path(spark, "landed")

@@ -7,8 +7,10 @@ words, one after the other. That holds for the word-level BPE file; tests compar
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ REMEMBERED = 200_000
 
 
 class _Words:
-    """Ids of words seen so far, end to end."""
+    """Ids of words seen so far, end to end, in arrays that grow in place."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
@@ -30,37 +32,68 @@ class _Words:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used = 0
 
     def places(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > REMEMBERED and self.place:
             self.forget()
             new = words
-        ids, sizes = [self.ids], [self.sizes]
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            ids.append(np.array([i for each in found for i in each], np.uint32))
-            sizes.append(np.array([len(each) for each in found], np.int64))
         if new:
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
-            self.starts = np.cumsum(self.sizes) - self.sizes
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            known = len(self.place)
+            self.ids = _put(self.ids, self.used, ids)
+            self.sizes = _put(self.sizes, known, sizes)
+            self.starts = _put(self.starts, known, self.used + np.cumsum(sizes) - sizes)
+            self.used += len(ids)
+            self.place.update(zip(new, range(known, known + len(new))))
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
 
+def _put(held: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``more`` written from place ``at`` on; the array doubles when it is full."""
+    if at + len(more) > len(held):
+        grown = np.zeros(max(2 * len(held), at + len(more)), held.dtype)
+        grown[:at] = held[:at]
+        held = grown
+    held[at : at + len(more)] = more
+    return held
+
+
+Encode = Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray]]
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray]]:
+def encoder(path: str) -> Encode:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     known = _Words(tokenizer)
+    # The literals of added tokens are single ids wherever they stand, also inside words: such texts are encoded whole.
+    added = "|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values())
 
     def encode(texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end to end, and where each text ends; each has the end id after it."""
+        whole = np.flatnonzero(pc.match_substring_regex(texts, f"(?i){added}").to_numpy(zero_copy_only=False)) if added else []
+        if not len(whole):
+            return by_words(texts, end_id)
+        blank = np.zeros(len(texts), bool)
+        blank[whole] = True
+        ids, ends = by_words(pc.if_else(pa.array(blank), "", texts), end_id)
+        pieces, at = [], 0
+        for row in whole.tolist():
+            upto = int(ends[row]) - 1  # the blank text's end id
+            pieces += [ids[at:upto], np.array(tokenizer.encode(texts[row].as_py(), add_special_tokens=False).ids, np.uint32)]
+            at = upto
+        sizes = np.diff(ends, prepend=0)
+        sizes[whole] += [len(p) for p in pieces[1::2]]
+        return np.concatenate([*pieces, ids[at:]]), np.cumsum(sizes)
+
+    def by_words(texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         spaced = pc.replace_substring_regex(pc.replace_substring_regex(texts, r"[\t-\r]", " "), MARKS, r"\1 \2")
         words = pc.split_pattern(pc.ascii_lower(spaced), " ")
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)

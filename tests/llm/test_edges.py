@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import inspect
 import io
 import math
 import re
@@ -14,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from test_queries import check_pieces, check_secrets
+from test_llm_queries import check_pieces, check_secrets
 
 from matchloom.llm import language, mixing, packing, secret_scan, set_join, sharding, stream_dedup, vector_index, warc
 from matchloom.llm.common import components
@@ -25,7 +24,7 @@ LONG = " ".join(f"word{i} and{i % 7}" for i in range(40_000))
 
 def clashing(df):
     """Extra columns named like those that operators make."""
-    return df.withColumns({c: F.lit("x") for c in ("id", "n", "slot", "shard", "kept", "row", "site", "owner", "digest", "label", "h1", "vector", "tokens", "key", "batch", "node", "g")})
+    return df.withColumns({c: F.lit("x") for c in ("id", "n", "slot", "shard", "kept", "row", "site", "owner", "digest", "label", "h1", "vector", "tokens", "key", "batch", "node", "g", "check", "low", "__at", "__language", "__tokens", "__epoch", "__domain", "__id", "__gone")})
 
 
 # --- exact copies
@@ -204,7 +203,7 @@ def test_records_split_at_any_place():
 def test_packing(spark, documents):
     import public_tokenizers
 
-    rows = [(1, None), (2, ""), (3, LONG), (4, "don't. STOP"), (5, "don't. STOP"), (6, "\x00 <|endoftext|>")]
+    rows = [(1, None), (2, ""), (3, LONG), (4, "don't. STOP"), (5, "don't. STOP"), (6, "\x00 <|endoftext|>"), (7, "a <|EndOfText|> b<|startoftext|>c. D"), (8, "<|endoftext|>"), (9, "last, one")]
     pieces = packing.pack(clashing(documents(*rows)), public_tokenizers.path("word_bpe_49k.json")).withColumn("ids_crc32", F.crc32("ids")).collect()
     check_pieces(pieces, dict(rows))
     assert packing.pack(documents(), public_tokenizers.path("word_bpe_49k.json")).collect() == []
@@ -323,7 +322,7 @@ def test_root_of_one_more_than_a_block(spark, documents):
     """A root node that is cut into two blocks is branched on, or pairs across them would be compared nowhere in its tree."""
     rows = [(i, f"a b c d e{i}") for i in range(8)]
     docs = documents(*rows).select("doc_id", "text")
-    lows = spark.createDataFrame([(i, [i * 64 + c for c in range(64)]) for i in range(8)], "id long, low array<int>")
+    lows = spark.createDataFrame([(i, [i * 128 + c for c in range(128)], bytes((i * 31 + c) % 256 for c in range(128))) for i in range(8)], "id long, low array<int>, check binary")
     frontier = lows.select("id", F.when(F.col("id") < 7, 1).otherwise(2).cast("long").alias("node"))
     join = set_join._Join(docs, lows, 5, 75, small=6)
     join.roots(frontier)
@@ -333,14 +332,19 @@ def test_root_of_one_more_than_a_block(spark, documents):
     assert join.large.isEmpty()
 
 
-def found_share(trees, depth, pairs, seed):
-    """Share of pairs at similarity 0.75 that trees over shared minima find ``depth`` levels down, node by node."""
+def pair(rng, shared, own):
+    """Two sets with that many hashes in common and of their own."""
+    words = rng.integers(0, 1 << 63, shared + 2 * own, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, shared + 2 * own).astype(np.uint64)
+    return np.sort(words[: shared + own]), np.sort(words[own:])
+
+
+def found_share(trees, depth, pairs, seed, shared=240, own=40):
+    """Share of pairs that trees over the minima of one permutation find ``depth`` levels down, node by node."""
     rng = np.random.default_rng(seed)
-    a, b = set_join._coefficients()
-    found = 0
+    donors, found = set_join._donors(), 0
     for _ in range(pairs):
-        words = rng.integers(0, 1 << 63, 320, dtype=np.uint64)
-        same = set_join.minima(words[:280], a, b) == set_join.minima(words[40:], a, b)  # 240 of 320 shared
+        low = set_join.minima(pair(rng, shared, own), donors)
+        same = low[0] == low[1]
 
         def below(levels):
             picks = rng.integers(set_join.COORDINATES, size=2 if rng.random() < 1 / 3 else 1)
@@ -350,15 +354,54 @@ def found_share(trees, depth, pairs, seed):
     return found / pairs
 
 
-def test_recall_at_the_depth_that_is_used():
-    """The computed recall is that of trees that share their minima, and the trees of near_copies reach the target at its depth."""
+def test_minima():
+    """Shares of equal minima are those of the sets, for sets smaller and larger than the number of ranges."""
+    rng, donors = np.random.default_rng(0), set_join._donors()
+    for shared, own in ((3, 1), (12, 4), (60, 20), (600, 200)):
+        agree = []
+        for _ in range(300):
+            low = set_join.minima(pair(rng, shared, own), donors)
+            agree.append((low[0] == low[1]).mean())
+        # A small set's minima are few, so its shares spread; none is beyond the margin of comparisons.
+        assert abs(np.mean(agree) - shared / (shared + 2 * own)) < 0.02
+    some = [np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (0, 1, 5, 1000)]
+    low = set_join.minima(some, donors)
+    assert (low[0] == 0).all() and (low[1] == low[1, 0]).all()
+    tokens = [set(((s >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).tolist()) for s in some]
+    assert all(set(row.tolist()) <= t for row, t in zip(low[1:], tokens[1:]))
+    for s, row in zip(some[1:], low[1:]):  # the minimum of each range that isn't empty
+        for r in range(set_join.COORDINATES):
+            inside = s[(s >> np.uint64(57)) == r]
+            assert not len(inside) or row[r] == int(inside.min() >> np.uint64(16)) & 0xFFFFFFFF
+    alone = [set_join.minima([s], donors)[0] for s in some]
+    assert (np.stack(alone) == low).all()
+
+
+def test_recall_by_depth():
+    """The computed recall is that of trees over shared minima, and the trees of near_copies reach the target at any depth."""
     for trees, depth in ((4, 3), (8, 8)):
         assert abs(found_share(trees, depth, 2000, 1) - set_join.recall_at(trees, 0.75, depth)) < 0.03
-    depth = inspect.signature(set_join.near_copies).parameters["depth"].default
-    assert set_join.recall_at(set_join.trees_for(0.9999, 0.75, depth), 0.75, depth) >= 0.9999
-    assert found_share(set_join.trees_for(0.9999, 0.75, depth), depth, 3000, 2) >= 0.999
-    low = set_join.deepest(0.9999, 0.75, 12)
-    assert set_join.recall_at(set_join.trees_for(0.9999, 0.75, low), 0.75, low) >= 0.9999 > set_join.recall_at(set_join.COORDINATES, 0.75, low + 1)
+    for depth in (3, 5, 7, 9):
+        trees = set_join.trees_for(0.9999, 0.75, depth)
+        assert set_join.recall_at(trees, 0.75, depth) >= 0.9999
+        assert found_share(trees, depth, 1500, 2) >= 0.998
+        assert found_share(trees, depth, 500, 3, shared=30, own=5) >= 0.98
+    last = set_join.deepest(0.9999, 0.75, 1000)
+    assert last > 9 and set_join.recall_at(set_join.trees_for(0.9999, 0.75, last), 0.75, last) >= 0.9999 > set_join.recall_at(set_join.COORDINATES, 0.75, last + 1)
+
+
+def test_deep_nodes_get_more_trees(documents, monkeypatch):
+    """Documents that share half of their tokens: nodes of nine take several levels, and those documents get further trees."""
+    rng = np.random.default_rng(8)
+    common = [f"c{i}" for i in range(80)]
+    rows = [(i, " ".join(common + [f"o{i}x{k}" for k in range(60)])) for i in range(160)]
+    rows += [(1000 + i, " ".join(common + [f"o{i}x{k}" for k in range(59)] + ["z"])) for i in range(0, 160, 8)]
+    calls = []
+    grow = set_join._Join.grow
+    monkeypatch.setattr(set_join._Join, "grow", lambda self, *a: calls.append(grow(self, *a)) or calls[-1])
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in set_join.near_copies(documents(*rows), small=9).collect()}
+    assert out == near_components(rows)
+    assert len(calls) > 1 and calls[0][1] > 3
 
 
 def test_components(spark):
@@ -432,7 +475,7 @@ def test_traversal_is_in_order():
 def test_secret_rows(spark, documents):
     key = "a1B2" * 8
     rows = [(1, None, "en", "s1"), (2, "", "en", "s1"), (3, "password: token: abcdefgh", "en", "s1"), (4, f"é TOKEN = '{'0f' * 20}' AKIA{'Z' * 16}", "en", "s1")]
-    rows += [(10 + i, f"x {key} y api_key=EXAMPLEKEY1 \x01 secret:short", "en", f"s{i}") for i in range(6)] + [(20, "only q9Z" * 4 + "q9Z" * 9, "en", None), (21, LONG + " passwd=hunter22", None, None), (22, "abc" + "0" * 23 + "\n" + "f" * 24, "en", "s2")]
+    rows += [(10 + i, f"x {key} y api_key=EXAMPLEKEY1 \x01 secret:short", "en", f"s{i}") for i in range(6)] + [(20, "only q9Z" * 4 + "q9Z" * 9, "en", None), (21, LONG + " passwd=hunter22", None, None), (22, "abc" + "0" * 23 + "\n" + "f" * 24, "en", "s2"), (23, "token\x01: abcdefgh token\x02= abcdefgh secret\x01\x02:longvalue \x01password=abcdef\x01gh", "en", "s2")]
     rows += [(20, "only q9Z" * 4 + "q9Z" * 9, "en", None)]
     from matchloom.llm.queries import secret_columns
 

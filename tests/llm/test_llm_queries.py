@@ -24,7 +24,6 @@ def check_pieces(pieces, texts, repeated=False):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     sequences, of_document = defaultdict(list), defaultdict(list)
     for p in pieces:
         sequences[p.sequence_id].append((p.offset, p.length))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_edges import EXACT, clashing, exact_groups, near_components, varied
-from test_queries import check_pieces
+from test_llm_queries import check_pieces
 
 import corpus_pipeline
 from matchloom.llm import language
