@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,41 @@ def plain(text: Column) -> Column:
     return text
 
 
+_HELD: dict[str, Callable[[], object]] = {}
+
+
+def hold(name: str, forget: Callable[[], object] = lambda: None) -> None:
+    """Say what this Python worker remembers from task to task; what other operators left behind is forgotten.
+
+    Workers outlive stages, so without this their memories would add up over the operators of a session.
+    """
+    for other in [o for o in _HELD if o != name]:
+        _HELD.pop(other)()
+    _HELD[name] = forget
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library have freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator], name: str = "") -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, which starts without other operators' memories and gives back its own buffers."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        if not name:
+            hold(name)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def free_prefix(columns: list[str]) -> str:
     """Underscores that no column's name starts with, two at least: names made with it clash with none."""
     prefix = "__"

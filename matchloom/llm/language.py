@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import batch_settings
+from matchloom.llm.common import batch_settings, give_back, hold
 from matchloom.storage import materialize
 
 WINDOW = 24
@@ -221,6 +221,7 @@ def predictor(network: Network | None):
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def read(texts: pa.Array) -> pa.Array:
+        hold("language", _READERS.clear)
         if mark not in _READERS:  # a worker keeps the reader of the last network
             _READERS.clear()
             _READERS[mark] = Reader(network)
@@ -228,6 +229,7 @@ def predictor(network: Network | None):
         pooled = _READERS[mark].pool(texts)
         best, score = pooled.argmax(axis=1), pooled.max(axis=1)
         names = [network.languages[b] if s > 0 else UNKNOWN for b, s in zip(best, score)]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.minimum(score, 1.0))], ["lang", "score"])
 
     return read

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import batch_settings, partitions
+from matchloom.llm.common import batch_settings, hold, lean, partitions
 from matchloom.llm.word_tokens import encoder
 from matchloom.storage import materialize
 
@@ -80,6 +80,7 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def _tokenise(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("words", encoder.cache_clear)
         encode = encoder(path)
         for batch in batches:
             ids, ends = encode(batch.column("text"), end_id)
@@ -155,8 +156,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, i
     spark = docs.sparkSession
     batch_settings(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    tokens = materialize(rows.mapInArrow(_tokenise(tokenizer, end_id), "doc_id long, key long, doc_tokens long, width int, ids binary"), "tokens")
+    tokens = materialize(rows.mapInArrow(lean(_tokenise(tokenizer, end_id), "words"), "doc_id long, key long, doc_tokens long, width int, ids binary"), "tokens")
     ranges = partitions(spark)
     ordered = tokens.repartitionByRange(ranges, "key", "doc_id").sortWithinPartitions("key", "doc_id", "doc_tokens", "ids")
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return ordered.mapInArrow(_cut(length, 1 << 20), schema)
+    return ordered.mapInArrow(lean(_cut(length, 1 << 20)), schema)

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import batch_settings, components, partitions, place_of, settings
+from matchloom.llm.common import batch_settings, components, lean, partitions, place_of, settings
 from matchloom.storage import materialize
 
 Batches = Iterator[pa.RecordBatch]
@@ -294,7 +294,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), *[F.col(place).alias(c) for c in also])
     source = rows.drop(*also)
     schema = "doc_id long, n_shingles long, set_key binary, low array<int>, check binary" + ", __at struct<file: string, row: long>" * len(also)
-    signed = materialize(rows.mapInArrow(_sign(words, also), schema), "signed")
+    signed = materialize(rows.mapInArrow(lean(_sign(words, also)), schema), "signed")
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.any_value(F.struct("low", "check")).alias("s"))
     classes = materialize(classes.select("set_key", "id", "s.low", "s.check"), "classes")
     lows = classes.groupBy("id").agg(F.any_value(F.struct("low", "check")).alias("s")).select("id", "s.low", "s.check")
@@ -400,10 +400,10 @@ class _Join:
     def links(self, groups: DataFrame) -> DataFrame:
         """Links inside groups, confirmed on full sets."""
         rows = groups.join(self.lows.select("id", "check"), "id").select("g", "id", "check").repartition(self.parts, "g").sortWithinPartitions("g", "id")
-        possible = materialize(rows.mapInArrow(_possible(self.least), "g long, id long").distinct(), "possible")
+        possible = materialize(rows.mapInArrow(lean(_possible(self.least)), "g long, id long").distinct(), "possible")
         # Few documents have a possible partner: Spark filters the others out before the texts' shuffle.
         wanted = possible.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id")
         with settings(self.source.sparkSession, EARLY_FILTER):
             texts = materialize(self.source.join(wanted, self.source["doc_id"] == wanted["id"], "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.max("text").alias("text")), "texts")
         full = possible.join(texts, "id").select("g", "id", "text").repartition(self.parts, "g").sortWithinPartitions("g", "id")
-        return full.mapInArrow(_compare(self.words, self.percent), "u long, v long").distinct()
+        return full.mapInArrow(lean(_compare(self.words, self.percent)), "u long, v long").distinct()

@@ -275,13 +275,13 @@ def near_components(rows, percent=75):
     for id_, text in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
         sets[id_] = {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
-    low = {i: i for i in sets}
-    for _ in sets:
-        for a in sets:
-            for b in sets:
-                both = len(sets[a] & sets[b])
-                if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
-                    low[a] = low[b] = min(low[a], low[b])
+    linked = lambda a, b: (both := len(sets[a] & sets[b])) and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both)
+    links = [(a, b) for a in sets for b in sets if a < b and linked(a, b)]
+    low, before = {i: i for i in sets}, None
+    while low != before:
+        before = dict(low)
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
     return {i: (len(sets[i]), low[i]) for i in sets}
 
 
