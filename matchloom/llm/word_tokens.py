@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 # distinct words. Apostrophes start pre-tokens of their own kind and stay.
 MARKS = r"(\pL)([.,!?;:%$#&*|()\-\"]+)"
 # Words remembered by a worker; a bound on its memory that doesn't change results.
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
 
 
 class _Words:
