@@ -14,8 +14,9 @@ Equal vectors are one representative with a count, so copies cost nothing. A cel
 blocks of bounded size, each the work of one step of a task. A block returns link counts and a spanning forest of its
 links, never all pairs.
 
-Defined results. Vectors that are null, empty, zero, or hold nulls or numbers that aren't finite, and those whose length
-isn't the most frequent one, link with nothing, nor does a row without id; such a row has a null component and is kept.
+Defined results. Vectors that are null, empty, zero, or hold nulls or numbers that aren't finite link with nothing, nor
+does a row without id; such a row has a null component and is kept. Vectors of different lengths aren't compared; those
+of each length have an index of their own.
 Rows that share an id are one vector with the links of all of them. Extra columns are not read. An empty table gives an
 empty result.
 """
@@ -25,6 +26,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def codebook(points: np.ndarray, words: int, rounds: int = 12) -> np.ndarray:
+    if not points.shape[1]:  # a half of vectors of one component
+        return np.zeros((1, 0))
     rng = np.random.default_rng(1)
     points = np.unique(points, axis=0)
     centres = points[rng.choice(len(points), min(words, len(points)), replace=False)]
@@ -230,16 +234,26 @@ def near_vectors(
     vector = F.col("vector")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vector"))
     fine = vector.isNotNull() & F.col("vec_id").isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
-    width = rows.where(fine).groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dimension = width["n"] if width else 0
-    fine = F.coalesce(fine & (F.size("vector") == dimension), F.lit(False))
+    fine = F.coalesce(fine, F.lit(False))
     rows = rows.select("vec_id", F.when(fine, F.xxhash64("vector")).alias("h1"), F.when(fine, F.xxhash64(F.lit(1), "vector")).alias("h2"), F.when(fine, vector).alias("vector"))
     unlinked = rows.where("h1 IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if not dimension:
-        return unlinked.withColumn("kept", F.lit(True))
     named = rows.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.any_value("vector").alias("vector"))
     named = materialize(named, "vectors")
+    lengths = sorted(r["n"] for r in named.select(F.size("vector").alias("n")).distinct().collect())  # a row per length
+    if not lengths:
+        return unlinked.withColumn("kept", F.lit(True))
+    links = reduce(DataFrame.union, [_links(named.where(F.size("vector") == n), n, threshold, words, sample, block) for n in lengths])
+    counts = links.where("kind = 0").groupBy("id").agg(F.sum("value").alias("n"))
+    found = components(links.where("kind = 1").select(F.col("id").alias("u"), F.col("value").alias("v")))
+    known = named.select("h1", "h2", "id", "copies").join(counts, "id", "left").join(found, "id", "left")
+    known = known.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    linked = rows.where("h1 IS NOT NULL").select("vec_id", "h1", "h2").join(known, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
+    return linked.union(unlinked).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
+
+def _links(named: DataFrame, dimension: int, threshold: float, words: int, sample: int, block: int) -> DataFrame:
+    """(kind, id, value) of the links among vectors of one length: links counted, or a linked id."""
+    spark = named.sparkSession
     drawn = named.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
     units = unit(np.array([r["vector"] for r in drawn]))
     half = dimension // 2
@@ -252,10 +266,4 @@ def near_vectors(
     schema = "cell int, mine int, other int, role int, id long, copies long, vector binary"
     visits = named.select("id", "copies", "vector").mapInArrow(_visit(index, 2 - 2 * threshold + ROUNDING, blocks, dimension), schema)
     visits = visits.repartition(partitions(spark), "cell", "mine", "other").sortWithinPartitions("cell", "mine", "other", "role", "id")
-    links = materialize(visits.mapInArrow(_verify(threshold, dimension), "kind long, id long, value long"), "links")
-    counts = links.where("kind = 0").groupBy("id").agg(F.sum("value").alias("n"))
-    found = components(links.where("kind = 1").select(F.col("id").alias("u"), F.col("value").alias("v")))
-    known = named.select("h1", "h2", "id", "copies").join(counts, "id", "left").join(found, "id", "left")
-    known = known.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
-    linked = rows.where("h1 IS NOT NULL").select("vec_id", "h1", "h2").join(known, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
-    return linked.union(unlinked).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return materialize(visits.mapInArrow(_verify(threshold, dimension), "kind long, id long, value long"), "links")
