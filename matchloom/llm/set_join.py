@@ -45,7 +45,7 @@ from matchloom.storage import materialize
 Batches = Iterator[pa.RecordBatch]
 COORDINATES = 128
 # Levels a round of the recursion goes down before nodes are measured again.
-STEPS = 2
+STEPS = 3
 # Tries of an empty range to find one that isn't.
 TRIES = 1024
 # Joins of texts with the few ids that are needed get a Bloom filter of bounded size before the shuffle.
@@ -204,22 +204,23 @@ def _parts(linked: np.ndarray) -> np.ndarray:
 
 
 def _possible(least: int) -> Callable[[Batches], Batches]:
-    """Of each group the parts whose minima agree in at least ``least`` places, as groups named by their members.
+    """Of each group the documents whose minima agree in at least ``least`` places with those of one of another label.
 
-    The last byte of each minimum is enough: different ones agree in one of 256.
+    Documents that are connected that way are a group of their own, named by its members. The last byte of each minimum
+    is enough: different ones agree in one of 256.
     """
 
     def run(batches: Batches) -> Batches:
         out: list[tuple[int, int]] = []
-
-        for _, ids, held in _groups(batches, lambda batch: batch.column("check").to_pylist()):
+        value = lambda batch: list(zip(batch.column("check").to_pylist(), batch.column("label").to_pylist()))
+        for _, ids, held in _groups(batches, value):
             order = np.argsort(ids, kind="stable")
-            sorted_ids = np.array(ids)[order]
-            check = np.frombuffer(b"".join(held), np.uint8).reshape(-1, COORDINATES)[order]
+            sorted_ids, label = np.array(ids)[order], np.array([h[1] for h in held])[order]
+            check = np.frombuffer(b"".join(h[0] for h in held), np.uint8).reshape(-1, COORDINATES)[order]
             agree = np.zeros((len(check), len(check)), np.uint8)
             for c in check.T:
                 agree += c[:, None] == c[None]
-            part = _parts(agree >= least)
+            part = _parts((agree >= least) & (label[:, None] != label[None]))
             for first in np.flatnonzero(np.bincount(part, minlength=len(part)) > 1):
                 members = sorted_ids[part == first]
                 name = int.from_bytes(hashlib.blake2b(members.astype("<i8").tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -297,19 +298,27 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     signed = materialize(rows.mapInArrow(lean(_sign(words, also)), schema), "signed")
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.any_value(F.struct("low", "check")).alias("s"))
     classes = materialize(classes.select("set_key", "id", "s.low", "s.check"), "classes")
-    lows = classes.groupBy("id").agg(F.any_value(F.struct("low", "check")).alias("s")).select("id", "s.low", "s.check")
+    # Ids of several texts are few; they are found in narrow rows, so that signatures aren't shuffled again.
+    shared = materialize(classes.groupBy("id").agg(F.min("set_key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("shared"), "first"), "shared")
+    lows = classes.join(shared, F.col("id") == F.col("shared"), "left").where("shared IS NULL OR set_key = first").select("id", "low", "check")
 
     join = _Join(source, lows, words, percent, small)
     last = deepest(recall, percent / 100, 1000)
-    ids, links, start, trees = lows.select("id", "low"), [], 0, trees_for(recall, percent / 100, min(depth, last))
+    ids, start, trees = lows.select("id", "low"), 0, trees_for(recall, percent / 100, min(depth, last))
+    links, known = [], None
     while True:
         roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(start, trees)]
-        found, reached, deep = join.grow(ids.select("id", F.explode(F.array(*roots)).alias("node")), depth, last)
-        links += found
+        frontier = ids.select("id", F.explode(F.array(*roots)).alias("node"))
+        if known is None:
+            links.append(join.roots(frontier))
+            known, frontier = components(links[0]), join.large
+        found, reached, deep = join.grow(frontier, known, depth, last)
+        links.append(found)
         start, trees = trees, trees_for(recall, percent / 100, reached)
         if trees <= start:
             break
-        ids, depth = lows.join(deep, "id", "left_semi").select("id", "low"), reached
+        known = components(reduce(DataFrame.union, links))
+        ids, depth = join.only(deep, "low"), reached
     found = components(reduce(DataFrame.union, links))
 
     named = classes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
@@ -341,21 +350,26 @@ class _Join:
         groups = groups.select(F.xxhash64("ids").alias("g"), "ids").groupBy("g", "ids").agg(F.lit(1).alias("one"))
         return groups.select("g", F.explode("ids").alias("id"))
 
-    def grow(self, frontier: DataFrame, depth: int, last: int) -> tuple[list[DataFrame], int, DataFrame]:
-        """Trees from their root nodes down: the links found, the level reached, and the ids that were below ``depth``."""
-        links = self.roots(frontier)
-        known = components(links)
-        frontier, level, groups, deep = self.large, 1, [], []
+    def only(self, ids: DataFrame, column: str) -> DataFrame:
+        """id and that part of the signature of some documents; Spark filters the others out before a shuffle."""
+        wanted = ids.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id").distinct()
+        with settings(self.source.sparkSession, EARLY_FILTER):
+            return materialize(self.lows.select("id", column).join(wanted, "id", "left_semi"), "signatures")
+
+    def grow(self, frontier: DataFrame, known: DataFrame, depth: int, last: int) -> tuple[DataFrame, int, DataFrame]:
+        """Trees from their large nodes down: the links found, the level reached, and the ids that were below ``depth``."""
+        level, groups, deep, low = 1, [], [], None
         while True:
-            frontier, ready, more = self.branch(frontier, known, level, last)
+            frontier, ready, more = self.branch(frontier, known, level, last, low)
             groups.append(ready)
             if not more:
                 break
+            low = self.only(frontier, "low") if low is None else low
             level = min(level + STEPS, last)
             if level > depth:
                 deep.append(frontier.select("id"))
-        more = materialize(self.links(reduce(DataFrame.union, groups)), "links")
-        return [links, more], level, reduce(DataFrame.union, deep or [frontier.select("id")]).distinct()
+        links = materialize(self.links(reduce(DataFrame.union, groups), known), "links")
+        return links, level, reduce(DataFrame.union, deep or [frontier.select("id")]).distinct()
 
     def children(self, frontier: DataFrame, level: int) -> DataFrame:
         """Rows of ``frontier`` in the nodes one level down."""
@@ -365,7 +379,7 @@ class _Join:
         picked = F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*below))).otherwise(F.array(below[0]))
         return frontier.select("id", "low", F.explode(picked).alias("node"))
 
-    def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: int) -> tuple[DataFrame, DataFrame, bool]:
+    def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: int, low: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
         """Of nodes that have more to find: those to branch on, groups of those to compare, and if any branch on.
 
         Below the roots rows first go down to this level. At the last one all are compared: every pair but those inside
@@ -373,7 +387,7 @@ class _Join:
         """
         rows = frontier
         if level > 1:
-            rows = frontier.join(self.lows.select("id", "low"), "id")
+            rows = frontier.join(low, "id")
             for step in range(max(2, level - STEPS + 1), level + 1):
                 rows = self.children(rows, step)
         labelled = rows.join(known, "id", "left").select("node", "id", F.coalesce("component_id", "id").alias("label"))
@@ -397,9 +411,13 @@ class _Join:
             members = members.union(others.join(again, "node").where("block < other").select(F.array_union("ids", "others").alias("ids")))
         return deeper, self._distinct(members), more
 
-    def links(self, groups: DataFrame) -> DataFrame:
-        """Links inside groups, confirmed on full sets."""
-        rows = groups.join(self.lows.select("id", "check"), "id").select("g", "id", "check").repartition(self.parts, "g").sortWithinPartitions("g", "id")
+    def links(self, groups: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        """Links inside groups between documents that aren't of one known component, confirmed on full sets."""
+        groups = materialize(groups, "groups")
+        rows = groups.join(self.only(groups, "check"), "id")
+        label = F.col("id") if known is None else F.coalesce("component_id", "id")
+        rows = (rows if known is None else rows.join(known, "id", "left")).select("g", "id", "check", label.alias("label"))
+        rows = rows.repartition(self.parts, "g").sortWithinPartitions("g", "id")
         possible = materialize(rows.mapInArrow(lean(_possible(self.least)), "g long, id long").distinct(), "possible")
         # Few documents have a possible partner: Spark filters the others out before the texts' shuffle.
         wanted = possible.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id")

@@ -401,7 +401,7 @@ def test_deep_nodes_get_more_trees(documents, monkeypatch):
     monkeypatch.setattr(set_join._Join, "grow", lambda self, *a: calls.append(grow(self, *a)) or calls[-1])
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in set_join.near_copies(documents(*rows), small=9).collect()}
     assert out == near_components(rows)
-    assert len(calls) > 1 and calls[0][1] > 3
+    assert len(calls) > 1 and calls[0][1] > 3 and all(c[1] > 1 for c in calls)
 
 
 def test_components(spark):
@@ -425,10 +425,12 @@ def test_vectors(spark):
     centres = rng.normal(size=(12, 8))
     points = [(i, (centres[i % 12] + rng.normal(size=8) * 0.12).tolist()) for i in range(150)]
     points += [(200, points[3][1]), (201, points[3][1]), (202, [2 * x for x in points[3][1]]), (203, None), (204, []), (205, [0.0] * 8), (206, [1.0] * 7 + [float("nan")]), (207, [1.0] * 7 + [None]), (208, [1.0] * 7 + [float("inf")]), (209, [1.0, 2.0]), (None, points[5][1])]
+    points += [(300, [1.0, 0.0, 0.0]), (301, [1.0, 0.001, 0.0]), (302, [0.0, 1.0, 0.0]), (303, [-5.0]), (304, [-1.0])]
     table = spark.createDataFrame([(i, v, "x") for i, v in points], "vec_id long, embedding array<double>, vector string")
     out = {r.vec_id: r for r in vector_index.near_vectors(table, words=4, block=16, recall=1.0).collect()}
-    fine = {i: np.array(v) / np.linalg.norm(v) for i, v in points if i is not None and i < 203}
-    links = {i: {j for j in fine if j != i and fine[i] @ fine[j] >= 0.95} for i in fine}
+    fine = {i: np.array(v) / np.linalg.norm(v) for i, v in points if i is not None and (i < 203 or i >= 300)}
+    links = {i: {j for j in fine if j != i and len(fine[i]) == len(fine[j]) and fine[i] @ fine[j] >= 0.95} for i in fine}
+    assert links[300] == {301} and links[303] == {304}
     low = {i: i for i in fine}
     for _ in fine:
         for i in fine:
