@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -64,7 +65,7 @@ HISTORICAL_ALIASES = {
     "ivory coast": "Côte d'Ivoire",
     "brunei": "Brunei Darussalam",
     "sao tome and principe": "São Tomé and Príncipe",
-    "s?o tome and pr?ncipe": "São Tomé and Príncipe",
+    "s?o tom? and pr?ncipe": "São Tomé and Príncipe",
     "congo leopoldville": "Congo DR",
     "congo dr": "Congo DR",
 }
@@ -73,8 +74,6 @@ HISTORICAL_ALIASES = {
 QUOTES = {"’": "'", "‘": "'", "“": '"', "”": '"', "´": "'", "`": "'", "–": "-", "—": "-"}
 DROPPED = ".,()"
 
-NON_ASCII = re.compile(r"[^\x00-\x7f]+")
-
 
 def literal_map(mapping: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
@@ -86,30 +85,25 @@ def canonical_name(name: Column, aliases: dict[str, str] = NAME_ALIASES) -> Colu
     return F.coalesce(F.try_element_at(literal_map(aliases), trimmed), trimmed)
 
 
-def _bare(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-
-
-# Letters of the Latin blocks that are one plain character with marks, and that character.
-MARKED = {c: _bare(c) for block in ((0xA0, 0x250), (0x1E00, 0x1F00)) for c in map(chr, range(*block)) if len(_bare(c)) == 1 and _bare(c) != c}
-# Text that these tables cover: ASCII, Latin letters that are covered or have no decomposition, typographic marks.
-COVERED = "".join(re.escape(c) for block in ((0xA0, 0x250), (0x1E00, 0x1F00)) for c in map(chr, range(*block)) if c in MARKED or _bare(c) == c) + "".join(QUOTES).replace("`", "").replace("´", "")
+# Characters with a combining class: what a compatibility decomposition leaves of accents.
+COMBINING = "[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))) + "]+"
 
 
-@F.pandas_udf(StringType())
-def strip_marks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Compatibility decomposition without combining marks, for texts outside the Latin tables."""
-    for batch in batches:
-        yield batch.map(lambda value: None if value is None else NON_ASCII.sub(lambda run: _bare(run.group()), value))
+@F.arrow_udf(StringType())
+def plain_letters(names: pa.Array) -> pa.Array:
+    """Compatibility decomposition without combining marks, and plain quotes and dashes: whole arrays at a time."""
+    bare = pc.replace_substring_regex(pc.utf8_normalize(names, "NFKD"), COMBINING, "")
+    for mark, plain in QUOTES.items():
+        bare = pc.replace_substring(bare, mark, plain)
+    return bare
 
 
 def normalized_id(name: Column) -> Column:
     """Accent-free, lower-case identifier with single spaces; empty for null or blank input.
 
-    Latin text stays in Spark; Python gets only other texts, and null in their place elsewhere.
+    ASCII text stays in Spark, by plain searches; Python gets only other texts, and null in their place elsewhere.
     """
-    latin = F.translate(name, "".join(MARKED), "".join(MARKED.values()))
-    other = strip_marks(F.when(name.rlike(f"[^\\x00-\\x7f{COVERED}]"), name))
-    marks = "".join(QUOTES)
-    plain = F.translate(F.coalesce(other, latin), marks + DROPPED, "".join(QUOTES.values()))
+    plain = F.coalesce(plain_letters(F.when(F.octet_length(name) > F.length(name), name)), F.replace(name, F.lit("`"), F.lit("'")))
+    for mark in DROPPED:
+        plain = F.replace(plain, F.lit(mark), F.lit(""))
     return F.coalesce(F.trim(F.regexp_replace(F.lower(plain), r"(?U)\s+", " ")), F.lit(""))

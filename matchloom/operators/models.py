@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.functions.rounding import ratio, round_half_up
+from matchloom.operators.boosting import BoostedTrees, Fit, train_boosted
 from matchloom.operators.features import FEATURES
 from matchloom.operators.metrics import CLASSES, class_report, confusion_matrix
 from matchloom.storage import materialize
@@ -34,7 +35,7 @@ class Settings:
     boost_depth: int = 5
     boost_step: float = 0.05
     boost_subsample: float = 0.8
-    boost_columns: str = "0.8"
+    boost_columns: float = 0.8
     seed: int = 42
 
 
@@ -66,7 +67,7 @@ def with_class_weight(df: DataFrame, classes: tuple[int, ...] = CLASSES) -> Data
 
 
 def estimator(name: str, rows: int, settings: Settings = Settings(), features: Sequence[str] = FEATURES) -> Estimator:
-    """Pipeline of one model. ``rows`` turns the inverse penalty into Spark's per-row penalty."""
+    """Pipeline of one of Spark's models. ``rows`` turns the inverse penalty into Spark's per-row penalty."""
     assemble = VectorAssembler(inputCols=list(features), outputCol="raw_features")
     s = settings
     if name == "logistic_regression":
@@ -85,20 +86,17 @@ def estimator(name: str, rows: int, settings: Settings = Settings(), features: S
             seed=s.seed,
         )
         return Pipeline(stages=[assemble, fit])
-    if name == "boosted_trees":
-        one = GBTClassifier(
-            maxIter=s.boost_rounds,
-            maxDepth=s.boost_depth,
-            stepSize=s.boost_step,
-            subsamplingRate=s.boost_subsample,
-            featureSubsetStrategy=s.boost_columns,
-            seed=s.seed,
-        )
-        return Pipeline(stages=[assemble, OneVsRest(classifier=one, featuresCol="raw_features", parallelism=3)])
     raise ValueError(name)
 
 
-def train(name: str, training: DataFrame, settings: Settings = Settings(), features: Sequence[str] = FEATURES) -> PipelineModel:
+Model = PipelineModel | BoostedTrees
+
+
+def train(name: str, training: DataFrame, settings: Settings = Settings(), features: Sequence[str] = FEATURES) -> Model:
+    if name == "boosted_trees":
+        s = settings
+        fit = Fit(rounds=s.boost_rounds, depth=s.boost_depth, step=s.boost_step, subsample=s.boost_subsample, columns=s.boost_columns, seed=s.seed)
+        return train_boosted(training, features, classes=CLASSES, fit=fit)
     # Written out once: a fit reads its rows very many times. The file's row count costs no scan.
     weighted = materialize(with_class_weight(training), "training")
     return estimator(name, weighted.count(), settings, features).fit(weighted)
@@ -110,28 +108,22 @@ def largest_slope(model: PipelineModel, training: DataFrame, settings: Settings
     rows = model.transform(with_class_weight(training)).select("label", "class_weight", vector_to_array("features").alias("x"), vector_to_array("probability").alias("p"))
     each = rows.select("label", "class_weight", "p", F.posexplode("x").alias("feature", "x"))
     error = lambda k: F.sum(F.col("class_weight") * F.col("x") * (F.col("p")[k] - (F.col("label") == k).cast("int")))
-    slopes = each.groupBy("feature").agg(*[error(k).alias(f"k{k}") for k in CLASSES], F.sum("class_weight").alias("weight"), F.count(F.lit(1)).alias("rows")).collect()
-    penalty = 1.0 / (settings.inverse_penalty * slopes[0]["rows"])
-    weights = fit.coefficientMatrix.toArray()
-    return max(abs(r[f"k{k}"] / r["weight"] + penalty * weights[k, r["feature"]]) for r in slopes for k in CLASSES)
+    slopes = each.groupBy("feature").agg(*[error(k).alias(f"k{k}") for k in CLASSES], F.sum("class_weight").alias("weight"), F.count(F.lit(1)).alias("rows"))
+    penalty = F.lit(1.0) / (F.lit(settings.inverse_penalty) * F.col("rows"))
+    weights = [F.get(F.array(*[F.lit(float(w)) for w in line]), F.col("feature")) for line in fit.coefficientMatrix.toArray()]
+    steepest = F.greatest(*[F.abs(F.col(f"k{k}") / F.col("weight") + penalty * weights[k]) for k in CLASSES])
+    return slopes.agg(F.max(steepest).alias("s")).first()["s"]
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: Model, df: DataFrame) -> DataFrame:
     """Add ``pred``."""
     return model.transform(df).withColumn("pred", F.col("prediction").cast("int"))
 
 
-def score_fixtures(model: PipelineModel, fixtures: DataFrame, home: str = "home_team", away: str = "away_team") -> DataFrame:
+def score_fixtures(model: Model, fixtures: DataFrame, home: str = "home_team", away: str = "away_team") -> DataFrame:
     """Probability of each outcome in percent, the predicted class and its name, for a whole fixture table."""
     scored = predict(model, fixtures)
-    # One-vs-rest yields raw scores per class; the others yield probabilities.
-    source = "probability" if "probability" in scored.columns else "rawPrediction"
-    p = vector_to_array(F.col(source))
-    if source == "rawPrediction":
-        # A boosted margin m stands for the probability 1 / (1 + exp(-2m)).
-        logistic = F.transform(p, lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * x)))
-        total = F.aggregate(logistic, F.lit(0.0), lambda a, x: a + x)
-        p = F.transform(logistic, lambda x: x / total)
+    p = F.col("probability") if isinstance(model, BoostedTrees) else vector_to_array("probability")
     percent = lambda i: round_half_up(F.element_at(p, i + 1) * F.lit(100.0), 4)
     named: Column = F.when(F.col("pred") == 2, F.concat(home, F.lit(" Win"))).when(F.col("pred") == 0, F.concat(away, F.lit(" Win"))).otherwise("Draw")
     return scored.withColumns({"away_pct": percent(0), "draw_pct": percent(1), "home_pct": percent(2), "outcome": named})
@@ -149,27 +141,44 @@ def model_metrics(name: str, predictions: DataFrame) -> DataFrame:
     return one.select(F.lit(name).alias("model_name"), "accuracy", "f1_macro", "f1_weighted", cells.alias("confusion_matrix"))
 
 
+def cross_validate(name: str, rows: DataFrame, settings: Settings = Settings(), fold: str = "fold") -> DataFrame:
+    """One row: mean and population deviation of the accuracy over the folds of ``time_folds``, each fitted on all before it."""
+    spark, scores = rows.sparkSession, []
+    for k in range(1, rows.agg(F.max(fold)).first()[0] + 1):
+        model = train(name, rows.where(F.col(fold) < k).drop(fold), settings)
+        hit = predict(model, rows.where(F.col(fold) == k)).agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("a")).first()["a"]
+        scores.append((name, hit))
+    table = spark.createDataFrame(scores, "model_name string, a double").groupBy("model_name")
+    return table.agg(F.count("a").alias("folds"), round_half_up(F.avg("a"), 4).alias("cv_accuracy_mean"), round_half_up(F.stddev_pop("a"), 4).alias("cv_accuracy_std"))
+
+
 def best_model(metrics: DataFrame, names: tuple[str, ...] = NAMES) -> DataFrame:
     """The row of highest accuracy; the model named first wins a tie."""
     place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("model_name"))
     return metrics.orderBy(F.col("accuracy").desc(), place).limit(1)
 
 
-def importances(models: dict[str, PipelineModel], df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """(feature, model, value) of the models that have importances; one-vs-rest sums its classifiers'."""
+def importances(models: dict[str, Model], df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """(feature, model, value) of the models that have importances."""
     rows = []
     for name, model in models.items():
-        last = model.stages[-1]
-        parts = [m.featureImportances for m in (last.models if hasattr(last, "models") else [last]) if hasattr(m, "featureImportances")]
-        rows += [(f, name, float(sum(p[i] for p in parts))) for i, f in enumerate(features) if parts]
+        values = model.importances() if isinstance(model, BoostedTrees) else getattr(model.stages[-1], "featureImportances", None)
+        rows += [(f, name, float(values[i])) for i, f in enumerate(features) if values is not None]
     return df.sparkSession.createDataFrame(rows, "feature string, model string, value double")
 
 
-def save(model: PipelineModel, path: str) -> None:
-    """The pipeline holds its feature list in the assembler."""
-    model.write().overwrite().save(path)
+def save(model: Model, path: str) -> None:
+    """A pipeline holds its feature list in the assembler, boosted trees in their text."""
+    if isinstance(model, BoostedTrees):
+        SparkSession.active().createDataFrame([(model.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load(path: str) -> tuple[PipelineModel, list[str]]:
+def load(path: str) -> tuple[Model, list[str]]:
+    spark = SparkSession.active()
+    if not spark.read.format("binaryFile").option("pathGlobFilter", "part-*.txt").load(path).isEmpty():
+        model = BoostedTrees.from_json(spark.read.text(path, wholetext=True).first()["value"])
+        return model, model.features
     model = PipelineModel.load(path)
     return model, list(model.stages[0].getInputCols())

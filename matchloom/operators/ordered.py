@@ -135,3 +135,13 @@ def chronological_split(df: DataFrame, groups: list[str], order: list[str], trai
     position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order)) + F.col("before")
     sliced = marked.filter(straddles).withColumn("split", F.when(position <= F.col("__cut"), "train").otherwise("test"))
     return whole.unionByName(sliced).drop("n", "before", "__cut")
+
+
+def time_folds(df: DataFrame, groups: list[str], order: list[str], folds: int, out: str = "fold") -> DataFrame:
+    """Number ``folds`` + 1 consecutive blocks of equal size in (``groups``, ``order``), from 0.
+
+    Fold k is tested with the rows before it, so none is judged by later ones and block 0 is only learned from.
+    """
+    placed = with_ordinal(df, [], groups, order, "__place")
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return placed.withColumn("__rows", total).withColumn(out, F.expr(f"((__place - 1) * {folds + 1}) DIV __rows").cast("int")).drop("__place", "__rows")

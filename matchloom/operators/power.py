@@ -81,8 +81,31 @@ def text_of(value: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", round_half_up(value.cast("double"), digits))
 
 
+# What each key figure says.
+KPI_TEXTS = {
+    "total_tournaments": "Tournaments that the matches belong to.",
+    "total_matches": "Matches of all tournaments.",
+    "total_goals": "Goals of all matches.",
+    "average_goals_per_match": "Goals of a match, on average.",
+    "total_unique_teams": "Teams with at least one match.",
+    "average_attendance_per_match": "Attendance of a match, on average over those with a known one.",
+    "home_win_percentage": "Percent of matches that the home side won.",
+    "away_win_percentage": "Percent of matches that the away side won.",
+    "draw_percentage": "Percent of matches without a winner.",
+    "most_successful_team": "Team that won most finals.",
+    "most_successful_team_titles": "Finals that this team won.",
+    "top_champion_probability_team": "Team with the best title odds.",
+    "top_champion_probability_percent": "Best title odds in percent.",
+    "top_power_index_team": "Team with the best power index.",
+    "top_power_index_score": "Best power index.",
+    "top_5_power_index_average": "Mean power index of the best five teams.",
+    "top_10_championship_probability_share": "Title odds of the ten best teams together, in percent.",
+    "simulation_runs": "Trials behind the title odds.",
+}
+
+
 def executive_summary(summary: DataFrame, power: DataFrame, odds: DataFrame) -> DataFrame:
-    """Key figures in long form: (metric_name, value as text, category).
+    """Key figures in long form: (metric_name, value as text, category, description).
 
     All match figures come from one aggregate. Others are scalar subqueries over small tables.
     """
@@ -135,7 +158,7 @@ def executive_summary(summary: DataFrame, power: DataFrame, odds: DataFrame) ->
         ("top_10_championship_probability_share", text_of(F.col("top10"), 2), "Simulation"),
         ("simulation_runs", whole("runs"), "Simulation"),
     ]
-    rows = F.array(*[F.struct(F.lit(n).alias("metric_name"), v.alias("value"), F.lit(c).alias("category")) for n, v, c in figures])
+    rows = F.array(*[F.struct(F.lit(n).alias("metric_name"), v.alias("value"), F.lit(c).alias("category"), F.lit(KPI_TEXTS[n]).alias("description")) for n, v, c in figures])
     # Without positive odds the number of runs is unknown and its row is left out.
     return one.select(F.explode(rows).alias("r")).select("r.*").filter((F.col("metric_name") != "simulation_runs") | F.col("value").isNotNull())
 

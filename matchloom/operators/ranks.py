@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Of the 64 bits of a value's place three steps order 22, 21 and 21, so a window sees at most 2^22 rows.
-MIDDLE, LOW = 21, 21
-
+from matchloom.storage import materialize
 
 def place(value: Column) -> Column:
     """A double as a long of the same order: sign, exponent, mantissa. NaN is the largest, the two zeros are equal."""
@@ -36,19 +34,21 @@ def report_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True
 def global_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True) -> DataFrame:
     """Add ``RANK()`` over a table of any size for each numeric ``metric -> output`` pair; null ranks as null.
 
-    Rows are first counted per distinct value, so ties cost nothing. The values' places are ordered in three steps, by
-    their high, middle and low bits: a rank is one more than the rows with a smaller prefix, and of those with the
-    same prefix the ones before. No step orders more values than its bits can tell apart, whatever the table's size,
-    and nothing runs before the result is asked for.
+    Rows are first counted per distinct value, so ties cost nothing. The values are range-partitioned and written once: a
+    rank is one more than the rows in the ranges before and, by a window inside its range, those before it there. NaN is
+    the largest value, the two zeros are equal.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
     counts = df.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    key = -place(F.col("value")) if descending else place(F.col("value"))
-    counts = counts.withColumn("key", key).withColumns({"high": F.shiftright("key", MIDDLE + LOW), "middle": F.shiftright("key", LOW)})
-    ranks = _before(_before(counts, ["metric"], "high"), ["metric", "high"], "middle")
-    inside = Window.partitionBy("metric", "middle").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
-    rank = F.col("before_high") + F.col("before_middle") + F.coalesce(F.sum("n").over(inside), F.lit(0)) + 1
-    ranks = ranks.select("metric", "value", rank.cast("bigint").alias("rank"))
+    order = F.col("value").desc() if descending else F.col("value").asc()
+    counts = materialize(counts.repartitionByRange("metric", order).withColumn("range", F.spark_partition_id()), "ranges")
+    sizes = counts.groupBy("metric", "range").agg(F.sum("n").alias("size"))  # a row per range and metric
+    earlier = Window.partitionBy("metric").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("metric", "range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("metric", "range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    within = counts.select("metric", "range", "value", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("inside"))
+    rank = (F.col("before") + F.col("inside") + 1).cast("bigint")
+    ranks = materialize(within.join(sizes, ["metric", "range"]).select("metric", "value", rank.alias("rank")), "ranks")
     result = df
     for metric, out in metrics.items():
         own = ranks.filter(F.col("metric") == metric).select(F.col("value").alias("__value"), F.lit(0).alias("__spread"), F.col("rank").alias(out))
@@ -57,11 +57,3 @@ def global_ranks(df: DataFrame, metrics: dict[str, str], descending: bool = True
         own_key = F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
         result = result.join(own, (own_key == F.col("__value")) & (spread == F.col("__spread")), "left").drop("__value", "__spread")
     return result
-
-
-def _before(counts: DataFrame, within: list[str], prefix: str) -> DataFrame:
-    """Add the rows whose prefix is smaller, within the same higher prefix."""
-    sizes = counts.groupBy(*within, prefix).agg(F.sum("n").alias("size"))
-    earlier = Window.partitionBy(*within).orderBy(prefix).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*within, prefix, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias(f"before_{prefix}"))
-    return counts.join(offsets, [*within, prefix])

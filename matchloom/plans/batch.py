@@ -30,7 +30,7 @@ from matchloom.operators.rating import final_ratings, sequential_rating
 from matchloom.operators.reshape import contest_sides
 from matchloom.operators.summary import match_summary
 from matchloom.plans import cleaning
-from matchloom.sources.describe import counted, data_dictionary, described
+from matchloom.sources.describe import Steps, data_dictionary, described
 from matchloom.sources.writers import nested_summary, write_csv, write_json
 
 CLEANERS = {
@@ -61,12 +61,12 @@ class Store:
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, odds: DataFrame, settings: M.Settings = M.Settings()) -> dict[str, DataFrame]:
     store = Store(spark, out_dir)
-    raw, seen = {}, {}
+    raw, seen = {}, {name: Steps(name) for name in CLEANERS}
     for name, clean in CLEANERS.items():
-        table, seen[name] = counted(clean(cleaning.read_raw(spark, raw_dir, name)), name)
-        raw[name] = store.put(f"clean/{name}", table)
-    counts = spark.createDataFrame([(name, rows.get["rows"]) for name, rows in seen.items()], "dataset string, n_rows long")
-    out = {"cleaning_report": store.report("cleaning_report", counts)}
+        raw[name] = store.put(f"clean/{name}", clean(cleaning.read_raw(spark, raw_dir, name), seen[name]))
+    steps = store.report("cleaning_steps", reduce(DataFrame.union, [s.report(spark) for s in seen.values()]))
+    counts = steps.where("rule = 'kept'").select("dataset", F.col("n").alias("n_rows"))
+    out = {"cleaning_report": store.report("cleaning_report", counts), "cleaning_steps": steps}
     out |= features(store, raw)
     out |= profiles(store, raw, out)
     out |= train(store, out["match_features"], settings)

@@ -14,6 +14,7 @@ from matchloom.operators.clean import first_per_key, latest_per_key
 from matchloom.operators.features import FEATURES
 from matchloom.operators.reshape import to_long
 from matchloom.operators.summary import match_summary
+from matchloom.operators import sketches as SK
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import VIEWS, rnd, stage_category
 from matchloom.plans.registry import query
@@ -161,6 +162,26 @@ def distinct_pair(spark, sf):
     return games.agg(F.count_distinct("tournament").alias("tournaments"), F.count_distinct("d").alias("days")).withColumn("teams", teams)
 
 
+@query(
+    "a8_month_sketches",
+    """SELECT l_returnflag, l_linestatus, count(DISTINCT l_partkey) AS parts, TRUE AS parts_close, TRUE AS median_close, TRUE AS tail_close, count(DISTINCT date_trunc('month', l_shipdate)) AS months
+    FROM lineitem GROUP BY 1, 2""",
+)
+def month_sketches(spark, sf):
+    """Sketches by month and flags, stored once, merged over the months: distinct parts and quantiles of the price, beside
+    exact figures. A quantile is close if its true rank is within the bound."""
+    lines = T(spark, sf, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    stored = V.stored(spark, sf, "line_sketches", lambda: SK.sketched(lines, ["l_returnflag", "l_linestatus", "month"], "l_partkey", "l_extendedprice"))
+    flags = ["l_returnflag", "l_linestatus"]
+    whole = SK.merged(stored, flags).select(*flags, SK.estimate(F.col("values")).alias("e"), SK.quantile(F.col("numbers"), 0.5).alias("q50"), SK.quantile(F.col("numbers"), 0.95).alias("q95"))
+    price = F.col("l_extendedprice")
+    between = lambda q, share: (F.avg((price < F.col(q)).cast("int")) <= share + SK.RANK_ERROR) & (F.avg((price <= F.col(q)).cast("int")) >= share - SK.RANK_ERROR)
+    exact = lines.join(whole, flags).groupBy(*flags).agg(
+        F.count_distinct("l_partkey").alias("parts"), F.max("e").alias("e"), between("q50", 0.5).alias("median_close"), between("q95", 0.95).alias("tail_close"), F.count_distinct("month").alias("months")
+    )
+    return exact.select(*flags, "parts", (F.abs(F.col("e") - F.col("parts")) <= F.greatest(F.lit(1.0), F.col("parts") * SK.COUNT_ERROR)).alias("parts_close"), "median_close", "tail_close", "months")
+
+
 def _fix(x: str, n: int) -> str:
     return f"printf('%.{n}f', {rnd(f'({x})::DOUBLE', n)})"
 
@@ -188,7 +209,7 @@ _KPI = [
 @query(
     "a9_kpi_long",
     "WITH titles AS (SELECT winner_team, count(*) AS n FROM summary WHERE stage = 'Final' GROUP BY 1 ORDER BY n DESC, winner_team LIMIT 1) "
-    + " UNION ALL ".join(f"SELECT '{n}' AS metric_name, {v} AS value, '{c}' AS category" for n, v, c in _KPI),
+    + " UNION ALL ".join(f"SELECT '{n}' AS metric_name, {v} AS value, '{c}' AS category, '{P.KPI_TEXTS[n]}' AS description" for n, v, c in _KPI),
 )
 def kpi_long(spark, sf):
     return P.executive_summary(match_summary(V.contest(spark, sf)), power_table(spark, sf), V.title_odds(spark, sf))

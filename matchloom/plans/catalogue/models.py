@@ -16,12 +16,12 @@ from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.operators import models as M
 from matchloom.operators.features import FEATURES
 from matchloom.operators.metrics import mean_importance
-from matchloom.operators.ordered import chronological_split
+from matchloom.operators.ordered import chronological_split, time_folds
 from matchloom.operators.ranks import report_ranks
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import VIEWS, rnd
 from matchloom.plans.registry import query
-from matchloom.storage import new_path
+from matchloom.storage import materialize, new_path
 
 SETTINGS = M.Settings()
 
@@ -103,17 +103,18 @@ def forest(spark, sf):
 
 @query("m5_boosted", _COUNTS.format(extra=f"{3 * M.Settings().boost_rounds} AS trees"))
 def boosted(spark, sf):
-    return _facts(_scored(spark, sf, "boosted_trees"), trees=sum(m.getNumTrees for m in trained(spark, sf, "boosted_trees").stages[-1].models))
+    return _facts(_scored(spark, sf, "boosted_trees"), trees=trained(spark, sf, "boosted_trees").tree_count)
 
 
-def metrics(spark, sf):
-    """Figures of all models on the test rows."""
-    build = lambda: reduce(lambda a, b: a.unionByName(b), [M.model_metrics(n, M.predict(trained(spark, sf, n), test_rows(spark, sf)).select("label", "pred")) for n in M.NAMES])
-    return V.stored(spark, sf, "model_metrics", build)
+def _own_metrics(name):
+    """Figures of one model on the test rows; fits that one only."""
+    figures = lambda spark, sf: M.model_metrics(name, M.predict(trained(spark, sf, name), test_rows(spark, sf)).select("label", "pred"))
+    return lambda spark, sf: V.stored(spark, sf, f"metrics_{name}", lambda: figures(spark, sf))
 
 
-def _own_metrics(name):
-    return lambda spark, sf: metrics(spark, sf).where(F.col("model_name") == name)
+def metrics(spark, sf):
+    """Figures of all models on the test rows."""
+    return reduce(lambda a, b: a.unionByName(b), [_own_metrics(n)(spark, sf) for n in M.NAMES])
 
 
 for _code, _name in (("m3_logreg", "logistic_regression"), ("m4_forest", "random_forest"), ("m5_boosted", "boosted_trees")):
@@ -146,6 +147,25 @@ def model_table(spark, sf):
     return table.join(recount, "model_name").select("model_name", cells.alias("test_rows"), same.alias("consistent"))
 
 
+FOLDS = 5
+
+
+@query("m6_time_folds", f"SELECT pool, seq, ((row_number() OVER (ORDER BY date, pool, home_team, away_team) - 1) * {FOLDS + 1} // (SELECT count(*) FROM match_features))::INTEGER AS fold FROM match_features")
+def folds(spark, sf):
+    return time_folds(V.match_features(spark, sf), ["date", "pool"], ["home_team", "away_team"], FOLDS).select("pool", "seq", "fold")
+
+
+@query("m6_cv_figures")
+def cv_figures(spark, sf):
+    """model_name, folds, cv_accuracy_mean, cv_accuracy_std of the quickest model; ``cross_validate`` takes any."""
+
+    def build():
+        rows = time_folds(V.match_features(spark, sf), ["date", "pool"], ["home_team", "away_team"], FOLDS)
+        return M.cross_validate("logistic_regression", materialize(M.feature_contract(rows, keep=("fold",)), "folds"), SETTINGS)
+
+    return V.stored(spark, sf, "model_cv", build)
+
+
 @query("m6b_importance_figures")
 def importance_figures(spark, sf):
     """feature, importance."""

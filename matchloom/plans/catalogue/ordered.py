@@ -15,6 +15,7 @@ from matchloom.operators.rating import final_ratings
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import rnd
 from matchloom.plans.registry import query
+from matchloom.streaming.form import FormStream
 
 T = V.table
 
@@ -57,6 +58,21 @@ def min_ranks(spark, sf):
     return global_ranks(stats, _RANKED).select("l_suppkey", *_RANKED.values())
 
 
+@query("w4_stream_form", "SELECT pool, seq, actor, form, games, scored, conceded, wins FROM history_stats")
+def stream_form(spark, sf):
+    """The same figures from a stream that lands in three spans of time, with a restart after each."""
+
+    def build():
+        sides = V.contest_long(spark, sf).select("pool", "actor", "d", "seq", "gf", "ga", "points")
+        low, high = sides.agg(F.percentile_approx(F.unix_date("d"), F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("p")).first()["p"]
+        day, stream = F.unix_date("d"), FormStream(sides)
+        for span in (day <= low, (day > low) & (day <= high), day > high):
+            stream.land(sides.where(span))
+        return stream.figures().where("NOT late").drop("late")
+
+    return V.stored(spark, sf, "stream_form", build).select("pool", "seq", "actor", "form", "games", "scored", "conceded", "wins")
+
+
 @query("w4_rolling_form", "SELECT pool, seq, actor, form FROM history_stats")
 def form(spark, sf):
     return rolling_form(V.contest_long(spark, sf)).select("pool", "seq", "actor", "form")

@@ -12,6 +12,7 @@ from matchloom.operators.aggregates import count_if
 from matchloom.operators.clean import drop_nulls, first_per_key
 from matchloom.operators.features import FEATURES
 from matchloom.operators.reshape import to_long
+from matchloom.operators.close_names import resolve_close
 from matchloom.plans import views as V
 from matchloom.plans.oracle_views import rnd, stage_category, weight
 from matchloom.plans.registry import query
@@ -206,6 +207,25 @@ def canonical_map(spark, sf):
     return C.resolve_names(asked, "variant", names, "name").select("asked", "name")
 
 
+@query(
+    "p16_close_names",
+    """WITH n AS (SELECT lower(n_name) AS match FROM nation),
+    v AS (SELECT c_custkey, lower(n_name) AS name, (c_custkey % length(n_name) + 1)::INTEGER AS pos FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    k AS (SELECT c_custkey, left(name, pos - 1) || CASE c_custkey % 4 WHEN 0 THEN substr(name, pos, 1) WHEN 1 THEN '?' WHEN 2 THEN '' ELSE 'xx' END || substr(name, pos + 1) AS key FROM v),
+    m AS (SELECT c_custkey, key, match FROM k, n WHERE CASE WHEN contains(key, '?') THEN match LIKE replace(key, '?', '_') ELSE levenshtein(key, match) <= 1 END)
+    SELECT c_custkey, k.key, first(match ORDER BY m.key <> match, match) FILTER (match IS NOT NULL) AS match FROM k LEFT JOIN m USING (c_custkey) GROUP BY ALL""",
+)
+def close_names(spark, sf):
+    """Nations spelt with a wrong, missing or unknown character."""
+    nations = T(spark, sf, "nation").select("n_nationkey", F.lower("n_name").alias("name"))
+    asked = T(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    at = (F.col("c_custkey") % F.length("name") + 1).cast("int")
+    kind = F.col("c_custkey") % 4
+    middle = F.when(kind == 0, F.substr("name", at, F.lit(1))).when(kind == 1, "?").when(kind == 2, "").otherwise("xx")
+    key = F.concat(F.substr("name", F.lit(1), at - 1), middle, F.substr("name", at + 1))
+    return resolve_close(asked.select("c_custkey", key.alias("key")), "key", nations.select(F.col("name").alias("key")), "match")
+
+
 @query("p17_stage_category", f"SELECT pool, seq, stage, {stage_category('stage')} AS stage_category FROM contest")
 def stage(spark, sf):
     return V.contest(spark, sf).select("pool", "seq", "stage", rules.stage_category(F.col("stage")).alias("stage_category"))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from matchloom.operators.aggregates import profile_columns
+from matchloom.operators.clean import first_per_key
 from matchloom.plans import views as V
 from matchloom.plans.registry import query
 from matchloom.sources import describe, readers, writers
-from matchloom.storage import new_path
+from matchloom.storage import materialize, new_path
 
 T = V.table
 
@@ -22,6 +23,23 @@ def csv_scan(spark, sf):
     return readers.read_csv(spark, path, customers.schema)
 
 
+@query(
+    "s1_bad_lines",
+    """SELECT CASE c_custkey % 40 WHEN 1 THEN 'columns' WHEN 2 THEN 'columns' WHEN 3 THEN 'cast c_custkey' WHEN 4 THEN 'cast c_acctbal' ELSE 'good' END AS reason,
+      count(*) AS lines, sum(CASE WHEN c_custkey % 40 IN (1, 2, 3, 4) THEN 0 ELSE c_custkey END)::BIGINT AS keys FROM customer GROUP BY 1""",
+)
+def bad_lines(spark, sf):
+    """Customers as lines, some of them damaged; every line is a good row or a bad line."""
+    path, part = new_path(spark, "customer-lines"), F.col("c_custkey") % 40
+    fields = [F.when(part == 3, F.concat(F.lit("k"), F.col("c_custkey"))).otherwise(F.col("c_custkey").cast("string")), F.col("c_name"), F.when(part == 4, "much").otherwise(F.col("c_acctbal").cast("string"))]
+    line = F.when(part == 1, F.concat_ws(",", *fields[:2])).when(part == 2, F.concat_ws(",", *fields, F.lit("more"))).otherwise(F.concat_ws(",", *fields))
+    # One column under another separator, so that every file gets the header and lines stay as they are.
+    T(spark, sf, "customer").select(line.alias("c_custkey,c_name,c_acctbal")).write.option("header", True).option("sep", "\x01").csv(path)
+    good, bad = readers.read_checked(spark, path, {"c_custkey": "bigint", "c_acctbal": "double"})
+    both = good.select(F.lit("good").alias("reason"), "c_custkey").union(bad.select("reason", F.lit(0)))
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.sum("c_custkey").alias("keys"))
+
+
 @query("s2_optional_source", "SELECT 'orders' AS source, count(*) AS n FROM orders UNION ALL SELECT 'returns', 0")
 def optional_source(spark, sf):
     schema = StructType([StructField("o_orderkey", LongType()), StructField("o_orderdate", TimestampType())])
@@ -95,6 +113,27 @@ def feature_store(spark, sf):
 CONTEST = ["pool", "d", "home", "away", "home_score", "away_score", "tournament", "neutral", "stage", "attendance", "seq"]
 
 
+@query("s7_rewrite_partition", "SELECT pool, count(*) AS n, sum(seq)::BIGINT AS places FROM contest WHERE pool <> (SELECT min(pool) FROM contest) OR seq % 2 = 0 GROUP BY pool")
+def rewrite_partition(spark, sf):
+    """A feature store of which one pool is written anew; read through a join with the pools wanted."""
+    path, games = new_path(spark, "store"), V.contest(spark, sf)
+    writers.write_feature_store(games, path, "pool")
+    first = games.agg(F.min("pool")).first()[0]
+    writers.rewrite_partitions(games.where((F.col("pool") == first) & (F.col("seq") % 2 == 0)), path, "pool")
+    return spark.read.schema(games.schema).parquet(path).groupBy("pool").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("places"))
+
+
+@query("f5_indexed_lookup", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)")
+def indexed_lookup(spark, sf):
+    def build():
+        path = new_path(spark, "lookup")
+        writers.write_lookup(T(spark, sf, "orders"), path, "o_orderkey")
+        return spark.read.parquet(path)
+
+    key = T(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
+    return build().where(F.col("o_orderkey") == key).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query(
     "s8_profile",
     " UNION ALL ".join(
@@ -139,3 +178,19 @@ def class_distribution(spark, sf):
 
     games, _ = describe.counted(V.contest(spark, sf), "contest rows")
     return games.groupBy(outcome_label(F.col("home_score"), F.col("away_score")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_STEPS = """WITH a AS (SELECT * FROM documents), b AS (SELECT * FROM a WHERE text IS NOT NULL AND trim(text) <> ''), c AS (SELECT * FROM b WHERE n_chars >= 200),
+n AS (SELECT (SELECT count(*) FROM a) AS a, (SELECT count(*) FROM b) AS b, (SELECT count(*) FROM c) AS c, (SELECT count(DISTINCT text) FROM c) AS d)
+SELECT 'documents' AS dataset, unnest(range(5))::INTEGER AS step, unnest(['read', 'blank', 'short', 'duplicate', 'kept']) AS rule, unnest([a, a - b, b - c, c - d, d]) AS n FROM n"""
+
+
+@query("s10_rows_by_rule", _STEPS)
+def rows_by_rule(spark, sf):
+    """Rows read, dropped by each rule and kept, counted while the kept ones are written."""
+    steps = describe.Steps("documents")
+    rows = steps(T(spark, sf, "documents"), "read")
+    rows = steps(rows.where("text IS NOT NULL AND trim(text) <> ''"), "blank")
+    rows = steps(rows.where("n_chars >= 200"), "short")
+    materialize(steps(first_per_key(rows, ["text"], [F.col("doc_id")]), "duplicate"), "kept")
+    return steps.report(spark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -11,6 +13,7 @@ from matchloom.functions.names import canonical_name
 from matchloom.functions.outcomes import outcome_text
 from matchloom.operators.clean import drop_nulls, first_per_key, latest_per_key
 from matchloom.operators.columns import cast_or_default, rename_columns
+from matchloom.sources.describe import Steps, unseen
 from matchloom.sources.readers import CORRUPT, read_csv
 
 # Column names of the raw files. All are read as text and cast below.
@@ -147,26 +150,26 @@ def _cast(df: DataFrame, **kinds: str) -> DataFrame:
     return df.withColumns({c: cast_or_default(F.col(c), kind) for c, kind in kinds.items()})
 
 
-def all_matches(raw: DataFrame) -> DataFrame:
-    typed = _cast(raw, date="date", home_score="int", away_score="int", neutral="boolean")
+def all_matches(raw: DataFrame, steps: Steps | Callable[[DataFrame, str], DataFrame] = unseen) -> DataFrame:
+    typed = _cast(steps(raw, "read"), date="date", home_score="int", away_score="int", neutral="boolean")
     named = typed.withColumns({c: canonical_name(F.col(c)) for c in ("home_team", "away_team")})
-    whole = drop_nulls(named, "date", "home_team", "away_team", "home_score", "away_score")
+    whole = steps(drop_nulls(named, "date", "home_team", "away_team", "home_score", "away_score"), "nulls")
     # Among duplicates the order makes the survivor the same in every run.
-    one = first_per_key(whole, ["date", "home_team", "away_team"], [F.col(c).asc_nulls_last() for c in ("home_score", "away_score", "tournament", "neutral")])
+    one = steps(first_per_key(whole, ["date", "home_team", "away_team"], [F.col(c).asc_nulls_last() for c in ("home_score", "away_score", "tournament", "neutral")]), "duplicates")
     return one.withColumns({"year": F.year("date"), "result": outcome_text(F.col("home_score"), F.col("away_score"))})
 
 
-def rankings(raw: DataFrame) -> DataFrame:
+def rankings(raw: DataFrame, steps: Steps | Callable[[DataFrame, str], DataFrame] = unseen) -> DataFrame:
     """One row per team, year and half, with the date it takes effect."""
-    renamed = rename_columns(raw, {f"{p}.points": f"{p}_points" for p in ("total", "previous", "diff")})
+    renamed = rename_columns(steps(raw, "read"), {f"{p}.points": f"{p}_points" for p in ("total", "previous", "diff")})
     typed = _cast(renamed, date="int", semester="int", rank="int", total_points="double", previous_points="double", diff_points="double")
     named = typed.withColumns({"team": canonical_name(F.col("team")), "semester": F.coalesce("semester", F.lit(1))})
-    whole = drop_nulls(named, "date", "rank", "team", "total_points")
-    one = first_per_key(whole, ["date", "semester", "team"], [F.col("rank"), F.col("total_points").desc()])
+    whole = steps(drop_nulls(named, "date", "rank", "team", "total_points"), "nulls")
+    one = steps(first_per_key(whole, ["date", "semester", "team"], [F.col("rank"), F.col("total_points").desc()]), "duplicates")
     return one.withColumn("ranking_date", effective_date(F.col("date"), F.col("semester")))
 
 
-def world_cup_matches(raw: DataFrame) -> DataFrame:
+def world_cup_matches(raw: DataFrame, steps: Steps | Callable[[DataFrame, str], DataFrame] = unseen) -> DataFrame:
     names = {
         "Home Team Name": "home_team",
         "Away Team Name": "away_team",
@@ -176,22 +179,22 @@ def world_cup_matches(raw: DataFrame) -> DataFrame:
         "Half-time Home Goals": "ht_home_goals",
         "Half-time Away Goals": "ht_away_goals",
     }
-    typed = _cast(rename_columns(raw, names), home_goals="int", away_goals="int", Attendance="int", Year="int", MatchID="bigint")
+    typed = _cast(rename_columns(steps(raw, "read"), names), home_goals="int", away_goals="int", Attendance="int", Year="int", MatchID="bigint")
     named = typed.withColumns({c: canonical_name(F.col(c)) for c in ("home_team", "away_team")})
-    whole = drop_nulls(named, "home_team", "away_team", "home_goals", "away_goals")
-    one = first_per_key(whole, ["MatchID"], [F.col(c).asc_nulls_last() for c in ("Year", "Datetime", "home_team", "away_team", "home_goals", "away_goals")])
+    whole = steps(drop_nulls(named, "home_team", "away_team", "home_goals", "away_goals"), "nulls")
+    one = steps(first_per_key(whole, ["MatchID"], [F.col(c).asc_nulls_last() for c in ("Year", "Datetime", "home_team", "away_team", "home_goals", "away_goals")]), "duplicates")
     return one.withColumn("result", outcome_text(F.col("home_goals"), F.col("away_goals")))
 
 
-def player_aggregates(raw: DataFrame) -> DataFrame:
+def player_aggregates(raw: DataFrame, steps: Steps | Callable[[DataFrame, str], DataFrame] = unseen) -> DataFrame:
     """The latest version of each country's squad."""
     scores = [c for c in raw.columns if c.startswith(("avg_", "max_"))]
-    typed = _cast(raw, fifa_version="int", num_players="int", **{c: "double" for c in scores})
-    whole = drop_nulls(typed.withColumn("country", canonical_name(F.col("country"))), "country", "avg_overall")
-    one = first_per_key(whole, ["country", "fifa_version"], [F.col("num_players").desc_nulls_last(), F.col("avg_overall").desc()])
-    return latest_per_key(one, ["country"], "fifa_version", ["num_players", *scores])
+    typed = _cast(steps(raw, "read"), fifa_version="int", num_players="int", **{c: "double" for c in scores})
+    whole = steps(drop_nulls(typed.withColumn("country", canonical_name(F.col("country"))), "country", "avg_overall"), "nulls")
+    one = steps(first_per_key(whole, ["country", "fifa_version"], [F.col("num_players").desc_nulls_last(), F.col("avg_overall").desc()]), "duplicates")
+    return steps(latest_per_key(one, ["country"], "fifa_version", ["num_players", *scores]), "older versions")
 
 
-def former_names(raw: DataFrame) -> DataFrame:
-    whole = drop_nulls(_cast(raw, start_date="date", end_date="date"), "current", "former")
-    return first_per_key(whole, ["current", "former"], [F.col("start_date").asc_nulls_last(), F.col("end_date").asc_nulls_last()])
+def former_names(raw: DataFrame, steps: Steps | Callable[[DataFrame, str], DataFrame] = unseen) -> DataFrame:
+    whole = steps(drop_nulls(_cast(steps(raw, "read"), start_date="date", end_date="date"), "current", "former"), "nulls")
+    return steps(first_per_key(whole, ["current", "former"], [F.col("start_date").asc_nulls_last(), F.col("end_date").asc_nulls_last()]), "duplicates")

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from matchloom.storage import materialize
+
 CORRUPT = "_corrupt_record"
 
 
@@ -16,6 +18,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(wanted).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
+def read_checked(spark: SparkSession, path: str, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad lines) of a CSV with header, from one scan that is written once.
+
+    ``kinds``: column -> type; other columns of the file stay text. Good rows have the file's columns, cast. A bad line has
+    (file, line, reason): ``columns`` if it has too few or too many fields, else ``cast`` and the first column whose text
+    isn't of its type. Empty fields are null. A line is a record, so quoted line breaks aren't for this reader.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    head = lines.first()
+    if head is None:
+        nothing = spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
+        return nothing, spark.createDataFrame([], "file string, line string, reason string")
+    names = list(spark.read.option("header", True).csv(path).columns)
+    schema = ", ".join(f"`{c}` string" for c in [*names, CORRUPT])
+    body = lines.where(F.col("value") != head["value"]).withColumn("r", F.from_csv("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    field = lambda c: F.col("r")[c]
+    casts = {c: field(c).try_cast(kinds[c]) if c in kinds else field(c) for c in names}
+    reason = F.when(field(CORRUPT).isNotNull(), "columns")
+    for c in names:
+        if c in kinds:
+            reason = reason.when((F.trim(field(c)) != "") & casts[c].isNull(), f"cast {c}")
+    marked = body.select("file", F.col("value").alias("line"), reason.alias("reason"), F.struct(*[v.alias(c) for c, v in casts.items()]).alias("row"))
+    marked = materialize(marked, "checked")
+    return marked.where("reason IS NULL").select("row.*"), marked.where("reason IS NOT NULL").select("file", "line", "reason")
+
+
 def read_optional(spark: SparkSession, path: str, schema: StructType, kind: str = "parquet") -> DataFrame:
     """The table, or an empty one of that schema when there is no such path."""
     try:

@@ -147,10 +147,8 @@ def test_model_learns_a_clear_signal(spark):
         scored = models.score_fixtures(model, df)
         assert scored.filter("pred = label").count() == 600
         assert scored.filter("abs(home_pct + draw_pct + away_pct - 100) > 0.001").isEmpty()
-    # A boosted margin m stands for the probability 1 / (1 + exp(-2m)).
     for row in scored.limit(5).collect():
-        shares = [1 / (1 + math.exp(-2 * m)) for m in row.rawPrediction]
-        assert row.home_pct == pytest.approx(100 * shares[2] / sum(shares), abs=1e-3)
+        assert sum(row.probability) == pytest.approx(1, abs=1e-12) and row.home_pct == pytest.approx(100 * row.probability[2], abs=1e-3)
 
 
 def test_rounding_is_half_up(spark):
