@@ -5,8 +5,8 @@ one pass over the rows sums, for every class, node, feature and bin, the slopes
 the driver picks each node's best cut from those sums. Margins are written again every few rounds; between, tasks add up
 the trees that are newer than the written margins.
 
-Slopes and curvatures are rounded to whole multiples of 2^-32, so sums are exact and a fit doesn't depend on how rows
-are dealt. What reaches the driver per pass is classes x nodes x features x bins sums, whatever the table's size.
+Slopes and curvatures are rounded to whole multiples of 2^-32, so sums are exact and a fit doesn't depend on how tasks are
+cut. Which rows a round samples follows from the numbers they got when they were written. What reaches the driver per pass is classes x nodes x features x bins sums, whatever the table's size.
 
 Defined results. Nulls and NaN in features are their own lowest bin, below every cut. Rows without a label are an error of
 the caller. A class without rows keeps a low margin. An empty table can't be fitted.
@@ -23,10 +23,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.session import settings
 from matchloom.storage import materialize
 
 Batches = Iterator[pa.RecordBatch]
 UNIT = float(1 << 32)
+# A fit is very many short passes: a task reads megabytes of bins, and the few sums need no plan that adapts.
+PASSES = {
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.files.openCostInBytes": "64k",
+    "spark.sql.files.minPartitionNum": "1",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
 
 
 @dataclass
@@ -202,22 +211,32 @@ def quantile_cuts(df: DataFrame, features: Sequence[str], bins: int) -> list[lis
 
 def train_boosted(df: DataFrame, features: Sequence[str], label: str = "label", classes: Sequence[int] = (0, 1, 2), fit: Fit = Fit()) -> BoostedTrees:
     """Fit on the rows of ``df``; labels are among ``classes``."""
-    features, classes = list(features), list(classes)
-    width, most = len(features), fit.bins
-    if not 3 <= most <= 256:
+    if not 3 <= fit.bins <= 256:
         raise ValueError("bins must be between 3 and 256")
-    model = BoostedTrees(features, classes, quantile_cuts(df, features, most), [0.0] * len(classes))
+    model = BoostedTrees(list(features), list(classes), quantile_cuts(df, features, fit.bins), [0.0] * len(classes))
+    rows = _binned(df, model, label)
+    with settings(df.sparkSession, PASSES):
+        _grow(rows, model, fit)
+    return model
+
+
+def _binned(df: DataFrame, model: BoostedTrees, label: str) -> DataFrame:
+    """row, bins, class (its place) and margins, written."""
 
     @F.arrow_udf("binary")
     def binned(*columns: pa.Array) -> pa.Array:
         bins = model.bins([c.to_numpy(zero_copy_only=False) for c in columns])
         return pa.array([r.tobytes() for r in np.ascontiguousarray(bins.T)], pa.binary())
 
-    place = (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("int")) - 1).cast("int")
+    place = (F.array_position(F.array(*[F.lit(c) for c in model.classes]), F.col(label).cast("int")) - 1).cast("int")
     start = F.array(*[F.lit(s) for s in model.start])
-    rows = df.select(binned(*[F.col(f).cast("double") for f in features]).alias("bins"), place.alias("class"))
-    rows = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "bins", "class", start.alias("margins")), "binned")
+    rows = df.select(binned(*[F.col(f).cast("double") for f in model.features]).alias("bins"), place.alias("class"))
+    return materialize(rows.select(F.monotonically_increasing_id().alias("row"), "bins", "class", start.alias("margins")), "binned")
 
+
+def _grow(rows: DataFrame, model: BoostedTrees, fit: Fit) -> None:
+    """Add all rounds to the model."""
+    classes, width, most = model.classes, len(model.features), fit.bins
     rng = np.random.default_rng(fit.seed)
     schema = "cell long, slope long, curve long"
     recent: list[list[Tree]] = []
@@ -245,7 +264,6 @@ def train_boosted(df: DataFrame, features: Sequence[str], label: str = "label",
         model.rounds.append(growing)
         if len(recent) == fit.keep:
             rows, recent = materialize(rows.mapInArrow(_written(recent, width), rows.schema), "margins"), []
-    return model
 
 
 def _split(tree: Tree, at: int, slope: np.ndarray, curve: np.ndarray, chosen: np.ndarray, fit: Fit) -> bool:
