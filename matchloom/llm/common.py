@@ -117,21 +117,23 @@ def located(docs: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(u, v) long pairs -> (id, component_id): each linked id and the smallest id it can reach.
+    """(u, v) long pairs of a written table -> (id, component_id): each linked id and the smallest id it can reach.
 
     Alternating large and small stars. Each round is written, so that lineage stays short; the number of
     rounds grows with the logarithm of the longest path. A star's centre may be in very many pairs: minima
     are aggregated before the shuffle and the join with them is one that Spark splits when it is skewed.
     """
-    pairs = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct(), "pairs")
-    while not _stars(pairs):
+    pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
+    done = False
+    while not done:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = materialize(large, "pairs")
+        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        large = materialize(large, "pairs")  # a row per pair at most; repeated ones go in the next step
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lowest).where("u > v").distinct()
         pairs = materialize(small, "pairs")
+        done = _stars(pairs)
     centres = pairs.select("v").distinct()
     return pairs.union(centres.select("v", "v")).toDF("id", "component_id")
 

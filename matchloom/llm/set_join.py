@@ -87,8 +87,11 @@ def trees_for(recall: float, similarity: float, depth: int = 3) -> int:
 
 
 def deepest(recall: float, similarity: float, depth: int) -> int:
-    """The deepest level up to ``depth`` at which trees can reach ``recall``."""
-    return next((level for level in range(depth, 1, -1) if recall_at(COORDINATES, similarity, level) >= recall), 1)
+    """The deepest level up to ``depth`` at which trees can reach ``recall``, which falls with the level."""
+    level = 1
+    while level < depth and recall_at(COORDINATES, similarity, level + 1) >= recall:
+        level += 1
+    return level
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -342,7 +345,7 @@ class _Join:
         rows = _blocks(frontier.join(nodes, "node"), ["node"], F.col("n"), self.small)
         self.large = frontier.join(nodes.where(F.col("n") > self.small).select("node"), "node").select("node", "id")
         members = rows.groupBy("node", "block").agg(F.collect_set("id").alias("ids"), F.min("first").alias("first"))
-        return materialize(self.links(self._distinct(members.select(F.array_union("ids", F.array("first")).alias("ids")))), "links")
+        return self.links(self._distinct(members.select(F.array_union("ids", F.array("first")).alias("ids"))))
 
     def _distinct(self, members: DataFrame) -> DataFrame:
         """Each set of members once."""
@@ -368,7 +371,7 @@ class _Join:
             level = min(level + STEPS, last)
             if level > depth:
                 deep.append(frontier.select("id"))
-        links = materialize(self.links(reduce(DataFrame.union, groups), known), "links")
+        links = self.links(reduce(DataFrame.union, groups), known)
         return links, level, reduce(DataFrame.union, deep or [frontier.select("id")]).distinct()
 
     def children(self, frontier: DataFrame, level: int) -> DataFrame:
@@ -414,14 +417,14 @@ class _Join:
     def links(self, groups: DataFrame, known: DataFrame | None = None) -> DataFrame:
         """Links inside groups between documents that aren't of one known component, confirmed on full sets."""
         groups = materialize(groups, "groups")
-        rows = groups.join(self.only(groups, "check"), "id")
+        rows = groups.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).join(self.lows.select("id", "check"), "id")
         label = F.col("id") if known is None else F.coalesce("component_id", "id")
         rows = (rows if known is None else rows.join(known, "id", "left")).select("g", "id", "check", label.alias("label"))
         rows = rows.repartition(self.parts, "g").sortWithinPartitions("g", "id")
-        possible = materialize(rows.mapInArrow(lean(_possible(self.least)), "g long, id long").distinct(), "possible")
-        # Few documents have a possible partner: Spark filters the others out before the texts' shuffle.
-        wanted = possible.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id")
+        # Few documents have a possible partner: Spark filters the others out before a shuffle.
         with settings(self.source.sparkSession, EARLY_FILTER):
-            texts = materialize(self.source.join(wanted, self.source["doc_id"] == wanted["id"], "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.max("text").alias("text")), "texts")
-        full = possible.join(texts, "id").select("g", "id", "text").repartition(self.parts, "g").sortWithinPartitions("g", "id")
-        return full.mapInArrow(lean(_compare(self.words, self.percent)), "u long, v long").distinct()
+            possible = materialize(rows.mapInArrow(lean(_possible(self.least)), "g long, id long").distinct(), "possible")
+            wanted = possible.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).select("id")
+            texts = self.source.join(wanted, self.source["doc_id"] == wanted["id"], "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.max("text").alias("text"))
+            full = possible.join(texts, "id").select("g", "id", "text").repartition(self.parts, "g").sortWithinPartitions("g", "id")
+            return materialize(full.mapInArrow(lean(_compare(self.words, self.percent)), "u long, v long"), "links")
