@@ -92,3 +92,35 @@ def test_labels_of_one_class_and_constant_features(spark):
     model = boosting.train_boosted(df, ["a", "b"], fit=FIT)
     rows = model.transform(df).collect()
     assert {r.prediction for r in rows} == {1.0} and model.importances() == [0.0, 0.0]
+
+
+def test_trees_may_end_at_any_level(spark):
+    """One class's tree ends at its root while another's goes on."""
+    rows = [(0 if i % 2 else 1, float(i % 2), float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "label int, a double, b double")
+    fit = boosting.Fit(rounds=2, depth=4, step=0.3, subsample=1.0, columns=1.0, bins=8, keep=1, l2=1.0, least_curvature=0.5)
+    model = boosting.train_boosted(df, ["a", "b"], fit=fit)
+    assert any(t.feature == [-1] for trees in model.rounds for t in trees)
+    assert model.transform(df).filter("prediction <> label").isEmpty()
+
+
+def test_a_level_of_one_tree_ends_above_another():
+    rng = np.random.default_rng(5)
+    sums = rng.integers(1, 9, (2, 3, 1, 8))
+    tree = boosting.Tree([-1], [0], [0.0], [0.0])
+    assert boosting._summed(tree, np.arange(3), sums[1]).tolist() == [False, False]
+    assert not any(tree.is_cut(at) for at in range(31))
+    tree = boosting.Tree([2, -1, -1], [3, 0, 0], [0.0] * 3, [1.0, 0.0, 0.0])
+    left = 2 * sums[1, 2, 0, :4].sum() > sums[1, 2, 0].sum()
+    assert boosting._summed(tree, np.arange(3), sums[1]).tolist() == [not left, bool(left)]
+
+
+def test_a_fit_does_not_depend_on_tasks(spark, monkeypatch):
+    df, _, _ = table(spark, n=400)
+    fit = boosting.Fit(**{**FIT.__dict__, "depth": 3, "subsample": 0.7, "columns": 0.7, "rounds": 5})
+    one = df.coalesce(1)
+    want = boosting.train_boosted(one, ["a", "b", "c"], fit=fit).to_json()
+    cuts = boosting._cached
+    monkeypatch.setattr(boosting, "_cached", lambda rows: cuts(rows.repartition(40)))  # also sums in two steps
+    monkeypatch.setattr(boosting, "BLOCK", 7)
+    assert boosting.train_boosted(one, ["a", "b", "c"], fit=fit).to_json() == want
