@@ -123,7 +123,8 @@ def components(edges: DataFrame) -> DataFrame:
     rounds grows with the logarithm of the longest path. A star's centre may be in very many pairs: minima
     are aggregated before the shuffle and the join with them is one that Spark splits when it is skewed.
     """
-    pairs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
+    # A link may have been found many times over; each counts once, so that a star has a row per member.
+    pairs = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct(), "pairs")
     done = False
     while not done:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
