@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import batch_settings, hold, lean, partitions
+from matchloom.llm.common import batch_settings, give_back, hold, lean, partitions
 from matchloom.llm.word_tokens import encoder
 from matchloom.storage import materialize
 
@@ -91,6 +91,9 @@ def _tokenise(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
             packed = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), flat])
             lengths = pa.array(np.diff(np.concatenate([[0], ends])), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys), lengths, pa.array([width] * len(ends), pa.int32()), packed], ["doc_id", "key", "doc_tokens", "width", "ids"])
+            # A task has few batches, and what one of them freed would stay with the worker beside its words.
+            del ids, ends, keys, flat, offsets, packed, lengths
+            give_back()
 
     return run
 

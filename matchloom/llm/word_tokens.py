@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 MARKS = r"(\pL)([.,!?;:%$#&*|()\-\"]+)"
 # Words remembered by a worker; a bound on its memory that doesn't change results.
 REMEMBERED = 1_000_000
+# New words tokenised at once: what the tokenizer returns for a word takes many times the room of its ids.
+ENCODED = 4096
 
 
 class _Words:
@@ -41,17 +43,21 @@ class _Words:
             self.forget()
             new = words
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-            known = len(self.place)
-            self.ids = _put(self.ids, self.used, ids)
-            self.sizes = _put(self.sizes, known, sizes)
-            self.starts = _put(self.starts, known, self.used + np.cumsum(sizes) - sizes)
-            self.used += len(ids)
-            self.place.update(zip(new, range(known, known + len(new))))
+            for at in range(0, len(new), ENCODED):
+                self.add(new[at : at + ENCODED])
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
+    def add(self, new: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        known = len(self.place)
+        self.ids = _put(self.ids, self.used, ids)
+        self.sizes = _put(self.sizes, known, sizes)
+        self.starts = _put(self.starts, known, self.used + np.cumsum(sizes) - sizes)
+        self.used += len(ids)
+        self.place.update(zip(new, range(known, known + len(new))))
+
 
 def _put(held: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
     """``more`` written from place ``at`` on; the array doubles when it is full."""
@@ -103,13 +109,16 @@ def encoder(path: str) -> Encode:
         lengths, last = known.sizes[index], np.cumsum(counts)
         # Of each word the place of its first id in the output: ids of all words before it, and an end id a text.
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        text_of = np.repeat(np.arange(len(counts)), counts)
         ends = upto[last] + np.arange(1, len(counts) + 1)
         out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint32)
         total = int(upto[-1])
-        step = np.arange(total)
-        source = np.repeat(known.starts[index] - upto[:-1], lengths) + step
-        out[step + np.repeat(text_of, lengths)] = known.ids[source]
+        # There is one of these for each id: they are the largest arrays here.
+        narrow = np.int32 if max(known.used, total) < 1 << 31 else np.int64
+        source = np.repeat((known.starts[index] - upto[:-1]).astype(narrow), lengths)
+        source += np.arange(total, dtype=narrow)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[inner] = known.ids[source]
         return out, ends
 
     return encode
