@@ -6,7 +6,7 @@ the token that is its minimum there. So pairs below the threshold get fewer with
 nodes are compared exhaustively, large ones branch on for as long as they are large.
 
 The longer a path, the more trees a pair needs: trees are first planned for few levels, and documents that were in deeper
-nodes get as many further trees as the depth that was reached asks for.
+nodes get as many further trees as the level they were at asks for, one level after the other.
 
 What keeps the work in proportion to the table:
 
@@ -46,6 +46,8 @@ Batches = Iterator[pa.RecordBatch]
 COORDINATES = 128
 # Levels a round of the recursion goes down before nodes are measured again.
 STEPS = 3
+# Trees whose large root nodes are compared before any component is known.
+JOINING = 2
 # Tries of an empty range to find one that isn't.
 TRIES = 1024
 # Joins of texts with the few ids that are needed get a Bloom filter of bounded size before the shuffle.
@@ -94,6 +96,11 @@ def deepest(recall: float, similarity: float, depth: int) -> int:
     return level
 
 
+def next_level(level: int) -> int:
+    """The first level below this one at which nodes are measured."""
+    return 1 + STEPS * ((level - 1) // STEPS + 1)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -307,21 +314,27 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     join = _Join(source, lows, words, percent, small)
     last = deepest(recall, percent / 100, 1000)
-    ids, start, trees = lows.select("id", "low"), 0, trees_for(recall, percent / 100, min(depth, last))
-    links, known = [], None
+    ids, start, plan = lows.select("id", "low"), 0, min(depth, last)
+    trees, most = trees_for(recall, percent / 100, plan), 1
+    links, deep, known = [], [], None
     while True:
         roots = [F.xxhash64(F.lit(t), F.col("low")[t]) for t in range(start, trees)]
-        frontier = ids.select("id", F.explode(F.array(*roots)).alias("node"))
+        frontier = ids.select("id", F.posexplode(F.array(*roots)).alias("tree", "node"))
         if known is None:
-            links.append(join.roots(frontier))
+            links.append(join.roots(frontier, F.col("tree") < JOINING))
             known, frontier = components(links[0]), join.large
-        found, reached, deep = join.grow(frontier, known, depth, last)
+        found, reached, below = join.grow(frontier.select("node", "id"), known, plan, last)
         links.append(found)
-        start, trees = trees, trees_for(recall, percent / 100, reached)
+        deep.append(below)
+        # One level more at a time: a document needs the trees for the level it was at, not for the deepest of all.
+        start, most, above = trees, max(most, reached), plan
+        while trees <= start and plan < most:
+            above, plan = plan, min(next_level(plan), last)
+            trees = trees_for(recall, percent / 100, plan)
         if trees <= start:
             break
         known = components(reduce(DataFrame.union, links))
-        ids, depth = join.only(deep, "low"), reached
+        ids = join.only(reduce(DataFrame.union, deep).where(F.col("level") > above), "low")
     found = components(reduce(DataFrame.union, links))
 
     named = classes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
@@ -338,11 +351,15 @@ class _Join:
         self.least = least_agreement(percent / 100)
         self.parts = partitions(source.sparkSession)
 
-    def roots(self, frontier: DataFrame) -> DataFrame:
-        """Links found in the root nodes; ``large`` keeps the rows of those to branch on."""
+    def roots(self, frontier: DataFrame, joining: Column | None = None) -> DataFrame:
+        """Links found in the root nodes; ``large`` keeps the rows of those to branch on.
+
+        Of the large ones only the rows for which ``joining`` holds are compared here: the others find most of their links known
+        from these, and all of them branch on.
+        """
         nodes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
         nodes = materialize(nodes, "nodes")
-        rows = _blocks(frontier.join(nodes, "node"), ["node"], F.col("n"), self.small)
+        rows = _blocks(frontier.join(nodes, "node").where((F.col("n") <= self.small) | (F.lit(True) if joining is None else joining)), ["node"], F.col("n"), self.small)
         self.large = frontier.join(nodes.where(F.col("n") > self.small).select("node"), "node").select("node", "id")
         members = rows.groupBy("node", "block").agg(F.collect_set("id").alias("ids"), F.min("first").alias("first"))
         return self.links(self._distinct(members.select(F.array_union("ids", F.array("first")).alias("ids"))))
@@ -360,7 +377,7 @@ class _Join:
             return materialize(self.lows.select("id", column).join(wanted, "id", "left_semi"), "signatures")
 
     def grow(self, frontier: DataFrame, known: DataFrame, depth: int, last: int) -> tuple[DataFrame, int, DataFrame]:
-        """Trees from their large nodes down: the links found, the level reached, and the ids that were below ``depth``."""
+        """Trees from their large nodes down: the links found, the level reached, and (id, level) of what was below ``depth``."""
         level, groups, deep, low = 1, [], [], None
         while True:
             frontier, ready, more = self.branch(frontier, known, level, last, low)
@@ -370,9 +387,9 @@ class _Join:
             low = self.only(frontier, "low") if low is None else low
             level = min(level + STEPS, last)
             if level > depth:
-                deep.append(frontier.select("id"))
+                deep.append(frontier.select("id", F.lit(level).alias("level")))
         links = self.links(reduce(DataFrame.union, groups), known)
-        return links, level, reduce(DataFrame.union, deep or [frontier.select("id")]).distinct()
+        return links, level, reduce(DataFrame.union, deep or [frontier.select("id", F.lit(level).alias("level"))]).distinct()
 
     def children(self, frontier: DataFrame, level: int) -> DataFrame:
         """Rows of ``frontier`` in the nodes one level down."""
