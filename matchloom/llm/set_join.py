@@ -13,8 +13,9 @@ What keeps the work in proportion to the table:
 * Documents with equal sets are one class, whose smallest id takes part.
 * A large root node is also compared in blocks that share its smallest id. That joins groups of near copies of any size,
   and a node whose documents are all of one known component has nothing left to find and ends.
-* A node ends once all but its largest known component are at most a block: these are compared with each other and with
-  that component's blocks, so every document of the node is compared with a block at most.
+* A node ends once all but its largest known component are at most a block, or up to four if the component is larger than
+  they are: these are compared with each other and with that component's blocks, so every document of the node is compared
+  with four blocks at most.
 * Blocks are compared by minwise agreement first, with a margin of 4.5 standard deviations, and only documents that
   have a possible partner there are compared on their full sets. A block returns a spanning forest of its links.
 
@@ -46,6 +47,8 @@ Batches = Iterator[pa.RecordBatch]
 COORDINATES = 128
 # Levels a round of the recursion goes down before nodes are measured again.
 STEPS = 3
+# Blocks of documents outside a node's largest known component that are compared with it at once, if it is larger than they are.
+WIDE = 4
 # Trees whose large root nodes are compared before any component is known.
 JOINING = 2
 # Tries of an empty range to find one that isn't.
@@ -391,13 +394,18 @@ class _Join:
         links = self.links(reduce(DataFrame.union, groups), known)
         return links, level, reduce(DataFrame.union, deep or [frontier.select("id", F.lit(level).alias("level"))]).distinct()
 
-    def children(self, frontier: DataFrame, level: int) -> DataFrame:
-        """Rows of ``frontier`` in the nodes one level down."""
-        node, low = F.col("node"), F.col("low")
-        first, second, chance = (F.pmod(F.xxhash64(node, F.lit(level), F.lit(i)), F.lit(n)).cast("int") for i, n in enumerate((COORDINATES, COORDINATES, 1000)))
-        below = [F.xxhash64(node, pick, low[pick]) for pick in (first, second)]
-        picked = F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*below))).otherwise(F.array(below[0]))
-        return frontier.select("id", "low", F.explode(picked).alias("node"))
+    def children(self, frontier: DataFrame, levels: range) -> DataFrame:
+        """Rows of ``frontier`` in the nodes that many levels down; those in between don't become rows."""
+        low = F.col("low")
+
+        def picked(node: Column, level: int) -> Column:
+            first, second, chance = (F.pmod(F.xxhash64(node, F.lit(level), F.lit(i)), F.lit(n)).cast("int") for i, n in enumerate((COORDINATES, COORDINATES, 1000)))
+            below = [F.xxhash64(node, pick, low[pick]) for pick in (first, second)]
+            return F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*below))).otherwise(F.array(below[0]))
+
+        down = lambda nodes, level: F.flatten(F.transform(nodes, lambda node: picked(node, level)))
+        nodes = reduce(down, levels, F.array("node"))
+        return frontier.select("id", F.explode(nodes).alias("node"))
 
     def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: int, low: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
         """Of nodes that have more to find: those to branch on, groups of those to compare, and if any branch on.
@@ -407,28 +415,27 @@ class _Join:
         """
         rows = frontier
         if level > 1:
-            rows = frontier.join(low, "id")
-            for step in range(max(2, level - STEPS + 1), level + 1):
-                rows = self.children(rows, step)
+            rows = self.children(frontier.join(low, "id"), range(max(2, level - STEPS + 1), level + 1))
         labelled = rows.join(known, "id", "left").select("node", "id", F.coalesce("component_id", "id").alias("label"))
         labelled = materialize(labelled, "children")
         sizes = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node")
         sizes = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("label", "n").alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-        few = F.col("n") - F.col("most") <= self.small
+        others = F.col("n") - F.col("most")
+        few = others <= F.greatest(F.lit(self.small), F.least(F.lit(WIDE * self.small), F.col("most")))
         sizes = materialize(sizes.withColumn("ready", F.lit(True) if level >= last else few), "sizes")
-        rows = labelled.join(sizes, "node")
+        # Each row meets its node's size once: what branches on and what is compared are parts of the same written table.
+        rows = materialize(labelled.join(sizes.drop("labels"), "node"), "measured")
         deeper, more = rows.where("NOT ready").select("node", "id"), not sizes.where("NOT ready").isEmpty()
-        done = rows.where("ready")
         # A node of one block is one group; else the others, block by block, against the largest component's blocks and each other.
-        whole = done.where(F.col("n") <= self.small).groupBy("node").agg(F.collect_set("id").alias("ids")).select("ids")
-        done = done.where(F.col("n") > self.small)
-        others = _blocks(done.where("label <> main"), ["node"], F.col("n") - F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("others"))
-        main = _blocks(done.where("label = main"), ["node"], F.col("most"), self.small).groupBy("node", "block").agg(F.collect_set("id").alias("ids"))
-        against = main.drop("block").join(others, "node").select(F.array_union("ids", "others").alias("ids"))
-        members = whole.union(against)
-        if level >= last:
-            again = others.select("node", F.col("block").alias("other"), F.col("others").alias("ids"))
-            members = members.union(others.join(again, "node").where("block < other").select(F.array_union("ids", "others").alias("ids")))
+        whole = F.col("n") <= self.small
+        stray = ~whole & (F.col("label") != F.col("main"))
+        size = F.when(stray, others).when(whole, 1).otherwise(F.col("most"))
+        blocks = _blocks(rows.where("ready").withColumn("stray", stray), ["node"], size, self.small).groupBy("node", "stray", "block")
+        blocks = materialize(blocks.agg(F.collect_set("id").alias("ids"), F.first(whole).alias("whole")), "blocks")
+        strays = blocks.where("stray").select("node", F.col("block").alias("other"), F.col("ids").alias("others"))
+        # Blocks of strays also meet those with higher numbers.
+        pairs = blocks.where("NOT whole").join(strays, "node").where("NOT stray OR block < other")
+        members = blocks.where("whole").select("ids").union(pairs.select(F.array_union("ids", "others").alias("ids")))
         return deeper, self._distinct(members), more
 
     def links(self, groups: DataFrame, known: DataFrame | None = None) -> DataFrame:
