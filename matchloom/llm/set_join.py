@@ -395,7 +395,7 @@ class _Join:
         return links, level, reduce(DataFrame.union, deep or [frontier.select("id", F.lit(level).alias("level"))]).distinct()
 
     def children(self, frontier: DataFrame, levels: range) -> DataFrame:
-        """Rows of ``frontier`` in the nodes that many levels down; those in between don't become rows."""
+        """Rows of ``frontier`` in the nodes that many levels below its ``node``, or all its ``nodes``; those in between don't become rows."""
         low = F.col("low")
 
         def picked(node: Column, level: int) -> Column:
@@ -404,8 +404,8 @@ class _Join:
             return F.when(chance < 1000 * (100 / self.percent - 1), F.array_distinct(F.array(*below))).otherwise(F.array(below[0]))
 
         down = lambda nodes, level: F.flatten(F.transform(nodes, lambda node: picked(node, level)))
-        nodes = reduce(down, levels, F.array("node"))
-        return frontier.select("id", F.explode(nodes).alias("node"))
+        nodes = reduce(down, levels, F.col("nodes") if "nodes" in frontier.columns else F.array("node"))
+        return frontier.select(*[c for c in frontier.columns if c not in ("low", "node", "nodes")], F.explode(nodes).alias("node"))
 
     def branch(self, frontier: DataFrame, known: DataFrame, level: int, last: int, low: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
         """Of nodes that have more to find: those to branch on, groups of those to compare, and if any branch on.
@@ -413,11 +413,11 @@ class _Join:
         Below the roots rows first go down to this level. At the last one all are compared: every pair but those inside
         the largest component known.
         """
-        rows = frontier
-        if level > 1:
-            rows = self.children(frontier.join(low, "id"), range(max(2, level - STEPS + 1), level + 1))
-        labelled = rows.join(known, "id", "left").select("node", "id", F.coalesce("component_id", "id").alias("label"))
-        labelled = materialize(labelled, "children")
+        # A document meets its label and its signature once, with all its nodes.
+        rows = frontier.groupBy("id").agg(F.collect_list("node").alias("nodes")).join(known, "id", "left")
+        rows = rows.select("id", "nodes", F.coalesce("component_id", "id").alias("label"))
+        labelled = self.children(rows.join(low, "id") if level > 1 else rows, range(max(2, level - STEPS + 1), level + 1))
+        labelled = materialize(labelled.select("node", "id", "label"), "children")
         sizes = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node")
         sizes = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("label", "n").alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
         others = F.col("n") - F.col("most")
@@ -441,9 +441,10 @@ class _Join:
     def links(self, groups: DataFrame, known: DataFrame | None = None) -> DataFrame:
         """Links inside groups between documents that aren't of one known component, confirmed on full sets."""
         groups = materialize(groups, "groups")
-        rows = groups.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).join(self.lows.select("id", "check"), "id")
+        # A document meets its signature and its label once, with all its groups.
+        rows = groups.where(F.col("id").between(-(1 << 63), (1 << 63) - 1)).groupBy("id").agg(F.collect_list("g").alias("gs")).join(self.lows.select("id", "check"), "id")
         label = F.col("id") if known is None else F.coalesce("component_id", "id")
-        rows = (rows if known is None else rows.join(known, "id", "left")).select("g", "id", "check", label.alias("label"))
+        rows = (rows if known is None else rows.join(known, "id", "left")).select("id", "check", label.alias("label"), F.explode("gs").alias("g"))
         rows = rows.repartition(self.parts, "g").sortWithinPartitions("g", "id")
         # Few documents have a possible partner: Spark filters the others out before a shuffle.
         with settings(self.source.sparkSession, EARLY_FILTER):
