@@ -1,13 +1,14 @@
-"""Outcome models with Spark ML."""
+"""Outcome models: logistic regression with Spark ML, a random forest and boosted trees of this package."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.rounding import ratio, round_half_up
 from matchloom.operators.boosting import BoostedTrees, Fit, train_boosted
 from matchloom.operators.features import FEATURES
+from matchloom.operators.forest import Forest, Growth, train_forest
 from matchloom.operators.metrics import CLASSES, class_report, confusion_matrix
 from matchloom.storage import materialize
 
@@ -75,22 +77,10 @@ def estimator(name: str, rows: int, settings: Settings = Settings(), features: S
         scale = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
         fit = LogisticRegression(family="multinomial", weightCol="class_weight", maxIter=s.max_iter, regParam=1.0 / (s.inverse_penalty * rows), standardization=False)
         return Pipeline(stages=[assemble, scale, fit])
-    if name == "random_forest":
-        fit = RandomForestClassifier(
-            featuresCol="raw_features",
-            weightCol="class_weight",
-            numTrees=s.forest_trees,
-            maxMemoryInMB=1024,
-            cacheNodeIds=True,  # else every level walks every row down every tree again
-            maxDepth=s.forest_depth,
-            minInstancesPerNode=max(1, s.forest_min_split // 2),
-            seed=s.seed,
-        )
-        return Pipeline(stages=[assemble, fit])
     raise ValueError(name)
 
 
-Model = PipelineModel | BoostedTrees
+Model = PipelineModel | Forest | BoostedTrees
 
 
 def train(name: str, training: DataFrame, settings: Settings = Settings(), features: Sequence[str] = FEATURES) -> Model:
@@ -98,16 +88,13 @@ def train(name: str, training: DataFrame, settings: Settings = Settings(), featu
         s = settings
         fit = Fit(rounds=s.boost_rounds, depth=s.boost_depth, step=s.boost_step, subsample=s.boost_subsample, columns=s.boost_columns, seed=s.seed)
         return train_boosted(training, features, classes=CLASSES, fit=fit)
+    if name == "random_forest":
+        s = settings
+        growth = Growth(trees=s.forest_trees, depth=s.forest_depth, least_rows=max(1, s.forest_min_split // 2), seed=s.seed)
+        return train_forest(training, features, classes=CLASSES, growth=growth)
     # Written out once: a fit reads its rows very many times. The file's row count costs no scan.
     weighted = materialize(with_class_weight(training), "training")
-    fit = estimator(name, weighted.count(), settings, features)
-    return fit.fit(_dealt(weighted) if name == "random_forest" else weighted)
-
-
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows dealt evenly over whole rounds of all cores, as each level of a forest waits for its largest task."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(-(-rows.rdd.getNumPartitions() // cores) * cores)
+    return estimator(name, weighted.count(), settings, features).fit(weighted)
 
 
 def largest_slope(model: PipelineModel, training: DataFrame, settings: Settings = Settings()) -> float:
@@ -131,7 +118,7 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 def score_fixtures(model: Model, fixtures: DataFrame, home: str = "home_team", away: str = "away_team") -> DataFrame:
     """Probability of each outcome in percent, the predicted class and its name, for a whole fixture table."""
     scored = predict(model, fixtures)
-    p = F.col("probability") if isinstance(model, BoostedTrees) else vector_to_array("probability")
+    p = vector_to_array("probability") if isinstance(model, PipelineModel) else F.col("probability")
     percent = lambda i: round_half_up(F.element_at(p, i + 1) * F.lit(100.0), 4)
     named: Column = F.when(F.col("pred") == 2, F.concat(home, F.lit(" Win"))).when(F.col("pred") == 0, F.concat(away, F.lit(" Win"))).otherwise("Draw")
     return scored.withColumns({"away_pct": percent(0), "draw_pct": percent(1), "home_pct": percent(2), "outcome": named})
@@ -170,14 +157,14 @@ def importances(models: dict[str, Model], df: DataFrame, features: Sequence[str]
     """(feature, model, value) of the models that have importances."""
     rows = []
     for name, model in models.items():
-        values = model.importances() if isinstance(model, BoostedTrees) else getattr(model.stages[-1], "featureImportances", None)
+        values = None if isinstance(model, PipelineModel) else model.importances()
         rows += [(f, name, float(values[i])) for i, f in enumerate(features) if values is not None]
     return df.sparkSession.createDataFrame(rows, "feature string, model string, value double")
 
 
 def save(model: Model, path: str) -> None:
-    """A pipeline holds its feature list in the assembler, boosted trees in their text."""
-    if isinstance(model, BoostedTrees):
+    """A pipeline holds its feature list in the assembler, trees in their text."""
+    if not isinstance(model, PipelineModel):
         SparkSession.active().createDataFrame([(model.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     else:
         model.write().overwrite().save(path)
@@ -186,7 +173,8 @@ def save(model: Model, path: str) -> None:
 def load(path: str) -> tuple[Model, list[str]]:
     spark = SparkSession.active()
     if not spark.read.format("binaryFile").option("pathGlobFilter", "part-*.txt").load(path).isEmpty():
-        model = BoostedTrees.from_json(spark.read.text(path, wholetext=True).first()["value"])
+        text = spark.read.text(path, wholetext=True).first()["value"]
+        model = (BoostedTrees if "rounds" in json.loads(text) else Forest).from_json(text)
         return model, model.features
     model = PipelineModel.load(path)
     return model, list(model.stages[0].getInputCols())

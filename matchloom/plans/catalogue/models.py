@@ -98,7 +98,7 @@ def logreg(spark, sf):
 
 @query("m4_forest", _COUNTS.format(extra=f"{M.Settings().forest_trees} AS trees"))
 def forest(spark, sf):
-    return _facts(_scored(spark, sf, "random_forest"), trees=trained(spark, sf, "random_forest").stages[-1].getNumTrees)
+    return _facts(_scored(spark, sf, "random_forest"), trees=trained(spark, sf, "random_forest").tree_count)
 
 
 @query("m5_boosted", _COUNTS.format(extra=f"{3 * M.Settings().boost_rounds} AS trees"))
