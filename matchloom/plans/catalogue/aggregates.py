@@ -60,7 +60,7 @@ def power_table(spark, sf):
 
 @query("a1_dedup", "SELECT pool, d, home, away, home_score, away_score, tournament, neutral, stage, attendance FROM contest")
 def dedup(spark, sf):
-    return V.contest_once(spark, sf)
+    return V.first_contests(spark, sf)
 
 
 @query("a2_count", "SELECT pool, count(*) AS matches FROM contest GROUP BY pool UNION ALL SELECT 'all', count(*) FROM contest")

@@ -85,12 +85,17 @@ CONTEST_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quan
 PIECES = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
 
 
-def contest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts with complete scores, one row per (pool, d, home, away); written."""
+def first_contests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts with complete scores, one row per (pool, d, home, away)."""
     # Both scores are there exactly if what they are made of is.
     lines = contest_lines(spark, sf_dir).dropna(subset=["l_quantity", "l_extendedprice"])
+    return contest_columns(first_per_key(lines, CONTEST_KEY, [F.col(c) for c in CONTEST_ORDER]))
+
+
+def contest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``first_contests``, written."""
     with settings(spark, PIECES):
-        return materialize(contest_columns(first_per_key(lines, CONTEST_KEY, [F.col(c) for c in CONTEST_ORDER])), "contest-unnumbered")
+        return materialize(first_contests(spark, sf_dir), "contest-unnumbered")
 
 
 def contest(spark: SparkSession, sf_dir: str) -> DataFrame:
